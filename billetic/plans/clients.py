@@ -61,10 +61,11 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
     Plan: taps are reduced to (card, customer, month) -> latest day, then
     semi-joined to the card register, then to (customer, month) -> latest
     day. "Active in [lo, month end]" is "latest day in that month >= lo", and
-    "active on or after lo" is "latest day overall >= lo", so two histograms
-    (days x months rows at most) answer every date; the taps are never
-    copied per execution date. A customer holding a third of all taps is one
-    row per map task after the first partial aggregate.
+    "active on or after lo" is "latest day overall >= lo", so one small
+    histogram of latest days (days x months rows at most) meets the broadcast
+    dates once and answers all three counts; the taps are never copied per
+    execution date. A customer holding a third of all taps is one row per
+    map task after the first partial aggregate.
     """
     spark = validations.sparkSession
     v = lookback(validations.select(TS, CUSTOMER, CARD), TS, window)
@@ -75,21 +76,25 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
     known = per_card.join(cards.select(CARD), CARD, "left_semi")
     per_month = known.groupBy(CUSTOMER, "_month").agg(F.max("_last").alias("_last"))
 
-    overall = (
-        per_month.groupBy(CUSTOMER).agg(F.max("_last").alias("last_day"))
-        .groupBy("last_day").agg(F.count(F.lit(1)).alias("n"))
-    )
-    monthly = per_month.groupBy("_month", F.col("_last").alias("last_day")).agg(
-        F.count(F.lit(1)).alias("n")
+    # One small histogram, tagged: the latest day overall per customer
+    # ("_month" NULL), and the latest day within each month.
+    overall = per_month.groupBy(CUSTOMER).agg(F.max("_last").alias("_last")).select(
+        F.lit(None).cast("date").alias("_month"), "_last"
     )
+    hist = overall.unionByName(per_month.select("_month", "_last")).groupBy(
+        "_month", "_last"
+    ).agg(F.count(F.lit(1)).alias("n"))
 
     spine = with_period_bounds(date_spine(spark, window))
-    cur = count_at_least(overall, spine, window, "last_day", F.col(MONTH_START), out=CURRENT)
-    last = count_at_least(monthly, spine, window, "last_day", F.col(LAST_MONTH_START),
-                          on=F.col("_month") == F.col(LAST_MONTH_START), out=LAST_MONTH)
-    last_year = count_at_least(monthly, spine, window, "last_day", F.col(TWELVE_MONTHS_AGO),
-                               on=F.col("_month") == F.col(LAST_YEAR_START), out=LAST_YEAR)
-    counts = cur.join(last, "d", "full").join(last_year, "d", "full")
+    m, last = F.col("_month"), F.col("_last")
+    is_cur = m.isNull() & (last >= F.col(MONTH_START))
+    is_last = m == F.col(LAST_MONTH_START)
+    is_last_year = (m == F.col(LAST_YEAR_START)) & (last >= F.col(TWELVE_MONTHS_AGO))
+    joined = spine_join(hist, spine, window, is_cur | is_last | is_last_year)
+    counts = joined.groupBy("d").agg(
+        *[F.sum(F.when(cond, F.col("n"))).alias(name)
+          for name, cond in ((CURRENT, is_cur), (LAST_MONTH, is_last), (LAST_YEAR, is_last_year))]
+    )
     out = with_zero_rows(spine, counts, "d", [CURRENT, LAST_MONTH, LAST_YEAR])
     return conform(out.withColumnRenamed("d", "DateOfExecution"), ACTIVE_CLIENTS)
 

@@ -1,0 +1,36 @@
+"""Every registered query against its DuckDB oracle on the smallest tables
+(the driver runs the same check at sf0.01)."""
+
+import pytest
+
+import __spark_entry__ as E
+from billetic.testing import canonical, duckdb_views, run_duckdb, run_spark
+from conftest import SF_SMALL
+
+NAMES = sorted(E.queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duckdb_views(SF_SMALL)
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.oracle_sql()) == set(E.queries())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, con, name):
+    s_cols, s_rows = canonical(*run_spark(E.queries()[name](spark, SF_SMALL)))
+    d_cols, d_rows = canonical(*run_duckdb(con, E.oracle_sql()[name]))
+    assert s_cols == d_cols
+    assert len(s_rows) == len(d_rows)
+    assert s_rows == d_rows
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["DateOfExecution", "type_abonnement", "Categorie_age",
+                          "CurrentMonthActiveClients", "LastMonthActiveClients",
+                          "LastYearSameMonthActiveClients"]
+    assert df.count() > 0

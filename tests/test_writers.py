@@ -1,0 +1,95 @@
+"""Writers on a date-partitioned Parquet table (S4, M1-M6): append doubles a
+re-run, replace_dates and upsert are repeatable, update and delete change
+only what they should."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from billetic.sources.sinks import (
+    APPEND,
+    OVERWRITE,
+    REPLACE_DATES,
+    delete_from,
+    ensure_target,
+    read_target,
+    update_into,
+    upsert_into,
+    write_target,
+)
+from billetic.sources.targets import TITLE_SALES, VALIDATION_COUNTS, VALIDATION_RATE
+
+D = dt.date
+
+
+def rate_rows(spark, days, value):
+    return spark.createDataFrame([(d, value) for d in days], VALIDATION_RATE.schema)
+
+
+def sorted_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_ensure_target_creates_empty_table_once(spark, tmp_table):
+    ensure_target(spark, tmp_table, VALIDATION_RATE)
+    t = read_target(spark, tmp_table, VALIDATION_RATE)
+    assert t.columns == VALIDATION_RATE.columns and t.count() == 0
+    write_target(rate_rows(spark, [D(2024, 1, 1)], 1.0), tmp_table, VALIDATION_RATE, APPEND)
+    ensure_target(spark, tmp_table, VALIDATION_RATE)          # leaves data alone
+    assert read_target(spark, tmp_table, VALIDATION_RATE).count() == 1
+
+
+def test_append_doubles_replace_dates_is_repeatable(spark, tmp_table):
+    days = [D(2024, 1, 1), D(2024, 1, 2)]
+    write_target(rate_rows(spark, days, 1.0), tmp_table, VALIDATION_RATE, APPEND)
+    write_target(rate_rows(spark, days, 1.0), tmp_table, VALIDATION_RATE, APPEND)
+    assert read_target(spark, tmp_table, VALIDATION_RATE).count() == 4
+
+    write_target(rate_rows(spark, days, 2.0), tmp_table, VALIDATION_RATE, REPLACE_DATES)
+    write_target(rate_rows(spark, [D(2024, 1, 2)], 3.0), tmp_table, VALIDATION_RATE, REPLACE_DATES)
+    write_target(rate_rows(spark, [D(2024, 1, 2)], 3.0), tmp_table, VALIDATION_RATE, REPLACE_DATES)
+    assert sorted_rows(read_target(spark, tmp_table, VALIDATION_RATE)) == [
+        (D(2024, 1, 1), 2.0), (D(2024, 1, 2), 3.0)]
+
+    write_target(rate_rows(spark, [D(2024, 1, 5)], 5.0), tmp_table, VALIDATION_RATE, OVERWRITE)
+    assert sorted_rows(read_target(spark, tmp_table, VALIDATION_RATE)) == [(D(2024, 1, 5), 5.0)]
+
+
+def test_upsert_into_is_repeatable_with_null_keys(spark, tmp_table):
+    schema = TITLE_SALES.schema
+    first = spark.createDataFrame(
+        [(D(2024, 1, 1), "A", 1, 1, 1), (D(2024, 1, 1), None, 2, 1, 2), (D(2024, 1, 2), "A", 3, 1, 3)],
+        schema)
+    upsert_into(spark, tmp_table, TITLE_SALES, first)
+    second = spark.createDataFrame(
+        [(D(2024, 1, 1), None, 9, 3, 3), (D(2024, 1, 1), "B", 4, 2, 2)], schema)
+    upsert_into(spark, tmp_table, TITLE_SALES, second)
+    upsert_into(spark, tmp_table, TITLE_SALES, second)
+    assert sorted_rows(read_target(spark, tmp_table, TITLE_SALES)) == sorted([
+        (D(2024, 1, 1), "A", 1, 1, 1),
+        (D(2024, 1, 1), None, 9, 3, 3),
+        (D(2024, 1, 1), "B", 4, 2, 2),
+        (D(2024, 1, 2), "A", 3, 1, 3),
+    ], key=str)
+
+
+def test_update_into_sets_matches_only(spark, tmp_table):
+    rows = [(D(2024, 1, 1), "P", 5, 0), (D(2024, 1, 1), None, 2, 0), (D(2024, 1, 2), "P", 7, 0)]
+    write_target(spark.createDataFrame(rows, VALIDATION_COUNTS.schema), tmp_table,
+                 VALIDATION_COUNTS, REPLACE_DATES)
+    src = spark.createDataFrame(
+        [(D(2024, 1, 1), "P", 4), (D(2024, 1, 1), None, 9), (D(2024, 1, 3), "P", 1)],
+        "Date_de_validation date, Type_abonnement string, PrevYearCount long")
+    update_into(spark, tmp_table, VALIDATION_COUNTS, src, ["Date_de_validation", "Type_abonnement"],
+                {"Nombre_de_validation_annee_precedente": "PrevYearCount"})
+    assert sorted_rows(read_target(spark, tmp_table, VALIDATION_COUNTS)) == sorted([
+        (D(2024, 1, 1), "P", 5, 4), (D(2024, 1, 1), None, 2, 0), (D(2024, 1, 2), "P", 7, 0)], key=str)
+
+
+def test_delete_keeps_null_predicate_rows(spark, tmp_table):
+    df = spark.createDataFrame(
+        [(D(2024, 1, 1), None), (D(2024, 1, 2), 3.99), (D(2024, 1, 3), 4.0)], VALIDATION_RATE.schema)
+    write_target(df, tmp_table, VALIDATION_RATE, REPLACE_DATES)
+    delete_from(spark, tmp_table, VALIDATION_RATE, F.col("AverageValidationsPerUser") < 4)
+    assert sorted_rows(read_target(spark, tmp_table, VALIDATION_RATE)) == [
+        (D(2024, 1, 1), None), (D(2024, 1, 3), 4.0)]

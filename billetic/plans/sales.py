@@ -31,19 +31,26 @@ def title_sales_by_support(
 
     The reference joins sale lines to sales rows many-to-many on the
     transaction, so a transaction with k sales rows counts each of its sale
-    lines k times. The sales side is first reduced to one row per
-    (transaction, day) carrying k, which keeps that multiplicity without
-    materialising the k-fold rows; sale lines are then joined to the window's
-    transactions before the support dimension, so the big side shrinks first.
+    lines k times. Both sides are reduced before they meet: sales to one row
+    per (transaction, day) carrying k, sale lines to one row per
+    (transaction, card) carrying their number; ``Sales`` is the sum of the
+    products. No k-fold row is ever built, even for a huge transaction.
+
+    Sale lines carry no date, so they are first semi-joined to the raw keys
+    of the window's sales (a filtered scan): that shape lets Spark build a
+    runtime bloom filter from the window's transactions and drop the rest of
+    the sale-line history at its scan, before any shuffle.
     """
     sa = on_days(sales.select(TX, "bd_transaction_date"), "bd_transaction_date", window, "SalesDate")
-    per_tx = sa.groupBy(TX, "SalesDate").agg(F.count(F.lit(1)).alias("_k"))
     sd = sale_detail.select(TX, CARD).filter(F.col(CARD).isNotNull())
-    joined = sd.join(per_tx, TX).join(support, F.col(CARD) == F.col("id"))
+    sd = sd.join(sa.select(TX), TX, "left_semi")
+    lines = sd.groupBy(TX, CARD).agg(F.count(F.lit(1)).alias("_lines"))
+    per_tx = sa.groupBy(TX, "SalesDate").agg(F.count(F.lit(1)).alias("_k"))
+    joined = lines.join(per_tx, TX).join(support, F.col(CARD) == F.col("id"))
     agg = joined.groupBy(
         "SalesDate", support_label("bd_id_support_label").alias("support_type")
     ).agg(
-        F.sum("_k").alias("Sales"),
+        F.sum(F.col("_lines") * F.col("_k")).alias("Sales"),
         F.countDistinct(CARD).alias("unique_cards"),
     )
     return conform(

@@ -78,7 +78,8 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(2, int(cpus) * 2))
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(2, int(cpus) * 2)))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions)
     qs = R.QUERIES
 
     for name in JOBS:                       # warm-up (JIT, file listing cache)

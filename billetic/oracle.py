@@ -388,7 +388,7 @@ FROM (SELECT DISTINCT CAST(DTHR_OPERATION AS DATE) AS d FROM validation) days"""
 
 def age_bands(as_of: dt.date = R.EVENTS_AS_OF):
     age = f"(year({_date(as_of.replace(day=1))}) - year(c.birthdate))"
-    body = f"""SELECT {age} AS Age, {band_case(age)} AS band_between,
+    body = f"""SELECT CAST({age} AS INTEGER) AS Age, {band_case(age)} AS band_between,
        {band_case(age, open_low=True)} AS band_open_low, COUNT(*) AS n_contacts
 FROM contact c GROUP BY 1, 2, 3"""
     return body, [SOURCES["contact"]]
@@ -460,6 +460,21 @@ GROUP BY validation_id HAVING COUNT(*) > 1"""
     return body, [SOURCES["validation_b"]]
 
 
+def sales_lines_in_lookback(as_of: dt.date = R.SALES_AS_OF):
+    body = """SELECT p.d, COUNT(*) AS n_lines, COUNT(DISTINCT s.bd_sales_transaction_id) AS n_transactions
+FROM spine p JOIN sales s ON CAST(s.bd_transaction_date AS DATE) >= p.twelve
+GROUP BY p.d"""
+    return body, [SOURCES["sales"], spine_cte(_w(as_of))]
+
+
+def contracts_covering_month(as_of: dt.date = R.MONTH_START_AS_OF):
+    body = """SELECT p.d, COUNT(*) AS n_contracts
+FROM spine p JOIN sale_detail v
+  ON CAST(v.bd_contract_end_date AS DATE) >= p.me AND CAST(v.bd_contract_start_date AS DATE) <= p.ms
+GROUP BY p.d"""
+    return body, [SOURCES["sale_detail"], spine_cte(_w(as_of))]
+
+
 BUILDERS = {
     "title_sales_by_support": title_sales_by_support,
     "active_clients": active_clients,
@@ -488,6 +503,9 @@ BUILDERS = {
     "validation_rate_replace_dates": validation_rate_replace_dates,
     "validation_counts_update": validation_counts_yoy,
     "duplicate_validation_ids": duplicate_validation_ids,
+    "sales_lines_in_lookback": sales_lines_in_lookback,
+    "contracts_covering_month": contracts_covering_month,
+    "active_clients_no_activity": lambda: active_clients(R.SALES_AS_OF, "a"),
 }
 
 

@@ -243,6 +243,36 @@ def q_duplicate_validation_ids(spark, sf_dir):
     return duplicate_keys(v, ["validation_id"])
 
 
+def q_sales_lines_in_lookback(spark, sf_dir, as_of=SALES_AS_OF):
+    """P5 + N6: per execution date, sales rows and transactions on or after
+    d - 12 months (no upper bound): the literal least bound is pushed to the
+    scan, the exact per-date bound is a broadcast range join on rows reduced
+    to (transaction, day) -> rows first."""
+    window = _w(as_of)
+    s = lookback(_src(spark, sf_dir).sales(), "bd_transaction_date", window)
+    per_day = s.groupBy("bd_sales_transaction_id", to_day("bd_transaction_date").alias("_day")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    spine = with_period_bounds(date_spine(spark, window)).select("d", TWELVE_MONTHS_AGO)
+    x = spine_join(per_day, spine, window, F.col("_day") >= F.col(TWELVE_MONTHS_AGO))
+    return x.groupBy("d").agg(F.sum("_n").alias("n_lines"),
+                              F.countDistinct("bd_sales_transaction_id").alias("n_transactions"))
+
+
+def q_contracts_covering_month(spark, sf_dir, as_of=MONTH_START_AS_OF):
+    """per execution date, contracts that cover the whole month of the
+    date (start on or before its first day, end on or after its last)."""
+    from billetic.functions import covers
+
+    window = _w(as_of)
+    sd = _src(spark, sf_dir).sale_detail().select(
+        to_day("bd_contract_start_date").alias("_start"), to_day("bd_contract_end_date").alias("_end"))
+    per_span = sd.groupBy("_start", "_end").agg(F.count(F.lit(1)).alias("_n"))
+    spine = with_period_bounds(date_spine(spark, window)).select("d", MONTH_START, "month_end")
+    x = spine_join(per_span, spine, window,
+                   covers("_start", "_end", F.col(MONTH_START), F.col("month_end")))
+    return x.groupBy("d").agg(F.sum("_n").alias("n_contracts"))
+
+
 QUERIES: dict[str, Query] = {
     # jobs
     "title_sales_by_support": q_title_sales_by_support,
@@ -277,4 +307,8 @@ QUERIES: dict[str, Query] = {
     "validation_rate_replace_dates": q_validation_rate_replace_dates,
     "validation_counts_update": q_validation_counts_update,
     "duplicate_validation_ids": q_duplicate_validation_ids,
+    "sales_lines_in_lookback": q_sales_lines_in_lookback,
+    "contracts_covering_month": q_contracts_covering_month,
+    # A window with no taps at all still gives one row per date, zeros
+    "active_clients_no_activity": lambda sp, d: q_active_clients(sp, d, SALES_AS_OF, "a"),
 }

@@ -34,3 +34,16 @@ def test_entry_smoke(spark):
                           "CurrentMonthActiveClients", "LastMonthActiveClients",
                           "LastYearSameMonthActiveClients"]
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_column_types_match_oracle(spark, con, name):
+    schema = E.queries()[name](spark, SF_SMALL).schema
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))

@@ -59,7 +59,7 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
     from day d - 12 months on.
 
     Plan: taps are reduced to (card, customer, month) -> latest day, then
-    semi-joined to the card register, then to (customer, month) -> latest
+    joined to the distinct card register, then to (customer, month) -> latest
     day. "Active in [lo, month end]" is "latest day in that month >= lo", and
     "active on or after lo" is "latest day overall >= lo", so one small
     histogram of latest days (days x months rows at most) meets the broadcast
@@ -73,7 +73,11 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
         CARD, CUSTOMER, to_day(TS).alias("_day")
     ).withColumn("_month", F.trunc("_day", "MM"))
     per_card = v.groupBy(CARD, CUSTOMER, "_month").agg(F.max("_day").alias("_last"))
-    known = per_card.join(cards.select(CARD), CARD, "left_semi")
+    # ``IN (SELECT DISTINCT card)`` as an inner join with the distinct
+    # register: Catalyst would push a semi-join below the aggregate onto raw
+    # taps; the inner join stays on the reduced rows, so a register too big
+    # to broadcast shuffles (card, customer, month) rows, not a year of taps.
+    known = per_card.join(cards.select(CARD).distinct(), CARD)
     per_month = known.groupBy(CUSTOMER, "_month").agg(F.max("_last").alias("_last"))
 
     # One small histogram, tagged: the latest day overall per customer

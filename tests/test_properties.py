@@ -98,3 +98,20 @@ def test_week_diff_matches_sunday_count(spark, pairs):
     df = spark.createDataFrame(pairs, "a date, b date")
     got = [r[0] for r in df.select(week_diff("a", "b")).collect()]
     assert got == [_sundays_between(a, b) for a, b in pairs]
+
+
+def test_previous_year_column_equals_last_years_run(spark):
+    """The previous-year count of a day is the current count of the same
+    day one year earlier (outside leap days)."""
+    v = FixtureSources(spark, SF_SMALL, "b").validation()
+    from billetic.plans.validations import validation_counts_yoy
+
+    this_year = validation_counts_yoy(v, DateWindow.trailing(D(2001, 8, 1))).collect()
+    last_year = validation_counts_yoy(v, DateWindow.trailing(D(2000, 8, 1))).collect()
+    current = {(r.Date_de_validation, r.Type_abonnement): r.Nombre_de_validation for r in last_year}
+    checked = 0
+    for r in this_year:
+        want = current.get((add_months(r.Date_de_validation, -12), r.Type_abonnement), 0)
+        assert r.Nombre_de_validation_annee_precedente == want
+        checked += want > 0
+    assert checked > 0

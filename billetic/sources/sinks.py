@@ -151,10 +151,21 @@ def _affected(spark: SparkSession, path: str, target: Target, dates: DataFrame)
 def upsert_into(
     spark: SparkSession, path: str, target: Target, source: DataFrame, null_safe: bool = True
 ) -> None:
-    """M1 on storage: merge ``source`` into the dates it covers."""
+    """M1 on storage: merge ``source`` into the dates it covers.
+
+    Like ``MERGE``, refuses a source in which a key occurs twice (it would
+    update one target row twice); the check is one small job over the
+    source that returns a single boolean to the driver.
+    """
     ensure_target(spark, path, target)
     ensure_checkpoint_dir(spark)
     src = conform(source, target)
+    checked = src
+    if not null_safe:              # NULL never matches under plain equality
+        for k in target.keys:
+            checked = checked.filter(F.col(k).isNotNull())
+    if not duplicate_keys(checked, target.keys).isEmpty():
+        raise ValueError(f"source keys {target.keys} are not unique; MERGE would fail")
     dates = src.select(target.partition).distinct()
     merged = upsert(_affected(spark, path, target, dates), src, target.keys, null_safe)
     write_target(merged.checkpoint(eager=True), path, target, REPLACE_DATES)

@@ -93,3 +93,12 @@ def test_delete_keeps_null_predicate_rows(spark, tmp_table):
     delete_from(spark, tmp_table, VALIDATION_RATE, F.col("AverageValidationsPerUser") < 4)
     assert sorted_rows(read_target(spark, tmp_table, VALIDATION_RATE)) == [
         (D(2024, 1, 1), None), (D(2024, 1, 3), 4.0)]
+
+
+def test_upsert_into_refuses_duplicate_source_keys(spark, tmp_table):
+    import pytest
+
+    dup = spark.createDataFrame(
+        [(D(2024, 1, 1), None, 1, 1, 1), (D(2024, 1, 1), None, 2, 1, 2)], TITLE_SALES.schema)
+    with pytest.raises(ValueError):
+        upsert_into(spark, tmp_table, TITLE_SALES, dup)

@@ -235,10 +235,17 @@ def avg_weekly_validations(
     weeks from creation to d - 1); rows with an average below ``min_avg`` are
     deleted (a NULL average stays).
 
-    Taps are first counted per (customer, day); only those daily counts meet
-    the execution dates (a broadcast of the window's dates), and the sum per
-    (date, customer) is partially aggregated in the same stage, so what
-    crosses the shuffle is the output's size.
+    Taps are first counted per (customer, day). The per-date lower bound
+    ``lb(d) = max(created, d - 12 months)`` only moves inside the band
+    ``[max(created, first d - 12m), max(created, last d - 12m))``, so:
+
+    * days at or above the band's top count for every date: one sum per
+      customer, expanded to the window's dates;
+    * only the days inside the band (at most one per window date) meet the
+      broadcast dates in a range join.
+
+    No customer's history is copied per execution date; what is shuffled
+    for the final sum has the size of the output.
     """
     spark = validations.sparkSession
     v = lookback(validations.select(TS, CUSTOMER, "validation_id"), TS, window)
@@ -247,13 +254,34 @@ def avg_weekly_validations(
         .groupBy(CUSTOMER, to_day(TS).alias("_day"))
         .agg(F.count("validation_id").alias("_n"))
     )
-    daily = daily.join(contact.select("Id", "createdon"), F.col(CUSTOMER) == F.col("Id"))
+    # a NULL creation date makes the reference's bound NULL: no row counts
+    daily = daily.join(
+        contact.select("Id", "createdon").filter(F.col("createdon").isNotNull()),
+        F.col(CUSTOMER) == F.col("Id"),
+    )
+    created, day = F.col("createdon"), F.col("_day")
+    first_bound = F.lit(window.earliest_lookback(12))
+    last_bound = F.lit(add_months(window.end, -12))
+    band_top = F.when(created > last_bound, created).otherwise(last_bound)
+    band_bottom = F.when(created > first_bound, created).otherwise(first_bound)
+
+    every_date = (
+        daily.filter(day >= band_top)
+        .groupBy(CUSTOMER, "createdon").agg(F.sum("_n").alias("_n"))
+        .select(CUSTOMER, "createdon", "_n", F.explode(F.sequence(
+            F.lit(window.start), F.lit(window.end), F.expr("INTERVAL 1 DAY"))).alias("d"))
+    )
     spine = with_period_bounds(date_spine(spark, window)).select("d", TWELVE_MONTHS_AGO)
-    lb = F.col(TWELVE_MONTHS_AGO)
-    x = spine_join(daily, spine, window, since_account_start("_day", "createdon", lb))
-    g = x.groupBy("d", TWELVE_MONTHS_AGO, CUSTOMER, "createdon").agg(F.sum("_n").alias("_cnt"))
+    in_band = spine_join(
+        daily.filter((day >= band_bottom) & (day < band_top)), spine, window,
+        since_account_start("_day", "createdon", F.col(TWELVE_MONTHS_AGO)),
+    ).select(CUSTOMER, "createdon", "_n", "d")
+    g = every_date.unionByName(in_band).groupBy("d", CUSTOMER, "createdon").agg(
+        F.sum("_n").alias("_cnt")
+    )
 
-    old = F.col("createdon") < lb
+    lb = F.add_months(F.col("d"), -12)
+    old = created < lb
     weeks = F.when(old, F.lit(52)).otherwise(week_diff("createdon", "d"))
     average = F.when(old, F.col("_cnt").cast("double") / F.lit(52)).otherwise(
         safe_ratio("_cnt", week_diff("createdon", F.date_sub(F.col("d"), 1)))

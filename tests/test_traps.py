@@ -257,3 +257,33 @@ def test_j11_pass_through_labels_and_truncated_amounts(spark):
     out = sales_by_channel(sales, DateWindow.single(D(2024, 1, 1)))
     assert rows(out, "EquipementType", "SalesQuant", "Sales") == sorted(
         [("XX", 1, 10), (None, 1, -10), ("Valideur embarqué", 1, 3)], key=str)
+
+
+def test_j5_lookback_band_against_brute_force(spark):
+    """Taps on every day of the lookback band, accounts created before,
+    inside and after it; counts compared with a direct count per date."""
+    window = DateWindow(D(2024, 2, 26), D(2024, 3, 4))      # lookbacks clamp at 2023-02-28
+    created = {1: D(2020, 1, 1), 2: D(2023, 3, 1), 3: D(2023, 2, 27), 4: D(2024, 3, 2)}
+    taps, vid = [], 0
+    for cust in created:
+        day = D(2023, 2, 20)
+        while day <= D(2024, 3, 10):
+            if day.day % 3 == 0 or D(2023, 2, 25) <= day <= D(2023, 3, 6):
+                vid += 1
+                taps.append(tap(vid, T(day.year, day.month, day.day, 7), cust))
+            day += dt.timedelta(days=1)
+    v = spark.createDataFrame(taps, VALIDATION)
+    contact = spark.createDataFrame([(c, None, d) for c, d in created.items()], CONTACT)
+    out = avg_weekly_validations(v, contact, window, min_avg=-1e9)
+    got = {(r.DateOfExecution, r.ClientID): r.ValidationCount for r in out.collect()}
+
+    from billetic.operators.window import add_months
+
+    want = {}
+    for d in window.days():
+        for cust, c in created.items():
+            lb = max(c, add_months(d, -12))
+            n = sum(1 for t in taps if t[2] == cust and t[1].date() >= lb)
+            if n:
+                want[(d, str(cust))] = float(n)
+    assert got == want

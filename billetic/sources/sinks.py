@@ -143,19 +143,29 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n_rows") ->
 
 # -- the same, applied to a stored table -------------------------------------
 
-def _affected(spark: SparkSession, path: str, target: Target, dates: DataFrame) -> DataFrame:
+def _affected(spark: SparkSession, path: str, target: Target, dates: DataFrame,
+              known_dates=None) -> DataFrame:
+    """The target's rows on the dates being rewritten. With the dates known
+    on the driver (a run's window) they are a literal ``IN`` on the
+    partition column, which prunes partitions at planning time; otherwise a
+    semi-join with the source's dates."""
     current = read_target(spark, path, target)
+    if known_dates is not None:
+        current = current.filter(F.col(target.partition).isin(list(known_dates)))
     return current.join(dates, target.partition, "left_semi")
 
 
 def upsert_into(
-    spark: SparkSession, path: str, target: Target, source: DataFrame, null_safe: bool = True
+    spark: SparkSession, path: str, target: Target, source: DataFrame, null_safe: bool = True,
+    known_dates=None,
 ) -> None:
     """M1 on storage: merge ``source`` into the dates it covers.
 
     Like ``MERGE``, refuses a source in which a key occurs twice (it would
     update one target row twice); the check is one small job over the
-    source that returns a single boolean to the driver.
+    source that returns a single boolean to the driver. ``known_dates``
+    (the run's window, if the caller has it) bounds the dates the source can
+    hold, so only those partitions of the target are read.
     """
     ensure_target(spark, path, target)
     ensure_checkpoint_dir(spark)
@@ -167,7 +177,7 @@ def upsert_into(
     if not duplicate_keys(checked, target.keys).isEmpty():
         raise ValueError(f"source keys {target.keys} are not unique; MERGE would fail")
     dates = src.select(target.partition).distinct()
-    merged = upsert(_affected(spark, path, target, dates), src, target.keys, null_safe)
+    merged = upsert(_affected(spark, path, target, dates, known_dates), src, target.keys, null_safe)
     write_target(merged.checkpoint(eager=True), path, target, REPLACE_DATES)
 
 
@@ -178,13 +188,15 @@ def update_into(
     source: DataFrame,
     keys: Sequence[str],
     assignments: dict[str, str],
+    known_dates=None,
 ) -> None:
     """M3 on storage: only dates that have a matching source row are read
-    and rewritten."""
+    and rewritten (``known_dates`` prunes them at planning time)."""
     ensure_target(spark, path, target)
     ensure_checkpoint_dir(spark)
     dates = source.select(F.col(target.partition)).distinct()
-    updated = update_from(_affected(spark, path, target, dates), source, keys, assignments)
+    updated = update_from(_affected(spark, path, target, dates, known_dates), source, keys,
+                          assignments)
     write_target(updated.checkpoint(eager=True), path, target, REPLACE_DATES)
 
 

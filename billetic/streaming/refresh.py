@@ -12,7 +12,7 @@ writes it so that running twice gives the same table:
 * J8 recomputes its whole history, so it overwrites (M5);
 * J7 has no execution date; its rows are re-derived for every purchase
   date from the window's first month on, so those dates are reloaded as a
-  whole (older dates are kept).
+  whole (older dates are kept, and not rewritten).
 
 The checkpoint directory used by the merge steps is the cluster's shared
 ``spark.checkpoint.dir`` (see ``billetic.session``).
@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from billetic.operators import DateWindow
 from billetic.plans import clients, sales, validations
@@ -91,12 +92,27 @@ JOBS: dict[str, Job] = {
 
 def replace_from(spark: SparkSession, path: str, target: T.Target, df: DataFrame,
                  start: dt.date) -> None:
-    """Reload every date >= ``start`` from ``df``, keep older dates."""
+    """Reload every date >= ``start`` from ``df``; older dates are neither
+    read nor rewritten.
+
+    The new rows are checkpointed once, then replace their own dates
+    (dynamic partition overwrite). A date >= ``start`` that only the old
+    table has (every pair on it moved to a later purchase) is emptied by
+    overwriting its partition directory with no rows; there are at most as
+    many such dates as days since ``start``.
+    """
     ensure_target(spark, path, target)
     ensure_checkpoint_dir(spark)
-    kept = read_target(spark, path, target).filter(F.col(target.partition) < F.lit(start))
-    merged = kept.unionByName(T.conform(df, target)).checkpoint(eager=True)
-    write_target(merged, path, target, OVERWRITE)
+    col = target.partition
+    new = T.conform(df, target).checkpoint(eager=True)
+    old_dates = read_target(spark, path, target).filter(F.col(col) >= F.lit(start)).select(col)
+    stale = old_dates.distinct().join(new.select(col).distinct(), col, "left_anti")
+    stale_dates = [r[0] for r in stale.collect()]
+    write_target(new, path, target, REPLACE_DATES)
+    no_rows = spark.createDataFrame(
+        [], StructType([f for f in target.schema.fields if f.name != col]))
+    for day in stale_dates:
+        no_rows.write.mode("overwrite").parquet(f"{path}/{col}={day.isoformat()}")
 
 
 def refresh(
@@ -115,7 +131,7 @@ def refresh(
     df = job.compute(sources, window, as_of)
     ensure_target(spark, path, job.target)
     if job.write == UPSERT:
-        upsert_into(spark, path, job.target, df)
+        upsert_into(spark, path, job.target, df, known_dates=window.days())
     elif job.write == REPLACE_FROM:
         replace_from(spark, path, job.target, df, window.month_starts()[0])
     else:

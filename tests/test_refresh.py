@@ -49,3 +49,19 @@ def test_next_day_moves_the_window(spark, tmp_table):
     refresh(spark, "validation_rate_per_user", src, dt.date(2024, 1, 21), tmp_table)
     days = sorted(r[0] for r in read_target(spark, tmp_table, target).collect())
     assert days == [dt.date(2024, 1, d) for d in range(12, 21)]
+
+
+def test_purchase_delay_reload_empties_stale_dates_and_keeps_older_ones(spark, tmp_table):
+    from billetic.sources.sinks import APPEND, write_target
+    from billetic.sources.targets import PURCHASE_DELAY
+
+    src = FixtureSources(spark, SF_SMALL, "b")
+    old_row = ("1", "Brand#00", "N", dt.date(2001, 1, 5), dt.date(2001, 1, 6), 1)       # before start
+    stale_row = ("1", "Brand#00", "N", dt.date(2001, 12, 25), dt.date(2001, 12, 26), 1)  # no new rows that day
+    write_target(spark.createDataFrame([old_row, stale_row], PURCHASE_DELAY.schema),
+                 tmp_table, PURCHASE_DELAY, APPEND)
+    computed = table(refresh(spark, "purchase_to_validation_delay", src, R.MONTH_START_AS_OF,
+                             tmp_table))
+    stored = table(read_target(spark, tmp_table, PURCHASE_DELAY))
+    assert all(r[3] != dt.date(2001, 12, 25) for r in computed)
+    assert stored == sorted(computed + [old_row], key=str)

@@ -12,13 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billetic.functions import age_band, equipment_label, to_day, week_diff, year_diff
+from billetic.functions import age_band, covers, equipment_label, to_day, week_diff, year_diff
 from billetic.operators import (
     DateWindow,
+    add_months,
     conditional_distinct,
     date_spine,
     first_per_group,
     lookback,
+    on_day_set,
+    on_days,
     spine_join,
     with_period_bounds,
     with_zero_rows,
@@ -216,9 +219,6 @@ def q_validation_rate_replace_dates(spark, sf_dir):
 def q_validation_counts_update(spark, sf_dir, as_of=SALES_AS_OF):
     """M3: J9 the reference's way -- insert the day counts with 0, then
     update the previous-year column from last year's counts."""
-    from billetic.operators import on_day_set, on_days
-    from billetic.operators.window import add_months
-
     window = _w(as_of)
     v = _src(spark, sf_dir, "b").validation().select(
         "DTHR_OPERATION", "LIBEL_LONG_PRODUIRE", "validation_id")
@@ -261,8 +261,6 @@ def q_sales_lines_in_lookback(spark, sf_dir, as_of=SALES_AS_OF):
 def q_contracts_covering_month(spark, sf_dir, as_of=MONTH_START_AS_OF):
     """per execution date, contracts that cover the whole month of the
     date (start on or before its first day, end on or after its last)."""
-    from billetic.functions import covers
-
     window = _w(as_of)
     sd = _src(spark, sf_dir).sale_detail().select(
         to_day("bd_contract_start_date").alias("_start"), to_day("bd_contract_end_date").alias("_end"))

@@ -51,3 +51,16 @@ def test_catalog_tables_give_the_fixture_results(catalogs, name):
     want = table(JOBS[name].compute(fx, window, AS_OF[name]))
     got = table(JOBS[name].compute(cat, window, AS_OF[name]))
     assert got == want and len(want) > 0
+
+
+def test_command_line_refresh_writes_every_report(spark, catalogs, tmp_path):
+    from billetic.sources.sinks import read_target
+    from billetic.streaming.__main__ import main
+
+    root = catalogs["b"][1].root
+    reports = str(tmp_path / "reports")
+    main(["--sources", root, "--reports", reports, "--as-of", "2001-08-01",
+          "--job", "sales_by_channel", "--job", "active_clients"])
+    for name in ("sales_by_channel", "active_clients"):
+        target = JOBS[name].target
+        assert read_target(spark, f"{reports}/{target.name}", target).count() > 0

@@ -103,48 +103,40 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
     return conform(out.withColumnRenamed("d", "DateOfExecution"), ACTIVE_CLIENTS)
 
 
-def active_contract_clients(
-    sale_detail: DataFrame, contact: DataFrame, article: DataFrame, window: DateWindow
-) -> DataFrame:
-    """Per execution date d, product and age band (variant A, age at the
-    first of d's month), distinct contacts whose contract -- started on or
-    after d - 12 months -- covers the whole current month, the previous
-    month, the same month last year. A group exists for d when any of its
-    contracts started on or after d - 12 months.
+# J3 keeps 4 maxima per month of the window in one aggregate; a window of
+# more months (a long backfill) is processed in passes of this many months.
+MONTHS_PER_PASS = 12
 
-    For a fixed month M every condition is "start <= P_start and end >= P_end
-    and start >= d - 12 months". The first two depend on M only, so one
-    aggregate per (contact, product) keeps, for each month of the window and
-    each period, the *latest* qualifying start; the last condition then is
-    "latest start >= d - 12 months", answered per date from a histogram of
-    those starts. The months of the window are known on the driver (at most
-    two for 8 dates), so this is one group-by with a few conditional maxima,
-    with no copy of the contracts per date.
-    """
-    spark = sale_detail.sparkSession
-    months = window.month_starts()
+
+def _chunks(items: list, size: int) -> list[list]:
+    return [items[i:i + size] for i in range(0, len(items), size)]
+
+
+def _latest_covering_starts(
+    sale_detail: DataFrame, article: DataFrame, months: list[dt.date], lower: dt.date
+) -> DataFrame:
+    """Per (contact, product) and month M of ``months``: the latest contract
+    start on or after ``lower`` overall ("any"), and the latest one covering
+    M, the month before, and M a year before; one row per non-NULL value."""
     sd = sale_detail.select("bd_contact_linked", "bd_article_code_lookup",
                             "bd_contract_start_date", "bd_contract_end_date")
-    sd = day_range(sd, "bd_contract_start_date", window.earliest_lookback(12))
+    sd = day_range(sd, "bd_contract_start_date", lower)
     sd = sd.join(article, F.col("bd_article_code_lookup") == F.col("bd_articleid"))
     start, end = to_day("bd_contract_start_date"), to_day("bd_contract_end_date")
 
     def latest_start(p_start: dt.date) -> F.Column:
-        p_end = (add_months(p_start, 1) - dt.timedelta(days=1))
+        p_end = add_months(p_start, 1) - dt.timedelta(days=1)
         return F.max(F.when((end >= F.lit(p_end)) & (start <= F.lit(p_start)), start))
 
-    periods = {"any": lambda m: F.max(start)}
-    periods["cur"] = latest_start
-    periods["last"] = lambda m: latest_start(add_months(m, -1))
-    periods["last_year"] = lambda m: latest_start(add_months(m, -12))
-    aggs = [
-        fn(m).alias(f"{name}_{i}")
-        for i, m in enumerate(months)
-        for name, fn in periods.items()
-    ]
+    periods = {
+        "any": lambda m: F.max(start),
+        "cur": latest_start,
+        "last": lambda m: latest_start(add_months(m, -1)),
+        "last_year": lambda m: latest_start(add_months(m, -12)),
+    }
+    aggs = [fn(m).alias(f"{name}_{i}") for i, m in enumerate(months) for name, fn in periods.items()]
     per_contact = sd.groupBy("bd_contact_linked", "bd_productlonglabel").agg(*aggs)
-
-    stacked = per_contact.select(
+    return per_contact.select(
         "bd_contact_linked", "bd_productlonglabel",
         F.explode(F.array(*[
             F.struct(F.lit(m).alias("_month"), F.lit(name).alias("_period"),
@@ -154,6 +146,34 @@ def active_contract_clients(
     ).select("bd_contact_linked", "bd_productlonglabel", "_p.*").filter(
         F.col("_start").isNotNull()
     )
+
+
+def active_contract_clients(
+    sale_detail: DataFrame, contact: DataFrame, article: DataFrame, window: DateWindow
+) -> DataFrame:
+    """Per execution date d, product and age band (variant A, age at the
+    first of d's month), distinct contacts whose contract -- started on or
+    after d - 12 months -- covers the whole current month, the previous
+    month, the same month last year. A group exists for d when any of its
+    contracts started on or after d - 12 months.
+
+    For a fixed month M every condition is "start <= P_start and end >= P_end
+    and start >= d - 12 months". The first two depend on M only, so one
+    aggregate per (contact, product) keeps, for each month of the window and
+    each period, the *latest* qualifying start; the last condition then is
+    "latest start >= d - 12 months", answered per date from a histogram of
+    those starts. The months of the window are known on the driver (at most
+    two for 8 dates), so this is one group-by with a few conditional maxima,
+    with no copy of the contracts per date (a window of more than 12 months
+    is done in passes of 12 months, each with its own literal lower bound).
+    """
+    spark = sale_detail.sparkSession
+    stacked = None
+    for months in _chunks(window.month_starts(), MONTHS_PER_PASS):
+        first_day = max(window.start, months[0])
+        part = _latest_covering_starts(
+            sale_detail, article, months, add_months(first_day, -12))
+        stacked = part if stacked is None else stacked.unionByName(part)
     with_band = stacked.join(
         contact.select("Id", "birthdate"), F.col("bd_contact_linked") == F.col("Id")
     ).select(

@@ -256,7 +256,7 @@ FROM (
   FROM spine p JOIN sales sd ON CAST(sd.bd_transaction_date AS DATE) >= p.twelve
   WHERE sd.bd_contact_linked IS NULL
   GROUP BY p.d, sd.bd_productlonglabel
-) combined_clients
+) per_branch
 GROUP BY d, bd_productlonglabel"""
     return body, [SOURCES["sales"], spine_cte(_w(as_of))]
 
@@ -270,20 +270,20 @@ def purchase_to_validation_delay(as_of: dt.date = R.SALES_AS_OF):
        CAST(fv.first_validation_date_after_transaction AS DATE) AS first_validation_date_after_transaction,
        CAST(date_diff('day', CAST(lt.max_transaction_date AS DATE),
                       CAST(fv.first_validation_date_after_transaction AS DATE)) AS INTEGER) AS Delai
-FROM LastTransactions lt
-JOIN FirstValidations fv
+FROM last_purchase lt
+JOIN first_tap fv
   ON lt.ms = fv.ms AND lt.bd_contact_linked = fv.bd_linkedcustomer AND fv.rn = 1
 WHERE fv.first_validation_date_after_transaction >= lt.max_transaction_date"""
     ctes = [
         SOURCES["sales"], SOURCES["validation_b"], spine_cte(_w(as_of)),
         "months AS (SELECT DISTINCT ms FROM spine)",
-        """LastTransactions AS (
+        """last_purchase AS (
   SELECT m.ms, s.bd_contact_linked, s.bd_articlelonglabel,
          MAX(s.bd_transaction_date) AS max_transaction_date
   FROM months m JOIN sales s ON CAST(s.bd_transaction_date AS DATE) >= m.ms
   WHERE s.bd_contact_linked IS NOT NULL
   GROUP BY m.ms, s.bd_contact_linked, s.bd_articlelonglabel)""",
-        """FirstValidations AS (
+        """first_tap AS (
   SELECT m.ms, v.bd_linkedcustomer,
          v.DTHR_OPERATION AS first_validation_date_after_transaction,
          v.bd_support_class,
@@ -292,7 +292,7 @@ WHERE fv.first_validation_date_after_transaction >= lt.max_transaction_date"""
                                      v.bd_support_class ASC NULLS LAST) AS rn
   FROM months m
   JOIN validation v ON CAST(v.DTHR_OPERATION AS DATE) >= m.ms
-  JOIN LastTransactions lt ON lt.ms = m.ms AND v.bd_linkedcustomer = lt.bd_contact_linked)""",
+  JOIN last_purchase lt ON lt.ms = m.ms AND v.bd_linkedcustomer = lt.bd_contact_linked)""",
     ]
     return body, ctes
 
@@ -318,10 +318,10 @@ GROUP BY CAST(v.DTHR_OPERATION AS DATE), v.LIBEL_LONG_PRODUIRE, v.bd_support_cla
 
 def validation_counts_yoy(as_of: dt.date = R.SALES_AS_OF):
     body = """SELECT ins.Date_de_validation, ins.Type_abonnement, ins.Nombre_de_validation,
-       CAST(COALESCE(pv.PrevYearCount, ins.Nombre_de_validation_annee_precedente) AS INTEGER)
+       CAST(COALESCE(pv.prev_count, ins.Nombre_de_validation_annee_precedente) AS INTEGER)
          AS Nombre_de_validation_annee_precedente
 FROM inserted ins
-LEFT JOIN pv ON ins.Date_de_validation = pv.PrevYearDate AND ins.Type_abonnement = pv.LIBEL_LONG_PRODUIRE"""
+LEFT JOIN pv ON ins.Date_de_validation = pv.shifted_day AND ins.Type_abonnement = pv.LIBEL_LONG_PRODUIRE"""
     ctes = [
         SOURCES["validation_b"], spine_cte(_w(as_of)),
         """inserted AS (
@@ -332,9 +332,9 @@ LEFT JOIN pv ON ins.Date_de_validation = pv.PrevYearDate AND ins.Type_abonnement
   FROM spine p JOIN validation v ON CAST(v.DTHR_OPERATION AS DATE) = p.d
   GROUP BY CAST(v.DTHR_OPERATION AS DATE), v.LIBEL_LONG_PRODUIRE)""",
         """pv AS (
-  SELECT CAST(v.DTHR_OPERATION + INTERVAL 1 YEAR AS DATE) AS PrevYearDate,
+  SELECT CAST(v.DTHR_OPERATION + INTERVAL 1 YEAR AS DATE) AS shifted_day,
          v.LIBEL_LONG_PRODUIRE,
-         COUNT(DISTINCT v.validation_id) AS PrevYearCount
+         COUNT(DISTINCT v.validation_id) AS prev_count
   FROM validation v
   WHERE CAST(v.DTHR_OPERATION AS DATE) IN (SELECT CAST(p.d - INTERVAL 1 YEAR AS DATE) FROM spine p)
   GROUP BY CAST(v.DTHR_OPERATION + INTERVAL 1 YEAR AS DATE), v.LIBEL_LONG_PRODUIRE)""",
@@ -343,20 +343,20 @@ LEFT JOIN pv ON ins.Date_de_validation = pv.PrevYearDate AND ins.Type_abonnement
 
 
 def validation_rate_per_user(as_of: dt.date = R.EVENTS_AS_OF, spine: str = "spine"):
-    body = f"""SELECT DV.ValidationDate,
-       CAST(SUM(DV.ValidationCount) AS DOUBLE) / NULLIF(DU.UsersValidated, 0) AS AverageValidationsPerUser
+    body = f"""SELECT pc.ValidationDate,
+       CAST(SUM(pc.n_taps) AS DOUBLE) / NULLIF(pd.n_users, 0) AS AverageValidationsPerUser
 FROM (
-  SELECT CAST(v.DTHR_OPERATION AS DATE) AS ValidationDate, v.bd_linkedcustomer, COUNT(*) AS ValidationCount
+  SELECT CAST(v.DTHR_OPERATION AS DATE) AS ValidationDate, v.bd_linkedcustomer, COUNT(*) AS n_taps
   FROM {spine} p JOIN validation v ON CAST(v.DTHR_OPERATION AS DATE) = p.d
   GROUP BY CAST(v.DTHR_OPERATION AS DATE), v.bd_linkedcustomer
-) DV
+) pc
 JOIN (
-  SELECT ValidationDate, COUNT(DISTINCT bd_linkedcustomer) AS UsersValidated
+  SELECT ValidationDate, COUNT(DISTINCT bd_linkedcustomer) AS n_users
   FROM (SELECT CAST(v.DTHR_OPERATION AS DATE) AS ValidationDate, v.bd_linkedcustomer
         FROM {spine} p JOIN validation v ON CAST(v.DTHR_OPERATION AS DATE) = p.d) x
   GROUP BY ValidationDate
-) DU ON DV.ValidationDate = DU.ValidationDate
-GROUP BY DV.ValidationDate, DU.UsersValidated"""
+) pd ON pc.ValidationDate = pd.ValidationDate
+GROUP BY pc.ValidationDate, pd.n_users"""
     return body, [SOURCES["validation_a"], spine_cte(_w(as_of), spine)]
 
 

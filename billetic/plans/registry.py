@@ -232,9 +232,9 @@ def q_validation_counts_update(spark, sf_dir, as_of=SALES_AS_OF):
     prev = on_day_set(v, "DTHR_OPERATION", prev_days, "_ly").groupBy(
         F.add_months("_ly", 12).alias("Date_de_validation"),
         F.col("LIBEL_LONG_PRODUIRE").alias("Type_abonnement"),
-    ).agg(F.countDistinct("validation_id").alias("PrevYearCount"))
+    ).agg(F.countDistinct("validation_id").alias("_prev_count"))
     return update_from(inserted, prev, ["Date_de_validation", "Type_abonnement"],
-                       {"Nombre_de_validation_annee_precedente": "PrevYearCount"})
+                       {"Nombre_de_validation_annee_precedente": "_prev_count"})
 
 
 def q_duplicate_validation_ids(spark, sf_dir):

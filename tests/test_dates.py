@@ -101,9 +101,9 @@ def test_jobs_over_a_fourteen_month_window(spark, con, name, monkeypatch):
     body, ctes = LONG_WINDOW_JOBS[name]()
     ctes = [c for c in ctes if not c.startswith("spine")] + [O.spine_cte(window)]
     # the months CTE of J7 reads the spine, so it must come after it
-    ctes = [c for c in ctes if not c.startswith(("months", "LastTransactions", "FirstValidations",
+    ctes = [c for c in ctes if not c.startswith(("months", "last_purchase", "first_tap",
                                                  "inserted", "pv"))] + \
-        [c for c in ctes if c.startswith(("months", "LastTransactions", "FirstValidations",
+        [c for c in ctes if c.startswith(("months", "last_purchase", "first_tap",
                                           "inserted", "pv"))]
     s_cols, s_rows = canonical(*run_spark(got))
     d_cols, d_rows = canonical(*run_duckdb(con, O.with_ctes(ctes, body)))

@@ -79,9 +79,9 @@ def test_update_into_sets_matches_only(spark, tmp_table):
                  VALIDATION_COUNTS, REPLACE_DATES)
     src = spark.createDataFrame(
         [(D(2024, 1, 1), "P", 4), (D(2024, 1, 1), None, 9), (D(2024, 1, 3), "P", 1)],
-        "Date_de_validation date, Type_abonnement string, PrevYearCount long")
+        "Date_de_validation date, Type_abonnement string, prev_count long")
     update_into(spark, tmp_table, VALIDATION_COUNTS, src, ["Date_de_validation", "Type_abonnement"],
-                {"Nombre_de_validation_annee_precedente": "PrevYearCount"})
+                {"Nombre_de_validation_annee_precedente": "prev_count"})
     assert sorted_rows(read_target(spark, tmp_table, VALIDATION_COUNTS)) == sorted([
         (D(2024, 1, 1), "P", 5, 4), (D(2024, 1, 1), None, 2, 0), (D(2024, 1, 2), "P", 7, 0)], key=str)
 

@@ -1,0 +1,82 @@
+"""The expected figures of FIXTURES.md section 3 (rows and column totals of
+every job, computed separately from the reference's rules), at sf0.001 and
+sf0.01."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from billetic.plans import registry as R
+
+SF = {"sf0.001": "/root/testdata/sf0.001", "sf0.01": "/root/testdata/sf0.01"}
+
+
+def is_null(c):
+    return F.sum(F.col(c).isNull().cast("int"))
+
+
+def equals(c, v):
+    return F.sum((F.col(c) == v).cast("int"))
+
+
+# (query, aggregates) -> {sf: (rows, *totals)}
+FIGURES = [
+    ("J1", lambda sp, d: R.q_title_sales_by_support(sp, d),
+     lambda: [F.sum("Sales"), F.sum("unique_cards"), F.sum("average_sales"), is_null("support_type")],
+     {"sf0.001": (24, 188, 30, 147, 4), "sf0.01": (43, 973, 170, 219, 8)}),
+    ("J2", lambda sp, d: R.q_active_clients(sp, d, R.SALES_AS_OF, "b"),
+     lambda: [F.sum("CurrentMonthActiveClients"), F.sum("LastMonthActiveClients"),
+              F.sum("LastYearSameMonthActiveClients")],
+     {"sf0.001": (8, 912, 320, 58), "sf0.01": (8, 8824, 3800, 622)}),
+    ("J3", lambda sp, d: R.q_active_contract_clients(sp, d, R.SALES_AS_OF),
+     lambda: [F.sum("CurrentMonthActiveClients"), F.sum("LastMonthActiveClients"),
+              F.sum("LastYearSameMonthActiveClients")],
+     {"sf0.001": (288, 2627, 2651, 0), "sf0.01": (288, 25563, 25559, 0)}),
+    ("J3 first of month", lambda sp, d: R.q_active_contract_clients(sp, d, R.MONTH_START_AS_OF),
+     lambda: [F.sum("CurrentMonthActiveClients"), F.sum("LastMonthActiveClients"),
+              F.sum("LastYearSameMonthActiveClients")],
+     {"sf0.001": (288, 2631, 2646, 3), "sf0.01": (288, 25605, 25541, 16)}),
+    ("J4", lambda sp, d: R.q_clients_by_line(sp, d),
+     lambda: [equals("ClientType", "Client Non Connu"), is_null("Age"), equals("AgeCategory", "65+")],
+     {"sf0.001": (244, 37, 65, 74), "sf0.01": (2372, 51, 249, 870)}),
+    ("J5", lambda sp, d: R.q_avg_weekly_validations(sp, d),
+     lambda: [F.sum("ValidationCount"), is_null("AverageValidationsPerWeek"), is_null("Weeks"),
+              F.round(F.sum("AverageValidationsPerWeek"), 6)],
+     {"sf0.001": (38, 2424, 0, 0, 220.829237), "sf0.01": (518, 28628, 24, 20, 5162.742387)}),
+    ("J6", lambda sp, d: R.q_total_clients(sp, d),
+     lambda: [F.sum("total_clients")],
+     {"sf0.001": (48, 4077), "sf0.01": (48, 41404)}),
+    ("J7", lambda sp, d: R.q_purchase_to_validation_delay(sp, d, R.SALES_AS_OF),
+     lambda: [F.sum("Delai")],
+     {"sf0.001": (59, 2731), "sf0.01": (445, 19212)}),
+    ("J7 two months", lambda sp, d: R.q_purchase_to_validation_delay(sp, d, R.MONTH_START_AS_OF),
+     lambda: [F.sum("Delai")],
+     {"sf0.001": (63, 2923), "sf0.01": (450, 19217)}),
+    ("J8", lambda sp, d: R.q_validations_by_age(sp, d),
+     lambda: [F.sum("Nombre_de_validation")],
+     {"sf0.001": (837, 900), "sf0.01": (6526, 9000)}),
+    ("J9", lambda sp, d: R.q_validation_counts_yoy(sp, d, R.SALES_AS_OF),
+     lambda: [F.sum("Nombre_de_validation"), F.sum("Nombre_de_validation_annee_precedente"),
+              equals("Nombre_de_validation_annee_precedente", 0)],
+     {"sf0.001": (20, 29, 7, 15), "sf0.01": (48, 200, 186, 2)}),
+    ("J9 leap lookup", lambda sp, d: R.q_validation_counts_yoy(sp, d, R.LEAP_LOOKUP_AS_OF),
+     lambda: [F.sum("Nombre_de_validation"), F.sum("Nombre_de_validation_annee_precedente")],
+     {"sf0.001": (16, 19, 5), "sf0.01": (47, 202, 194)}),
+    ("J9 leap window", lambda sp, d: R.q_validation_counts_yoy(sp, d, R.LEAP_WINDOW_AS_OF),
+     lambda: [F.sum("Nombre_de_validation"), F.sum("Nombre_de_validation_annee_precedente")],
+     {"sf0.001": (18, 19, 11), "sf0.01": (48, 202, 166)}),
+    ("J10", lambda sp, d: R.q_validation_rate_per_user(sp, d),
+     lambda: [F.round(F.sum("AverageValidationsPerUser"), 6)],
+     {"sf0.001": (8, 19.24309), "sf0.01": (8, 20.448514)}),
+    ("J11", lambda sp, d: R.q_sales_by_channel(sp, d),
+     lambda: [F.sum("SalesQuant"), F.sum("Sales")],
+     {"sf0.001": (38, 38, 2478995), "sf0.01": (107, 166, 12481756)}),
+]
+
+
+@pytest.mark.parametrize("sf", sorted(SF))
+@pytest.mark.parametrize("label,query,aggs,expected", FIGURES, ids=[f[0] for f in FIGURES])
+def test_expected_figures(spark, sf, label, query, aggs, expected):
+    df = query(spark, SF[sf])
+    totals = df.agg(F.count(F.lit(1)), *aggs()).first()
+    got = tuple(float(x) if x is not None else 0.0 for x in totals)
+    assert got == pytest.approx(tuple(float(x) for x in expected[sf]), abs=1e-6)

@@ -4,7 +4,6 @@
 from billetic.operators.aggregates import (
     conditional_distinct,
     count_at_least,
-    distinct_count,
     last_seen_histogram,
     with_zero_rows,
 )
@@ -33,7 +32,6 @@ __all__ = [
     "count_at_least",
     "date_spine",
     "day_range",
-    "distinct_count",
     "first_per_group",
     "last_seen_histogram",
     "lookback",

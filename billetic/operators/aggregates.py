@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billetic.functions._cols import as_col
 from billetic.operators.window import DateWindow, broadcast_spine
 
 
@@ -93,7 +92,3 @@ def with_zero_rows(spine: DataFrame, df: DataFrame, d: str, cols: Sequence[str])
     joined = spine.select(d).join(df, d, "left")
     return joined.select(d, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols])
 
-
-def distinct_count(c) -> Column:
-    """``COUNT(DISTINCT c)`` (exact, NULL ignored)."""
-    return F.countDistinct(as_col(c))

@@ -79,7 +79,8 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(2, int(cpus) * 2)))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions)
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if kv)
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions, extra=extra)
     qs = R.QUERIES
 
     for name in JOBS:                       # warm-up (JIT, file listing cache)

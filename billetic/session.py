@@ -6,7 +6,8 @@ settings that matter at scale:
 
 * ``spark.sql.session.timeZone=UTC`` -- every "day" is the calendar day of a
   timestamp without time zone; a session zone must never shift it.
-* AQE on, with partition coalescing and skew-join splitting: small aggregate
+* AQE on, with partition coalescing (to the advisory size, not to one
+  partition per core) and skew-join splitting: small aggregate
   tables become broadcasts at run time only when their *measured* size is
   under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; big ones stay
   sort-merge joins, and a hot key (anonymous card, a very active customer) is
@@ -42,6 +43,9 @@ def build_session(
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # merge small shuffle partitions up to the advisory size rather than
+        # keeping one per core: fewer tiny tasks on a busy cluster
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -63,14 +63,9 @@ def single_date_loop(spark, sf_dir, name) -> float:
     as_of = LOOPABLE[name]
     fn = getattr(R, f"q_{name}")
     total = 0.0
-    orig = R._w
-    try:
-        for back in range(8, 0, -1):
-            day = as_of - dt.timedelta(days=back)
-            R._w = lambda _as_of, _d=day: DateWindow.single(_d)
-            total += run(fn(spark, sf_dir))
-    finally:
-        R._w = orig
+    for back in range(8, 0, -1):
+        day = as_of - dt.timedelta(days=back)
+        total += run(fn(spark, sf_dir, as_of, window=DateWindow.single(day)))
     return total
 
 

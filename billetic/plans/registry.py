@@ -66,44 +66,45 @@ def _src(spark: SparkSession, sf_dir: str, kind: str = "a") -> FixtureSources:
     return FixtureSources(spark, sf_dir, kind)
 
 
-def _w(as_of: dt.date) -> DateWindow:
-    return DateWindow.trailing(as_of)
+def _w(as_of: dt.date, window: DateWindow | None = None) -> DateWindow:
+    """The run's window: the trailing 8 dates of ``as_of`` unless given."""
+    return window if window is not None else DateWindow.trailing(as_of)
 
 
 # -- the 11 jobs -------------------------------------------------------------
 
-def q_title_sales_by_support(spark, sf_dir, as_of=SALES_AS_OF):
+def q_title_sales_by_support(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     s = _src(spark, sf_dir)
-    return title_sales_by_support(s.sale_detail(), s.support(), s.sales(), _w(as_of))
+    return title_sales_by_support(s.sale_detail(), s.support(), s.sales(), _w(as_of, window))
 
 
-def q_active_clients(spark, sf_dir, as_of=SALES_AS_OF, kind="b"):
+def q_active_clients(spark, sf_dir, as_of=SALES_AS_OF, kind="b", window=None):
     s = _src(spark, sf_dir, kind)
-    return active_clients(s.validation(), s.card(), _w(as_of))
+    return active_clients(s.validation(), s.card(), _w(as_of, window))
 
 
-def q_active_contract_clients(spark, sf_dir, as_of=SALES_AS_OF):
+def q_active_contract_clients(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     s = _src(spark, sf_dir)
-    return active_contract_clients(s.sale_detail(), s.contact(), s.article(), _w(as_of))
+    return active_contract_clients(s.sale_detail(), s.contact(), s.article(), _w(as_of, window))
 
 
-def q_clients_by_line(spark, sf_dir, as_of=EVENTS_AS_OF):
+def q_clients_by_line(spark, sf_dir, as_of=EVENTS_AS_OF, window=None):
     s = _src(spark, sf_dir, "a")
-    return clients_by_line(s.validation(), s.contact(), s.line(), _w(as_of))
+    return clients_by_line(s.validation(), s.contact(), s.line(), _w(as_of, window))
 
 
-def q_avg_weekly_validations(spark, sf_dir, as_of=EVENTS_AS_OF):
+def q_avg_weekly_validations(spark, sf_dir, as_of=EVENTS_AS_OF, window=None):
     s = _src(spark, sf_dir, "a")
-    return avg_weekly_validations(s.validation(), s.contact(), _w(as_of))
+    return avg_weekly_validations(s.validation(), s.contact(), _w(as_of, window))
 
 
-def q_total_clients(spark, sf_dir, as_of=SALES_AS_OF):
-    return total_clients(_src(spark, sf_dir).sales(), _w(as_of))
+def q_total_clients(spark, sf_dir, as_of=SALES_AS_OF, window=None):
+    return total_clients(_src(spark, sf_dir).sales(), _w(as_of, window))
 
 
-def q_purchase_to_validation_delay(spark, sf_dir, as_of=SALES_AS_OF):
+def q_purchase_to_validation_delay(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     s = _src(spark, sf_dir, "b")
-    return purchase_to_validation_delay(s.sales(), s.validation(), _w(as_of))
+    return purchase_to_validation_delay(s.sales(), s.validation(), _w(as_of, window))
 
 
 def q_validations_by_age(spark, sf_dir, as_of=EVENTS_AS_OF):
@@ -111,16 +112,16 @@ def q_validations_by_age(spark, sf_dir, as_of=EVENTS_AS_OF):
     return validations_by_age(s.validation(), s.contact(), as_of)
 
 
-def q_validation_counts_yoy(spark, sf_dir, as_of=SALES_AS_OF):
-    return validation_counts_yoy(_src(spark, sf_dir, "b").validation(), _w(as_of))
+def q_validation_counts_yoy(spark, sf_dir, as_of=SALES_AS_OF, window=None):
+    return validation_counts_yoy(_src(spark, sf_dir, "b").validation(), _w(as_of, window))
 
 
-def q_validation_rate_per_user(spark, sf_dir, as_of=EVENTS_AS_OF):
-    return validation_rate_per_user(_src(spark, sf_dir, "a").validation(), _w(as_of))
+def q_validation_rate_per_user(spark, sf_dir, as_of=EVENTS_AS_OF, window=None):
+    return validation_rate_per_user(_src(spark, sf_dir, "a").validation(), _w(as_of, window))
 
 
-def q_sales_by_channel(spark, sf_dir, as_of=SALES_AS_OF):
-    return sales_by_channel(_src(spark, sf_dir).sales(), _w(as_of))
+def q_sales_by_channel(spark, sf_dir, as_of=SALES_AS_OF, window=None):
+    return sales_by_channel(_src(spark, sf_dir).sales(), _w(as_of, window))
 
 
 # -- operators applied to the tables ----------------------------------------
@@ -164,12 +165,12 @@ def q_equipment_labels(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def q_active_clients_by_spine_join(spark, sf_dir, as_of=SALES_AS_OF, kind="b"):
+def q_active_clients_by_spine_join(spark, sf_dir, as_of=SALES_AS_OF, kind="b", window=None):
     """A4 + N6 + A9: J2 written the direct way -- distinct (customer, day),
     broadcast range join to the dates, conditional distinct counts. Must
     equal ``active_clients`` (a property check of the histogram plan)."""
     s = _src(spark, sf_dir, kind)
-    window = _w(as_of)
+    window = _w(as_of, window)
     v = lookback(s.validation(), "DTHR_OPERATION", window)
     v = v.join(s.card(), "bd_mobibnumber", "left_semi").select(
         "bd_linkedcustomer", to_day("DTHR_OPERATION").alias("_day")
@@ -216,10 +217,10 @@ def q_validation_rate_replace_dates(spark, sf_dir):
     return replace_dates(older, newer, "ValidationDate")
 
 
-def q_validation_counts_update(spark, sf_dir, as_of=SALES_AS_OF):
+def q_validation_counts_update(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     """M3: J9 the reference's way -- insert the day counts with 0, then
     update the previous-year column from last year's counts."""
-    window = _w(as_of)
+    window = _w(as_of, window)
     v = _src(spark, sf_dir, "b").validation().select(
         "DTHR_OPERATION", "LIBEL_LONG_PRODUIRE", "validation_id")
     inserted = on_days(v, "DTHR_OPERATION", window, "Date_de_validation").groupBy(
@@ -243,12 +244,12 @@ def q_duplicate_validation_ids(spark, sf_dir):
     return duplicate_keys(v, ["validation_id"])
 
 
-def q_sales_lines_in_lookback(spark, sf_dir, as_of=SALES_AS_OF):
+def q_sales_lines_in_lookback(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     """P5 + N6: per execution date, sales rows and transactions on or after
     d - 12 months (no upper bound): the literal least bound is pushed to the
     scan, the exact per-date bound is a broadcast range join on rows reduced
     to (transaction, day) -> rows first."""
-    window = _w(as_of)
+    window = _w(as_of, window)
     s = lookback(_src(spark, sf_dir).sales(), "bd_transaction_date", window)
     per_day = s.groupBy("bd_sales_transaction_id", to_day("bd_transaction_date").alias("_day")).agg(
         F.count(F.lit(1)).alias("_n"))
@@ -258,10 +259,10 @@ def q_sales_lines_in_lookback(spark, sf_dir, as_of=SALES_AS_OF):
                               F.countDistinct("bd_sales_transaction_id").alias("n_transactions"))
 
 
-def q_contracts_covering_month(spark, sf_dir, as_of=MONTH_START_AS_OF):
+def q_contracts_covering_month(spark, sf_dir, as_of=MONTH_START_AS_OF, window=None):
     """per execution date, contracts that cover the whole month of the
     date (start on or before its first day, end on or after its last)."""
-    window = _w(as_of)
+    window = _w(as_of, window)
     sd = _src(spark, sf_dir).sale_detail().select(
         to_day("bd_contract_start_date").alias("_start"), to_day("bd_contract_end_date").alias("_end"))
     per_span = sd.groupBy("_start", "_end").agg(F.count(F.lit(1)).alias("_n"))

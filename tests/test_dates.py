@@ -92,12 +92,11 @@ LONG_WINDOW_JOBS = {
 
 
 @pytest.mark.parametrize("name", sorted(LONG_WINDOW_JOBS))
-def test_jobs_over_a_fourteen_month_window(spark, con, name, monkeypatch):
+def test_jobs_over_a_fourteen_month_window(spark, con, name):
     from billetic.operators import DateWindow
 
     window = DateWindow(D(2000, 6, 1), D(2001, 7, 31))
-    monkeypatch.setattr(R, "_w", lambda _as_of: window)
-    got = R.QUERIES[name](spark, SF_SMALL)
+    got = getattr(R, f"q_{name}")(spark, SF_SMALL, window=window)
     body, ctes = LONG_WINDOW_JOBS[name]()
     ctes = [c for c in ctes if not c.startswith("spine")] + [O.spine_cte(window)]
     # the months CTE of J7 reads the spine, so it must come after it

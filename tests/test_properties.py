@@ -36,15 +36,14 @@ WINDOWED = {
 
 
 @pytest.mark.parametrize("name", sorted(WINDOWED))
-def test_window_equals_union_of_single_dates(spark, name, monkeypatch):
+def test_window_equals_union_of_single_dates(spark, name):
     fn = getattr(R, f"q_{name}")
     as_of = WINDOWED[name]
     whole = fn(spark, SF_SMALL, as_of)
     parts = None
     for back in range(8, 0, -1):
         day = as_of - dt.timedelta(days=back)
-        monkeypatch.setattr(R, "_w", lambda _a, _d=day: DateWindow.single(_d))
-        one = fn(spark, SF_SMALL, as_of)
+        one = fn(spark, SF_SMALL, as_of, window=DateWindow.single(day))
         parts = one if parts is None else parts.unionByName(one)
     assert as_set(whole) == as_set(parts)
 
@@ -117,7 +116,7 @@ def test_previous_year_column_equals_last_years_run(spark):
     assert checked > 0
 
 
-def test_purchase_delay_window_equals_distinct_union_of_single_dates(spark, monkeypatch):
+def test_purchase_delay_window_equals_distinct_union_of_single_dates(spark):
     """J7 inserts one copy per execution date in the reference; the window
     form is the distinct union of the one-date runs (two months here)."""
     as_of = R.MONTH_START_AS_OF
@@ -125,8 +124,8 @@ def test_purchase_delay_window_equals_distinct_union_of_single_dates(spark, monk
     parts = None
     for back in range(8, 0, -1):
         day = as_of - dt.timedelta(days=back)
-        monkeypatch.setattr(R, "_w", lambda _a, _d=day: DateWindow.single(_d))
-        one = R.q_purchase_to_validation_delay(spark, SF_SMALL, as_of)
+        one = R.q_purchase_to_validation_delay(spark, SF_SMALL, as_of,
+                                               window=DateWindow.single(day))
         parts = one if parts is None else parts.unionByName(one)
     assert as_set(whole) == as_set(parts.distinct())
     assert parts.count() > parts.distinct().count()      # the copies the reference would insert

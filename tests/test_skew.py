@@ -10,6 +10,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from billetic.operators import DateWindow
 from billetic.plans import registry as R
 from billetic.plans.clients import active_clients, avg_weekly_validations, clients_by_line
 from billetic.plans.validations import validation_rate_per_user, validations_by_age
@@ -17,6 +18,7 @@ from billetic.sources.fixtures import FixtureSources
 
 SF = "/root/testdata/sf0.01"
 HOT = 7
+WINDOW = DateWindow.trailing(R.EVENTS_AS_OF)
 
 SHUFFLE_EVERYTHING = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -61,11 +63,11 @@ def table(df):
 
 
 JOBS = {
-    "active_clients": lambda s, v: active_clients(v, s.card(), R._w(R.EVENTS_AS_OF)),
-    "clients_by_line": lambda s, v: clients_by_line(v, s.contact(), s.line(), R._w(R.EVENTS_AS_OF)),
-    "avg_weekly_validations": lambda s, v: avg_weekly_validations(v, s.contact(), R._w(R.EVENTS_AS_OF)),
+    "active_clients": lambda s, v: active_clients(v, s.card(), WINDOW),
+    "clients_by_line": lambda s, v: clients_by_line(v, s.contact(), s.line(), WINDOW),
+    "avg_weekly_validations": lambda s, v: avg_weekly_validations(v, s.contact(), WINDOW),
     "validations_by_age": lambda s, v: validations_by_age(v, s.contact(), R.EVENTS_AS_OF),
-    "validation_rate_per_user": lambda s, v: validation_rate_per_user(v, R._w(R.EVENTS_AS_OF)),
+    "validation_rate_per_user": lambda s, v: validation_rate_per_user(v, WINDOW),
 }
 
 
@@ -92,9 +94,9 @@ def test_hot_customer_partition_is_split(spark, hot):
 
 def test_rate_per_user_matches_direct_count(spark, hot):
     src, v = hot
-    got = dict(table(validation_rate_per_user(v, R._w(R.EVENTS_AS_OF))))
+    got = dict(table(validation_rate_per_user(v, WINDOW)))
     days = v.select(F.to_date("DTHR_OPERATION").alias("d"), "bd_linkedcustomer").filter(
-        F.col("d").between(R._w(R.EVENTS_AS_OF).start, R._w(R.EVENTS_AS_OF).end))
+        F.col("d").between(WINDOW.start, WINDOW.end))
     want = {r.d: r.n / r.u for r in days.groupBy("d").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("bd_linkedcustomer").alias("u")).collect()}
     assert got.keys() == want.keys()

@@ -177,12 +177,15 @@ def active_contract_clients(
     with_band = stacked.join(
         contact.select("Id", "birthdate"), F.col("bd_contact_linked") == F.col("Id")
     ).select(
+        "bd_contact_linked",
         F.col("bd_productlonglabel").alias("type_abonnement"),
         age_band(year_diff("birthdate", "_month")).alias("Categorie_age"),
         "_month", "_period", "_start",
     )
+    # distinct contacts: a contact listed twice in the contact table with
+    # two birth dates of the same band is still one client of that band
     hist = with_band.groupBy("type_abonnement", "Categorie_age", "_month", "_period", "_start").agg(
-        F.count(F.lit(1)).alias("n")
+        F.countDistinct("bd_contact_linked").alias("n")
     )
     spine = with_period_bounds(date_spine(spark, window)).select("d", MONTH_START, TWELVE_MONTHS_AGO)
     per_date = count_at_least(

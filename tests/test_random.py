@@ -1,6 +1,7 @@
-"""Random logical tables (NULLs, duplicates, shared labels, missing
-dimension rows, dates around month and year ends) -> every job on Spark
-against the reference-style oracle SQL run by DuckDB on the same rows."""
+"""Random logical tables (NULLs in keys, times and ids, duplicates, ties,
+shared labels, missing dimension rows, a hot customer, dates around month
+and year ends) -> every job on Spark against the reference-style oracle SQL
+run by DuckDB on the same rows."""
 
 import datetime as dt
 import random
@@ -45,25 +46,29 @@ def maybe(rng, value, p_null=0.15):
 
 
 def moment(rng, lo: D, hi: D) -> T:
+    """A time in [lo, hi]; on the hour, so that ties are frequent."""
     day = lo + dt.timedelta(days=rng.randrange((hi - lo).days + 1))
-    return T(day.year, day.month, day.day, rng.randrange(24), rng.randrange(60))
+    return T(day.year, day.month, day.day, rng.randrange(24))
 
 
 def tables(seed: int, as_of: D) -> dict:
     rng = random.Random(seed)
     lo, hi = as_of - dt.timedelta(days=430), as_of + dt.timedelta(days=20)
     customers = list(range(1, 13))
+    hot = seed % 2 == 1                     # odd worlds: customer 1 has a third of the taps
     out = {}
     out["validation"] = []
     for _ in range(400):
-        c = maybe(rng, rng.choice(customers), 0.2)
+        c = 1 if hot and rng.random() < 0.33 else maybe(rng, rng.choice(customers), 0.2)
         card = "0" if c is None or rng.random() < 0.05 else str(c)
         out["validation"].append((
-            rng.randrange(1, 330), moment(rng, lo, hi), c, card, rng.randrange(6),
-            maybe(rng, rng.choice(["A", "B"]), 0.1), maybe(rng, rng.choice(["S0", "S1"]), 0.1)))
+            maybe(rng, rng.randrange(1, 330), 0.03), maybe(rng, moment(rng, lo, hi), 0.02), c, card,
+            rng.randrange(6), maybe(rng, rng.choice(["A", "B"]), 0.1),
+            maybe(rng, rng.choice(["S0", "S1"]), 0.1)))
     out["sales"] = []
     for tx in range(1, 90):
-        when, contact = moment(rng, lo, hi), maybe(rng, rng.choice(customers), 0.25)
+        when = maybe(rng, moment(rng, lo, hi), 0.03)
+        contact = maybe(rng, rng.choice(customers), 0.25)
         for _ in range(rng.randrange(1, 4)):
             out["sales"].append((
                 tx, when, contact, maybe(rng, rng.choice(["P1", "P2"]), 0.1),
@@ -74,6 +79,7 @@ def tables(seed: int, as_of: D) -> dict:
     for _ in range(220):
         start = moment(rng, lo, hi)
         end = maybe(rng, start + dt.timedelta(days=rng.randrange(0, 400)), 0.1)
+        start = maybe(rng, start, 0.03)
         out["sale_detail"].append((
             rng.randrange(1, 95), maybe(rng, rng.randrange(1, 11), 0.15),
             maybe(rng, rng.choice(customers), 0.1), rng.randrange(1, 6), start, end))

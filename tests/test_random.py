@@ -66,7 +66,7 @@ def tables(seed: int, as_of: D) -> dict:
             rng.randrange(6), maybe(rng, rng.choice(["A", "B"]), 0.1),
             maybe(rng, rng.choice(["S0", "S1"]), 0.1)))
     out["sales"] = []
-    for tx in range(1, 90):
+    for tx in range(1, 300):                # several transactions a day
         when = maybe(rng, moment(rng, lo, hi), 0.03)
         contact = maybe(rng, rng.choice(customers), 0.25)
         for _ in range(rng.randrange(1, 4)):
@@ -75,13 +75,21 @@ def tables(seed: int, as_of: D) -> dict:
                 rng.choice(["A1", "A2", "A3"]),
                 maybe(rng, rng.choice(["MG", "DI", "VM", "TW", "PC", "XX"]), 0.1),
                 Decimal(rng.randrange(-500, 5000)) / 100))
+    # a burst inside the window: several sales a day with the same labels, so
+    # that rows of one day at different times must be grouped together
+    for tx in range(400, 460):
+        when = moment(rng, as_of - dt.timedelta(days=8), as_of - dt.timedelta(days=1))
+        for _ in range(rng.randrange(1, 3)):
+            out["sales"].append((tx, when, maybe(rng, rng.choice(customers), 0.25), "P1", "A1",
+                                 rng.choice(["MG", "DI"]), Decimal(rng.randrange(100, 900)) / 100))
     out["sale_detail"] = []
     for _ in range(220):
         start = moment(rng, lo, hi)
         end = maybe(rng, start + dt.timedelta(days=rng.randrange(0, 400)), 0.1)
         start = maybe(rng, start, 0.03)
         out["sale_detail"].append((
-            rng.randrange(1, 95), maybe(rng, rng.randrange(1, 11), 0.15),
+            rng.choice([rng.randrange(1, 305), rng.randrange(400, 460)]),
+            maybe(rng, rng.randrange(1, 11), 0.15),
             maybe(rng, rng.choice(customers), 0.1), rng.randrange(1, 6), start, end))
     out["support"] = [(i, 899240000 + rng.randrange(7)) for i in range(1, 11)] + [(4, 899240001)]
     out["contact"] = []

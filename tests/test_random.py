@@ -95,23 +95,35 @@ def tables(seed: int, as_of: D) -> dict:
     out["contact"] = []
     for c in customers + [3, 7]:                     # two ids appear twice
         birth = maybe(rng, D(1930, 1, 1) + dt.timedelta(days=rng.randrange(36500)), 0.15)
-        created = maybe(rng, as_of - dt.timedelta(days=rng.randrange(-10, 500)), 0.1)
-        out["contact"].append((c, birth, created))
+        created = as_of - dt.timedelta(days=rng.randrange(-10, 500))
+        if seed % 4 >= 2:                            # a timestamp with a time of day
+            created = T(created.year, created.month, created.day, rng.randrange(24))
+        out["contact"].append((c, birth, maybe(rng, created, 0.1)))
     out["article"] = [(1, "Abo1"), (2, "Abo2"), (3, None), (4, "Abo1"), (2, "Abo2")]  # no 5
     out["line"] = [(0, "L0"), (1, "L1"), (2, "L1"), (3, "L3"), (4, None)]  # 5 is missing
     out["card"] = [(str(c),) for c in customers if rng.random() < 0.8] + [("0",)]
     return out
 
 
-def spark_frames(spark, data):
-    return {n: spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in SCHEMAS[n]))
+def schemas(seed: int) -> dict:
+    if seed % 4 < 2:
+        return SCHEMAS
+    out = dict(SCHEMAS)
+    out["contact"] = [("Id", "long"), ("birthdate", "date"), ("createdon", "timestamp_ntz")]
+    return out
+
+
+def spark_frames(spark, data, seed):
+    sch = schemas(seed)
+    return {n: spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in sch[n]))
             for n, rows in data.items()}
 
 
-def duck(data):
+def duck(data, seed):
     con = duckdb.connect()
+    sch = schemas(seed)
     for name, rows in data.items():
-        schema = pa.schema([(c, ARROW[t]) for c, t in SCHEMAS[name]])
+        schema = pa.schema([(c, ARROW[t]) for c, t in sch[name]])
         cols = list(zip(*rows)) if rows else [[] for _ in schema]
         table = pa.table([pa.array(list(col), type=f.type) for col, f in zip(cols, schema)],
                          schema=schema)
@@ -165,7 +177,7 @@ def worlds(spark):
     out = {}
     for seed, as_of in AS_OF.items():
         data = tables(seed, as_of)
-        out[seed] = (Src(spark_frames(spark, data)), duck(data), as_of)
+        out[seed] = (Src(spark_frames(spark, data, seed)), duck(data, seed), as_of)
     return out
 
 

@@ -129,9 +129,10 @@ def delete_where(df: DataFrame, cond: Column) -> DataFrame:
 
 def replace_dates(target: DataFrame, source: DataFrame, day: str) -> DataFrame:
     """M6 as a pure operator: the target without the source's dates, plus the
-    source."""
-    dates = source.select(day).distinct()
-    kept = target.join(dates, day, "left_anti")
+    source. A NULL date is a date like the others (dynamic partition
+    overwrite replaces the NULL partition too)."""
+    dates = source.select(F.col(day).alias("_day")).distinct()
+    kept = target.join(dates, target[day].eqNullSafe(dates["_day"]), "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 

@@ -1,0 +1,71 @@
+"""The table-changing operators on random tables with NULL keys and
+duplicates, against the same statements in DuckDB SQL."""
+
+import datetime as dt
+import random
+
+import duckdb
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from billetic.sources.sinks import delete_where, replace_dates, update_from, upsert
+from billetic.testing import canonical, run_duckdb, run_spark
+
+D = dt.date
+SCHEMA = "day date, label string, value long"
+
+
+def rows(rng, n, unique_keys):
+    out, seen = [], set()
+    while len(out) < n:
+        key = (rng.choice([D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 3), None]),
+               rng.choice(["a", "b", "c", None]))
+        if unique_keys and key in seen:
+            continue
+        seen.add(key)
+        out.append((*key, rng.choice([rng.randrange(-5, 10), None])))
+    return out
+
+
+def frames(spark, seed):
+    rng = random.Random(seed)
+    target, source = rows(rng, 12, False), rows(rng, 6, True)
+    con = duckdb.connect()
+    for name, data in (("target", target), ("source", source)):
+        pdf = pd.DataFrame(data, columns=["day", "label", "value"]).astype(
+            {"label": "object", "value": "Int64"})
+        pdf["day"] = pd.to_datetime(pdf["day"]).dt.date
+        con.register(f"{name}_df", pdf)
+        con.execute(f"CREATE VIEW {name} AS SELECT CAST(day AS DATE) AS day, label, "
+                    f"CAST(value AS BIGINT) AS value FROM {name}_df")
+    return spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA), con
+
+
+def same(df, con, sql):
+    assert canonical(*run_spark(df)) == canonical(*run_duckdb(con, sql))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_operators_match_sql(spark, seed):
+    target, source, con = frames(spark, seed)
+    same(upsert(target, source, ["day", "label"], null_safe=True), con, """
+        SELECT * FROM target t WHERE NOT EXISTS (
+          SELECT 1 FROM source s WHERE s.day IS NOT DISTINCT FROM t.day
+                                   AND s.label IS NOT DISTINCT FROM t.label)
+        UNION ALL SELECT * FROM source""")
+    same(upsert(target, source, ["day", "label"], null_safe=False), con, """
+        SELECT * FROM target t WHERE NOT EXISTS (
+          SELECT 1 FROM source s WHERE s.day = t.day AND s.label = t.label)
+        UNION ALL SELECT * FROM source""")
+    same(update_from(target, source.withColumnRenamed("value", "v"), ["day", "label"],
+                     {"value": "v"}), con, """
+        SELECT t.day, t.label,
+               CASE WHEN s.day IS NOT NULL THEN s.value ELSE t.value END AS value
+        FROM target t LEFT JOIN source s ON s.day = t.day AND s.label = t.label""")
+    same(replace_dates(target, source, "day"), con, """
+        SELECT * FROM target t WHERE NOT EXISTS (
+          SELECT 1 FROM source s WHERE s.day IS NOT DISTINCT FROM t.day)
+        UNION ALL SELECT * FROM source""")
+    same(delete_where(target, F.col("value") < 3), con,
+         "SELECT * FROM target WHERE NOT COALESCE(value < 3, FALSE)")

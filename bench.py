@@ -69,6 +69,14 @@ def single_date_loop(spark, sf_dir, name) -> float:
     return total
 
 
+def _scale_factor(sf_dir: str):
+    name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -91,7 +99,7 @@ def main():
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
-        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "sf": _scale_factor(sf_dir),
         "cpus": int(cpus),
         "repeats": repeats,
     }

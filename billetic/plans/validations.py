@@ -89,7 +89,11 @@ def purchase_to_validation_delay(
         to_day("_max_tx").alias("max_transaction_date"),
         to_day(TS).alias("first_validation_date_after_transaction"),
         day_diff("_max_tx", TS).alias("Delai"),
-    ).distinct()
+    )
+    if len(months) > 1:
+        # passes overlap (an earlier month's pass sees the later months too);
+        # with a single pass each (contact, article) row is already unique
+        out = out.distinct()
     return conform(out, PURCHASE_DELAY)
 
 

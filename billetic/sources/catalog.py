@@ -28,22 +28,32 @@ SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
-def load(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
+def load(spark: SparkSession, name: str, root: str | None = None,
+         table: str | None = None) -> DataFrame:
     """Scan one logical source, projected to the columns the jobs use
-    (further pruning and filter pushdown happen per job)."""
+    (further pruning and filter pushdown happen per job). ``table`` is the
+    stored name of the source (a catalog table, or a folder under ``root``);
+    it defaults to the logical name."""
     cols = SOURCE_COLUMNS[name]
-    df = spark.table(name) if root is None else spark.read.parquet(f"{root}/{name}")
+    stored = table or name
+    df = spark.table(stored) if root is None else spark.read.parquet(f"{root}/{stored}")
     return df.select(*cols)
 
 
 class CatalogSources:
-    """Same interface as ``FixtureSources`` over real tables."""
+    """Same interface as ``FixtureSources`` over real tables.
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
-        self.spark, self.root = spark, root
+    ``names`` maps a logical source to its stored table where the names
+    differ, e.g. ``{"validation": "Prod_Validation",
+    "sale_detail": "staging.stg_sale_detail"}`` for catalog tables.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None,
+                 names: dict[str, str] | None = None):
+        self.spark, self.root, self.names = spark, root, dict(names or {})
 
     def _get(self, name: str) -> DataFrame:
-        return load(self.spark, name, self.root)
+        return load(self.spark, name, self.root, self.names.get(name))
 
     def validation(self, kind: str | None = None) -> DataFrame:
         return self._get("validation")

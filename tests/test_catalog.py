@@ -64,3 +64,16 @@ def test_command_line_refresh_writes_every_report(spark, catalogs, tmp_path):
     for name in ("sales_by_channel", "active_clients"):
         target = JOBS[name].target
         assert read_target(spark, f"{reports}/{target.name}", target).count() > 0
+
+
+def test_catalog_tables_under_other_names(spark, catalogs):
+    """Stored names that differ from the logical ones, through ``names``."""
+    from billetic.operators import DateWindow
+    from billetic.plans.validations import validation_rate_per_user
+
+    fx, cat = catalogs["a"]
+    spark.read.parquet(f"{cat.root}/validation").createOrReplaceTempView("Prod_Validation")
+    named = CatalogSources(spark, None, {"validation": "Prod_Validation"})
+    window = DateWindow.trailing(R.EVENTS_AS_OF)
+    assert table(validation_rate_per_user(named.validation(), window)) == table(
+        validation_rate_per_user(fx.validation(), window))

@@ -8,7 +8,9 @@ procedures are executed:
 
 ``--sources`` holds one Parquet table per logical source (``validation``,
 ``sales``, ``sale_detail``, ``support``, ``contact``, ``article``, ``line``,
-``card``); each report is written to ``<reports>/<target table name>``.
+``card``); without it the sources are catalog tables. ``--table
+validation=Prod_Validation`` (repeatable) names a source stored under another
+name. Each report is written to ``<reports>/<target table name>``.
 ``--as-of`` defaults to today, which gives the reference's window (today-8 ..
 today-1). Master, memory and ``spark.checkpoint.dir`` come from the cluster
 configuration.
@@ -28,7 +30,9 @@ from billetic.streaming.refresh import JOBS, refresh
 
 def main(argv=None) -> None:
     parser = argparse.ArgumentParser(prog="billetic.streaming")
-    parser.add_argument("--sources", required=True)
+    parser.add_argument("--sources", help="folder of Parquet tables; catalog tables when omitted")
+    parser.add_argument("--table", action="append", default=[], metavar="LOGICAL=STORED",
+                        help="stored name of a logical source (repeatable)")
     parser.add_argument("--reports", required=True)
     parser.add_argument("--job", choices=sorted(JOBS), action="append",
                         help="job to run (repeatable); all jobs when omitted")
@@ -38,7 +42,8 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName("billetic-refresh").config(
         "spark.sql.session.timeZone", "UTC").getOrCreate()
     ensure_checkpoint_dir(spark)
-    sources = CatalogSources(spark, args.sources)
+    names = dict(item.split("=", 1) for item in args.table)
+    sources = CatalogSources(spark, args.sources, names)
     for name in args.job or list(JOBS):
         refresh(spark, name, sources, args.as_of, f"{args.reports}/{JOBS[name].target.name}")
 

@@ -50,8 +50,8 @@ def purchase_to_validation_delay(
     reference's per-date loop only depends on the month): each contact's
     last purchase per article since M, the contact's first validation since
     M, and the delay in days, kept when the validation is not before the
-    purchase. The passes are merged with ``distinct`` (the reference inserts
-    one copy per execution date).
+    purchase. When the window spans two months the passes are merged with
+    ``distinct`` (the reference inserts one copy per execution date).
 
     The first validation per (pass, customer) uses ``row_number() = 1`` with a
     total order (time, validation id, support class); Spark keeps one row

@@ -13,11 +13,13 @@ from billetic.functions import age_band, day_diff, safe_ratio, to_day, year_diff
 from billetic.operators import (
     DateWindow,
     add_months,
+    date_spine,
     day_range,
     first_per_group,
     on_day_set,
     on_days,
     shift_join,
+    spine_join,
 )
 from billetic.operators.window import first_of_month
 from billetic.sources.targets import (
@@ -44,14 +46,15 @@ def _passes(day_col: str, months: list[dt.date]) -> F.Column:
 
 
 def purchase_to_validation_delay(
-    sales: DataFrame, validations: DataFrame, window: DateWindow
+    sales: DataFrame, validations: DataFrame, window: DateWindow, copies: bool = False
 ) -> DataFrame:
     """For each month start M of the window (one pass per month, as the
     reference's per-date loop only depends on the month): each contact's
     last purchase per article since M, the contact's first validation since
     M, and the delay in days, kept when the validation is not before the
     purchase. When the window spans two months the passes are merged with
-    ``distinct`` (the reference inserts one copy per execution date).
+    ``distinct``. ``copies=True`` gives the reference's literal output
+    instead: one copy of a month's rows per execution date in that month.
 
     The first validation per (pass, customer) uses ``row_number() = 1`` with a
     total order (time, validation id, support class); Spark keeps one row
@@ -83,6 +86,7 @@ def purchase_to_validation_delay(
         (F.col("_pass") == F.col("_vpass")) & (F.col("bd_contact_linked") == F.col(CUSTOMER)),
     ).filter(F.col(TS) >= F.col("_max_tx"))
     out = joined.select(
+        "_pass",
         F.col("bd_contact_linked").cast("string").alias("bd_contact_linked"),
         "bd_articlelonglabel",
         "bd_support_class",
@@ -90,6 +94,12 @@ def purchase_to_validation_delay(
         to_day(TS).alias("first_validation_date_after_transaction"),
         day_diff("_max_tx", TS).alias("Delai"),
     )
+    if copies:
+        dates = date_spine(out.sparkSession, window).select(
+            F.trunc("d", "MM").alias("_pass"), "d")
+        return conform(spine_join(out, dates.withColumnRenamed("_pass", "_m"), window,
+                                  F.col("_pass") == F.col("_m")), PURCHASE_DELAY)
+    out = out.drop("_pass")
     if len(months) > 1:
         # passes overlap (an earlier month's pass sees the later months too);
         # with a single pass each (contact, article) row is already unique

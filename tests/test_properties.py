@@ -129,3 +129,17 @@ def test_purchase_delay_window_equals_distinct_union_of_single_dates(spark):
         parts = one if parts is None else parts.unionByName(one)
     assert as_set(whole) == as_set(parts.distinct())
     assert parts.count() > parts.distinct().count()      # the copies the reference would insert
+
+
+def test_purchase_delay_copies_equal_the_plain_union_of_single_dates(spark):
+    """``copies=True``: the reference's literal output, one copy per date."""
+    from billetic.plans.validations import purchase_to_validation_delay
+
+    src = FixtureSources(spark, SF_SMALL, "b")
+    window = DateWindow.trailing(R.MONTH_START_AS_OF)
+    copies = purchase_to_validation_delay(src.sales(), src.validation(), window, copies=True)
+    parts = None
+    for day in window.days():
+        one = purchase_to_validation_delay(src.sales(), src.validation(), DateWindow.single(day))
+        parts = one if parts is None else parts.unionByName(one)
+    assert as_set(copies) == as_set(parts)

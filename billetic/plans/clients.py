@@ -134,7 +134,8 @@ def _latest_covering_starts(
         "last": lambda m: latest_start(add_months(m, -1)),
         "last_year": lambda m: latest_start(add_months(m, -12)),
     }
-    aggs = [fn(m).alias(f"{name}_{i}") for i, m in enumerate(months) for name, fn in periods.items()]
+    aggs = [fn(m).alias(f"{name}_{i}")
+            for i, m in enumerate(months) for name, fn in periods.items()]
     per_contact = sd.groupBy("bd_contact_linked", "bd_productlonglabel").agg(*aggs)
     return per_contact.select(
         "bd_contact_linked", "bd_productlonglabel",
@@ -187,7 +188,8 @@ def active_contract_clients(
     hist = with_band.groupBy("type_abonnement", "Categorie_age", "_month", "_period", "_start").agg(
         F.countDistinct("bd_contact_linked").alias("n")
     )
-    spine = with_period_bounds(date_spine(spark, window)).select("d", MONTH_START, TWELVE_MONTHS_AGO)
+    spine = with_period_bounds(date_spine(spark, window)).select(
+        "d", MONTH_START, TWELVE_MONTHS_AGO)
     per_date = count_at_least(
         hist, spine, window, "_start", F.col(TWELVE_MONTHS_AGO),
         keys=["type_abonnement", "Categorie_age", "_period"],

@@ -264,7 +264,8 @@ def q_contracts_covering_month(spark, sf_dir, as_of=MONTH_START_AS_OF, window=No
     date (start on or before its first day, end on or after its last)."""
     window = _w(as_of, window)
     sd = _src(spark, sf_dir).sale_detail().select(
-        to_day("bd_contract_start_date").alias("_start"), to_day("bd_contract_end_date").alias("_end"))
+        to_day("bd_contract_start_date").alias("_start"),
+        to_day("bd_contract_end_date").alias("_end"))
     per_span = sd.groupBy("_start", "_end").agg(F.count(F.lit(1)).alias("_n"))
     spine = with_period_bounds(date_spine(spark, window)).select("d", MONTH_START, "month_end")
     x = spine_join(per_span, spine, window,

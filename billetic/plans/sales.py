@@ -41,7 +41,8 @@ def title_sales_by_support(
     runtime bloom filter from the window's transactions and drop the rest of
     the sale-line history at its scan, before any shuffle.
     """
-    sa = on_days(sales.select(TX, "bd_transaction_date"), "bd_transaction_date", window, "SalesDate")
+    sa = on_days(sales.select(TX, "bd_transaction_date"), "bd_transaction_date", window,
+                 "SalesDate")
     sd = sale_detail.select(TX, CARD).filter(F.col(CARD).isNotNull())
     sd = sd.join(sa.select(TX), TX, "left_semi")
     lines = sd.groupBy(TX, CARD).agg(F.count(F.lit(1)).alias("_lines"))
@@ -78,7 +79,8 @@ def total_clients(sales: DataFrame, window: DateWindow) -> DataFrame:
         to_day("bd_transaction_date").alias("_day"),
     )
     hist = last_seen_histogram(s, ["_contact", "_anon_tx"], "_day", keys=["type_abonnement"])
-    spine = with_period_bounds(date_spine(sales.sparkSession, window)).select("d", TWELVE_MONTHS_AGO)
+    spine = with_period_bounds(date_spine(sales.sparkSession, window)).select(
+        "d", TWELVE_MONTHS_AGO)
     out = count_at_least(hist, spine, window, "last_day", F.col(TWELVE_MONTHS_AGO),
                          keys=["type_abonnement"], out="total_clients")
     return conform(out.withColumnRenamed("d", "DateOfExecution"), TOTAL_CLIENTS)

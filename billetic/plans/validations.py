@@ -73,9 +73,11 @@ def purchase_to_validation_delay(
         "_pass", "bd_contact_linked", "bd_articlelonglabel"
     ).agg(F.max("bd_transaction_date").alias("_max_tx"))
 
-    v = day_range(validations.select(TS, CUSTOMER, "validation_id", "bd_support_class"), TS, months[0])
+    v = day_range(validations.select(TS, CUSTOMER, "validation_id", "bd_support_class"), TS,
+                  months[0])
     v = v.filter(F.col(CUSTOMER).isNotNull()).withColumn("_day", to_day(TS))
-    v = v.select(TS, CUSTOMER, "validation_id", "bd_support_class", _passes("_day", months).alias("_pass"))
+    v = v.select(TS, CUSTOMER, "validation_id", "bd_support_class",
+                 _passes("_day", months).alias("_pass"))
     first = first_per_group(
         v, ["_pass", CUSTOMER],
         [F.col(TS).asc(), F.col("validation_id").asc_nulls_last(),

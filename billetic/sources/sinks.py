@@ -113,7 +113,8 @@ def update_from(
     joined = target.join(s, cond, "left")
     hit = F.col("_src_hit").isNotNull()
     cols = [
-        F.when(hit, F.col(f"_src_val_{c}")).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
+        F.when(hit, F.col(f"_src_val_{c}")).otherwise(F.col(c))
+        .cast(target.schema[c].dataType).alias(c)
         if c in assignments
         else F.col(c)
         for c in target.columns

@@ -61,7 +61,8 @@ JOBS: dict[str, Job] = {
         lambda s, w, a: clients.active_clients(s.validation(), s.card(), w), REPLACE_DATES),
     "active_contract_clients": Job(
         T.ACTIVE_CONTRACT_CLIENTS,
-        lambda s, w, a: clients.active_contract_clients(s.sale_detail(), s.contact(), s.article(), w),
+        lambda s, w, a: clients.active_contract_clients(
+            s.sale_detail(), s.contact(), s.article(), w),
         REPLACE_DATES),
     "clients_by_line": Job(
         T.CLIENTS_BY_LINE,

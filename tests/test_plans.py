@@ -27,10 +27,10 @@ def scan_details(text: str, table: str) -> list[str]:
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_in_any_plan(spark, name):
+def test_no_python_and_no_cross_join_in_any_plan(spark, name):
     text = plan(QUERIES[name](spark, SF_SMALL), "extended")
     for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
-                   "MapInPandas"):
+                   "MapInPandas", "CartesianProduct", "Join Cross"):
         assert marker not in text
 
 

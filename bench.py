@@ -2,7 +2,7 @@
 
 Each job's full plan is executed into Spark's ``noop`` sink (nothing is
 collected to the driver). One warm-up pass, then the median of
-$BENCH_REPEATS runs per job. Prints one JSON line.
+$BENCH_REPEATS runs per job (default 5). Prints one JSON line.
 
 Set BENCH_LOOP=1 to also time the reference's shape: the same job run once
 per execution date (8 single-date jobs), reported under "loop8".
@@ -80,7 +80,7 @@ def _scale_factor(sf_dir: str):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(2, int(cpus) * 2)))
     extra = dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if kv)
     spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions, extra=extra)

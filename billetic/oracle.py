@@ -481,6 +481,23 @@ GROUP BY p.d"""
     return body, [SOURCES["sale_detail"], spine_cte(_w(as_of))]
 
 
+def validations_since_account_start(as_of: dt.date = R.EVENTS_AS_OF):
+    body = """SELECT p.d, v.bd_linkedcustomer, COUNT(v.validation_id) AS n_validations
+FROM spine p, validation v
+JOIN contact c ON c.Id = v.bd_linkedcustomer
+WHERE CAST(v.DTHR_OPERATION AS DATE) >=
+      CASE WHEN c.createdon < p.twelve THEN p.twelve ELSE c.createdon END
+GROUP BY p.d, v.bd_linkedcustomer"""
+    return body, [SOURCES["validation_a"], SOURCES["contact"], spine_cte(_w(as_of))]
+
+
+def avg_weekly_validations_deleted(as_of: dt.date = R.EVENTS_AS_OF):
+    body, ctes = avg_weekly_validations(as_of)
+    kept = "WHERE NOT COALESCE(AverageValidationsPerWeek < 4, FALSE)"
+    assert kept in body
+    return body.replace(kept, "WHERE AverageValidationsPerWeek < 4"), ctes
+
+
 BUILDERS = {
     "title_sales_by_support": title_sales_by_support,
     "active_clients": active_clients,
@@ -512,6 +529,8 @@ BUILDERS = {
     "sales_lines_in_lookback": sales_lines_in_lookback,
     "contracts_covering_month": contracts_covering_month,
     "active_clients_no_activity": lambda: active_clients(R.SALES_AS_OF, "a"),
+    "validations_since_account_start": validations_since_account_start,
+    "avg_weekly_validations_deleted": avg_weekly_validations_deleted,
 }
 
 

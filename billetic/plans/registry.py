@@ -22,6 +22,7 @@ from billetic.operators import (
     lookback,
     on_day_set,
     on_days,
+    since_account_start,
     spine_join,
     with_period_bounds,
     with_zero_rows,
@@ -273,6 +274,32 @@ def q_contracts_covering_month(spark, sf_dir, as_of=MONTH_START_AS_OF, window=No
     return x.groupBy("d").agg(F.sum("_n").alias("n_contracts"))
 
 
+def q_validations_since_account_start(spark, sf_dir, as_of=EVENTS_AS_OF, window=None):
+    """Per execution date and known customer, taps on or after
+    ``CASE WHEN created < d - 12 months THEN d - 12 months ELSE created END``
+    (a NULL creation date keeps nothing)."""
+    window = _w(as_of, window)
+    s = _src(spark, sf_dir, "a")
+    daily = lookback(s.validation(), "DTHR_OPERATION", window).groupBy(
+        "bd_linkedcustomer", to_day("DTHR_OPERATION").alias("_day")).agg(
+        F.count("validation_id").alias("_n"))
+    daily = daily.join(s.contact().select("Id", "createdon"),
+                       F.col("bd_linkedcustomer") == F.col("Id"))
+    spine = with_period_bounds(date_spine(spark, window)).select("d", TWELVE_MONTHS_AGO)
+    x = spine_join(daily, spine, window,
+                   since_account_start("_day", "createdon", F.col(TWELVE_MONTHS_AGO)))
+    return x.groupBy("d", "bd_linkedcustomer").agg(F.sum("_n").alias("n_validations"))
+
+
+def q_avg_weekly_validations_deleted(spark, sf_dir, as_of=EVENTS_AS_OF, window=None):
+    """M4 seen from the other side: the rows J5's delete removes (average
+    below 4). A NULL average is neither kept by this nor deleted by J5's."""
+    s = _src(spark, sf_dir, "a")
+    kept_and_deleted = avg_weekly_validations(s.validation(), s.contact(), _w(as_of, window),
+                                              min_avg=float("-inf"))
+    return kept_and_deleted.filter(F.col("AverageValidationsPerWeek") < 4)
+
+
 QUERIES: dict[str, Query] = {
     # jobs
     "title_sales_by_support": q_title_sales_by_support,
@@ -309,6 +336,8 @@ QUERIES: dict[str, Query] = {
     "duplicate_validation_ids": q_duplicate_validation_ids,
     "sales_lines_in_lookback": q_sales_lines_in_lookback,
     "contracts_covering_month": q_contracts_covering_month,
+    "validations_since_account_start": q_validations_since_account_start,
+    "avg_weekly_validations_deleted": q_avg_weekly_validations_deleted,
     # A window with no taps at all still gives one row per date, zeros
     "active_clients_no_activity": lambda sp, d: q_active_clients(sp, d, SALES_AS_OF, "a"),
 }

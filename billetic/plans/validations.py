@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billetic.functions import age_band, day_diff, safe_ratio, to_day, year_diff
+from billetic.functions import age_band, day_diff, safe_ratio, to_day
 from billetic.operators import (
     DateWindow,
     add_months,
@@ -120,16 +120,20 @@ def validations_by_age(
     today = as_of - dt.timedelta(days=1)
     v = day_range(validations.select(TS, PRODUCT, "bd_support_class", CUSTOMER, "validation_id"),
                   TS, start, today + dt.timedelta(days=1))
-    j = v.join(contact.select("Id", "birthdate"), F.col(CUSTOMER) == F.col("Id"))
-    age = year_diff("birthdate", F.lit(first_of_month(today)))
+    j = v.join(contact.select("Id", F.year("birthdate").alias("_birth_year")),
+               F.col(CUSTOMER) == F.col("Id"))
+    # Age and band are a one-to-one function of the birth year within a run
+    # (NULL <-> NULL), so the distinct count is grouped by the year (one int
+    # per shuffled row) and age and band are derived from the aggregate.
     agg = j.groupBy(
         to_day(TS).alias("Date_de_validation"),
         F.col(PRODUCT).alias("Type_abonnement"),
         F.col("bd_support_class").alias("Type_support"),
-        age.alias("Age"),
-        age_band(age).alias("Categorie_age"),
+        "_birth_year",
     ).agg(F.countDistinct("validation_id").alias("Nombre_de_validation"))
-    return conform(agg, VALIDATIONS_BY_AGE)
+    age = F.lit(first_of_month(today).year) - F.col("_birth_year")
+    out = agg.select("*", age.alias("Age"), age_band(age).alias("Categorie_age"))
+    return conform(out, VALIDATIONS_BY_AGE)
 
 
 def validation_counts_yoy(validations: DataFrame, window: DateWindow) -> DataFrame:

@@ -218,13 +218,18 @@ def clients_by_line(
     v = on_days(validations.select(TS, CUSTOMER, CARD, "NUM_LIGNE"), TS, window, "DateOfExecution")
     line = line.select("NUM_LIGNE", "LIBEL_LIGNE")
 
+    # For a given date the output columns are functions of (id, birth year,
+    # line label) and back, so the final DISTINCT runs on those narrow keys
+    # and the strings are derived after it.
     known = (
         v.filter(F.col(CUSTOMER).isNotNull())
         .select("DateOfExecution", CUSTOMER, "NUM_LIGNE").distinct()
-        .join(contact.select("Id", "birthdate"), F.col(CUSTOMER) == F.col("Id"))
+        .join(contact.select("Id", F.year("birthdate").alias("_birth_year")),
+              F.col(CUSTOMER) == F.col("Id"))
         .join(line, "NUM_LIGNE")
+        .select("DateOfExecution", "Id", "_birth_year", "LIBEL_LIGNE").distinct()
     )
-    age = year_diff("birthdate", F.trunc("DateOfExecution", "MM"))
+    age = F.year("DateOfExecution") - F.col("_birth_year")
     known = known.select(
         "DateOfExecution",
         F.col("Id").cast("string").alias("ClientID"),
@@ -232,7 +237,7 @@ def clients_by_line(
         "LIBEL_LIGNE",
         age_band(age, open_low=True).alias("AgeCategory"),
         F.lit(KNOWN_CLIENT).alias("ClientType"),
-    ).distinct()
+    )
 
     anonymous = (
         v.filter(F.col(CARD) == ANONYMOUS_CARD)

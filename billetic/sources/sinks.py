@@ -157,6 +157,18 @@ def _affected(spark: SparkSession, path: str, target: Target, dates: DataFrame,
     return current.join(dates, target.partition, "left_semi")
 
 
+def _check_known_dates(source: DataFrame, target: Target, known_dates) -> None:
+    """``known_dates`` prunes the target's partitions to those dates, so a
+    source row on any other date would overwrite its partition without the
+    rows already there; refuse that instead (one small job, one boolean)."""
+    if known_dates is None:
+        return
+    outside = source.filter(~F.col(target.partition).isin(list(known_dates))
+                            | F.col(target.partition).isNull())
+    if not outside.isEmpty():
+        raise ValueError("the source has dates outside known_dates")
+
+
 def upsert_into(
     spark: SparkSession, path: str, target: Target, source: DataFrame, null_safe: bool = True,
     known_dates=None,
@@ -178,6 +190,7 @@ def upsert_into(
             checked = checked.filter(F.col(k).isNotNull())
     if not duplicate_keys(checked, target.keys).isEmpty():
         raise ValueError(f"source keys {target.keys} are not unique; MERGE would fail")
+    _check_known_dates(src, target, known_dates)
     dates = src.select(target.partition).distinct()
     merged = upsert(_affected(spark, path, target, dates, known_dates), src, target.keys, null_safe)
     write_target(merged.checkpoint(eager=True), path, target, REPLACE_DATES)
@@ -196,6 +209,7 @@ def update_into(
     and rewritten (``known_dates`` prunes them at planning time)."""
     ensure_target(spark, path, target)
     ensure_checkpoint_dir(spark)
+    _check_known_dates(source, target, known_dates)
     dates = source.select(F.col(target.partition)).distinct()
     updated = update_from(_affected(spark, path, target, dates, known_dates), source, keys,
                           assignments)

@@ -102,3 +102,14 @@ def test_upsert_into_refuses_duplicate_source_keys(spark, tmp_table):
         [(D(2024, 1, 1), None, 1, 1, 1), (D(2024, 1, 1), None, 2, 1, 2)], TITLE_SALES.schema)
     with pytest.raises(ValueError):
         upsert_into(spark, tmp_table, TITLE_SALES, dup)
+
+
+def test_known_dates_must_cover_the_source(spark, tmp_table):
+    import pytest
+
+    src = spark.createDataFrame([(D(2024, 1, 1), "A", 1, 1, 1), (D(2024, 1, 9), "A", 1, 1, 1)],
+                                TITLE_SALES.schema)
+    with pytest.raises(ValueError):
+        upsert_into(spark, tmp_table, TITLE_SALES, src, known_dates=[D(2024, 1, 1)])
+    upsert_into(spark, tmp_table, TITLE_SALES, src, known_dates=[D(2024, 1, 1), D(2024, 1, 9)])
+    assert read_target(spark, tmp_table, TITLE_SALES).count() == 2

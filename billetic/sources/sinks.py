@@ -210,6 +210,11 @@ def update_into(
     ensure_target(spark, path, target)
     ensure_checkpoint_dir(spark)
     _check_known_dates(source, target, known_dates)
+    matching = source
+    for k in keys:                 # NULL keys never match under plain equality
+        matching = matching.filter(F.col(k).isNotNull())
+    if not duplicate_keys(matching, keys).isEmpty():
+        raise ValueError(f"source keys {list(keys)} are not unique; a row would be updated twice")
     dates = source.select(F.col(target.partition)).distinct()
     updated = update_from(_affected(spark, path, target, dates, known_dates), source, keys,
                           assignments)

@@ -113,3 +113,16 @@ def test_known_dates_must_cover_the_source(spark, tmp_table):
         upsert_into(spark, tmp_table, TITLE_SALES, src, known_dates=[D(2024, 1, 1)])
     upsert_into(spark, tmp_table, TITLE_SALES, src, known_dates=[D(2024, 1, 1), D(2024, 1, 9)])
     assert read_target(spark, tmp_table, TITLE_SALES).count() == 2
+
+
+def test_update_into_refuses_duplicate_source_keys(spark, tmp_table):
+    import pytest
+
+    write_target(spark.createDataFrame([(D(2024, 1, 1), "P", 5, 0)], VALIDATION_COUNTS.schema),
+                 tmp_table, VALIDATION_COUNTS, REPLACE_DATES)
+    src = spark.createDataFrame([(D(2024, 1, 1), "P", 4), (D(2024, 1, 1), "P", 6)],
+                                "Date_de_validation date, Type_abonnement string, prev_count long")
+    with pytest.raises(ValueError):
+        update_into(spark, tmp_table, VALIDATION_COUNTS, src,
+                    ["Date_de_validation", "Type_abonnement"],
+                    {"Nombre_de_validation_annee_precedente": "prev_count"})

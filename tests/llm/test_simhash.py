@@ -1,0 +1,110 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from billetic.llm import simhash as S
+from billetic.llm._common import connected_components
+from billetic.llm.queries import op8_simhash_near_dedup
+from tests.llm.helpers import docs, rows
+
+
+def brute_fp(text):
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0d]+", text or "") if w]
+    words = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words]
+    sh = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hs = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) if hs else 0
+
+
+def brute(items):
+    fps = [brute_fp(t) for _, t in items]
+    comp = list(range(len(items)))
+    for i in range(len(items)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 2:
+                a, b = comp[i], comp[j]
+                comp = [min(a, b) if c in (a, b) else c for c in comp]
+    out = []
+    for i, (d, _) in enumerate(items):
+        ids = [items[j][0] for j in range(len(items)) if comp[j] == comp[i] and items[j][0] is not None]
+        out.append({"doc_id": d, "fingerprint": f"{fps[i]:016x}", "component_id": min(ids, default=None)})
+    return out
+
+
+ODD = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "One\x0btwo"),
+       (8, "a b c"), (None, "a  b\nc"), (9, "Ärger über ÄÖ"), (9, "Ärger über ÄÖ"), (None, "q w e r t z")]
+
+
+def check(spark, items, **kw):
+    found = S.near_duplicates(docs(spark, items, extra=True), **kw)
+    found = found.select("doc_id", S.as_hex("fp").alias("fingerprint"), "component_id")
+    key = lambda d: (str(d["doc_id"]), d["fingerprint"])
+    assert sorted(rows(found), key=key) == sorted(brute(items), key=key)
+
+
+def test_odd_texts(spark):
+    check(spark, ODD)
+    check(spark, [])
+
+
+def test_near_copies(spark):
+    rnd = random.Random(5)
+    vocab = [f"w{i}" for i in range(400)]
+    items = []
+    for d in range(120):
+        if d % 3 and items:
+            w = (items[rnd.randrange(len(items))][1]).split()
+            w[rnd.randrange(len(w))] = rnd.choice(vocab)
+        else:
+            w = [rnd.choice(vocab) for _ in range(rnd.choice((30, 400, 900)))]
+        items.append((1000 - d, " ".join(w)))
+    check(spark, items)
+
+
+def test_long_text_in_blocks():
+    text = " ".join(str(i * 7919 % 1000) for i in range(300_000))
+    assert S.simhash64(text) == brute_fp(text)
+
+
+@pytest.mark.parametrize("max_shard", [20_000, 3])
+def test_links_of_a_dense_cluster(spark, max_shard):
+    rnd = random.Random(1)
+    base = [rnd.getrandbits(64) for _ in range(4)]
+    fps = sorted({b ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) ^ (rnd.random() < .3 and 1 << rnd.randrange(64))
+                  for b in base for _ in range(60)})
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    got = {r.node: r.root for r in connected_components(S.fingerprint_links(df, max_shard=max_shard)).collect()}
+    comp = {x: x for x in signed}
+    for i, a in enumerate(fps):
+        for j, b in enumerate(fps[:i]):
+            if (a ^ b).bit_count() <= 2:
+                x, y = comp[signed[i]], comp[signed[j]]
+                comp = {k: min(x, y) if v in (x, y) else v for k, v in comp.items()}
+    assert {k: got.get(k, k) for k in signed} == comp
+
+
+def test_tree_finds_what_brute_force_finds():
+    rng = np.random.default_rng(3)
+    v = np.unique(rng.integers(0, 1 << 12, 300, dtype=np.uint64) * np.uint64(0x1001))
+    found = {(int(q), int(n)) for a, b in S.BKTree(v).search(v, 2) for q, n in zip(a, b)}
+    assert found == {(i, j) for i in range(len(v)) for j in range(len(v)) if (int(v[i]) ^ int(v[j])).bit_count() <= 2}
+
+
+def test_keep_one(spark):
+    items = [*ODD, (20, "a b c"), (21, "x y z v w u"), (None, "zz"), (None, "zz")]
+    df = docs(spark, items, extra=True)
+    kept = S.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.text or "") for r in kept.collect())
+    assert got == sorted([(1, ""), (4, "one"), (6, "one two"), (8, "a b c"), (9, "Ärger über ÄÖ"),
+                          (21, "x y z v w u"), (-1, "q w e r t z"), (-1, "zz")])
+
+
+def test_query(spark):
+    found = op8_simhash_near_dedup(spark, "/root/testdata/sf0.001").collect()
+    items = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    want = {d["doc_id"]: d for d in brute(items)}
+    assert {r.doc_id: r.asDict() for r in found} == want

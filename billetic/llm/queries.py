@@ -4,19 +4,36 @@ whole tables, and their SQL where SQL can express them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from billetic.llm import simhash
+from billetic.llm import crf, mixing, sharding, simhash
 from billetic.llm._common import table
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.kd_shards(table(spark, sf_dir, "documents"), n_shards=24)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op5_mixing": op5_mixing,
+    "op7_sharding": op7_sharding,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_mixing": mixing.ORACLE,
+}

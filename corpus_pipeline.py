@@ -5,18 +5,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from billetic.llm import simhash
+from billetic.llm import crf, mixing, sharding, simhash
 from billetic.llm._common import stored, table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or whose likeliest language has less than a
+    third of the letters, go."""
+    return crf.keep_identified(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates stays: the one
     with the least doc_id."""
     return simhash.keep_one(docs)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it (0 to 2 times)."""
+    return mixing.mixed(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every document of the mix: 24 shards of equal bytes."""
+    return sharding.kd_shards(docs, n_shards=24)
+
+
 STAGES = [
+    ("language_id", language_id),
     ("simhash_near_dedup", near_duplicates),
+    ("mixing", mix),
+    ("sharding", shard),
 ]
 
 ORACLE_SQL = None

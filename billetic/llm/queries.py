@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from billetic.llm import crf, mixing, sharding, simhash
+from billetic.llm import crf, decontamination, mixing, secrets, sharding, simhash
 from billetic.llm._common import table
 
 
@@ -14,6 +14,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(table(spark, sf_dir, "documents"), n_shards=24)
 
@@ -23,14 +27,20 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.identify(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op5_mixing": op5_mixing,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_sharding": op7_sharding,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from billetic.llm import crf, mixing, sharding, simhash
+from billetic.llm import crf, decontamination, mixing, sharding, simhash
 from billetic.llm._common import stored, table
 
 
@@ -21,6 +21,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item go."""
+    return decontamination.drop_leaked(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (0 to 2 times)."""
     return mixing.mixed(docs)
@@ -34,6 +39,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", language_id),
     ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontaminate),
     ("mixing", mix),
     ("sharding", shard),
 ]

@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from billetic.llm import crf, decontamination, mixing, secrets, sharding, simhash
+from billetic.llm import crf, decontamination, mixing, secrets, sharding, simhash, warc
 from billetic.llm._common import table
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -36,6 +40,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_warc": op3_warc,
     "op5_mixing": op5_mixing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_sharding": op7_sharding,
@@ -45,5 +50,15 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_warc": r"""
+WITH rows AS (
+  SELECT page_id, coalesce(html, '') AS html, url, strlen(coalesce(html, ''))::BIGINT AS n FROM pages),
+judged AS (
+  SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS first FROM rows)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to, url
+FROM judged
+""",
     "op5_mixing": mixing.ORACLE,
 }

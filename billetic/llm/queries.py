@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from billetic.llm import crf, decontamination, mixing, secrets, sharding, simhash, warc
+from billetic.llm import crf, decontamination, extraction, mixing, secrets, sharding, simhash, warc
 from billetic.llm._common import table
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -40,6 +44,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_html_extraction": op2_html_extraction,
     "op3_warc": op3_warc,
     "op5_mixing": op5_mixing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,

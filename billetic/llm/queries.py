@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from billetic.llm import crf, decontamination, extraction, mixing, secrets, sharding, simhash, warc
+from billetic.llm import crf, decontamination, embeddings, extraction, mixing, secrets, sharding, simhash, warc
 from billetic.llm._common import table
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -44,6 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_html_extraction": op2_html_extraction,
     "op3_warc": op3_warc,
     "op5_mixing": op5_mixing,

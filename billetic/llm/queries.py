@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from billetic.llm import crf, decontamination, embeddings, extraction, mixing, secrets, sharding, simhash, warc
+from billetic.llm import crf, decontamination, embeddings, extraction, mixing, repeats, secrets, sharding, simhash, warc
 from billetic.llm._common import table
 
 
@@ -21,6 +21,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -51,6 +55,7 @@ QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_html_extraction": op2_html_extraction,
     "op3_warc": op3_warc,
+    "op4_repeated_passages": op4_repeated_passages,
     "op5_mixing": op5_mixing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_sharding": op7_sharding,

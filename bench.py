@@ -82,7 +82,7 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(2, int(cpus) * 2)))
-    extra = dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if kv)
+    extra = {"spark.driver.memory": "8g"} | dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if kv)
     spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions, extra=extra)
     qs = R.QUERIES
 

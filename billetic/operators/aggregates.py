@@ -9,11 +9,13 @@ map task, never as one giant group.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billetic.operators.window import DateWindow, broadcast_spine
+from billetic.operators.window import broadcast_spine
 
 
 def conditional_distinct(
@@ -53,17 +55,18 @@ def last_seen_histogram(
     per-date lower bounds can later be answered from this small table
     (``count_at_least``) instead of joining every fact row to every date.
     Its size is bounded by the number of distinct days times the key groups,
-    not by the number of entities.
+    not by the number of entities. An entity whose columns are all NULL is
+    none (``COUNT(DISTINCT ...)`` ignores it), but its group stays, with 0.
     """
     keys, entity = list(keys), list(entity)
     latest = df.groupBy(*keys, *entity).agg(F.max(day).alias(out_day))
-    return latest.groupBy(*keys, out_day).agg(F.count(F.lit(1)).alias(out_count))
+    known = reduce(or_, (F.col(e).isNotNull() for e in entity))
+    return latest.groupBy(*keys, out_day).agg(F.count(F.when(known, 1)).alias(out_count))
 
 
 def count_at_least(
     hist: DataFrame,
     spine: DataFrame,
-    window: DateWindow,
     value: str,
     bound: Column,
     d: str = "d",
@@ -82,7 +85,7 @@ def count_at_least(
     cond = F.col(value) >= bound
     if on is not None:
         cond = cond & on
-    joined = hist.join(broadcast_spine(spine, window), cond, "inner")
+    joined = hist.join(broadcast_spine(spine), cond, "inner")
     return joined.groupBy(d, *keys).agg(F.sum(n).cast("long").alias(out))
 
 

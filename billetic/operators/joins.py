@@ -7,17 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billetic.operators.window import DateWindow, broadcast_spine
+from billetic.operators.window import broadcast_spine
 
 
-def spine_join(df: DataFrame, spine: DataFrame, window: DateWindow, cond: Column) -> DataFrame:
+def spine_join(df: DataFrame, spine: DataFrame, cond: Column) -> DataFrame:
     """Every row with every execution date it qualifies for.
 
-    The spine is broadcast (its size is the window's day count, checked), so
-    the fact side is never shuffled for this join. Use it on *reduced* rows:
-    the output has up to ``window.n_days`` copies of each input row.
+    The spine is broadcast (its size is the window's day count), so the fact
+    side is never shuffled for this join. Use it on *reduced* rows: the
+    output has up to one copy of each input row per date.
     """
-    return df.join(broadcast_spine(spine, window), cond, "inner")
+    return df.join(broadcast_spine(spine), cond, "inner")
 
 
 def shift_join(

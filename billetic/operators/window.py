@@ -14,13 +14,9 @@ import calendar
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A spine is broadcast only below this many dates (it is one row per date, so
-# its size is known exactly from the window; 4000 dates is about 11 years).
-MAX_BROADCAST_DATES = 4000
-
 # Names of the period-bound columns added by ``with_period_bounds``.
 D = "d"
 MONTH_START = "month_start"
@@ -102,9 +98,10 @@ def date_spine(spark: SparkSession, window: DateWindow, name: str = D) -> DataFr
     )
 
 
-def broadcast_spine(spine: DataFrame, window: DateWindow) -> DataFrame:
-    """Broadcast hint for a spine whose row count is known to be small."""
-    return F.broadcast(spine) if window.n_days <= MAX_BROADCAST_DATES else spine
+def broadcast_spine(spine: DataFrame) -> DataFrame:
+    """Broadcast hint for a spine. It has one row per date, so it grows with
+    the calendar and never with the data (a century is 36,525 rows)."""
+    return F.broadcast(spine)
 
 
 def with_period_bounds(spine: DataFrame, d: str = D) -> DataFrame:
@@ -123,7 +120,3 @@ def with_period_bounds(spine: DataFrame, d: str = D) -> DataFrame:
         F.last_day(F.add_months(ms, -12)).alias(LAST_YEAR_END),
         F.add_months(dc, -12).alias(TWELVE_MONTHS_AGO),
     )
-
-
-def lit_date(day: dt.date) -> Column:
-    return F.lit(day).cast("date")

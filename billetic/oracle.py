@@ -1,28 +1,46 @@
-"""Independent DuckDB SQL for every registered query (the correctness gate).
-
-Written the reference's way, not as a copy of the Spark plans: the loop over
-execution dates becomes a ``spine`` of dates joined to the facts, the counts
-are ``COUNT(DISTINCT CASE ...)`` over the joined rows, J9 is an insert with
-0 followed by an update, J5's delete is a final filter. Where the chosen
-reading departs from the literal text (SURVEY section 2.12: J1 and J11 by
-calendar day, J7's copies merged, J5's ``@CurrentDate - 1`` as the day
-before, J10's zero divisor as NULL) the oracle applies it too. The logical sources
-are built from the driver's views with the same mapping as
-``sources.fixtures`` (FIXTURES.md section 2).
+"""DuckDB SQL for every registered query (the correctness gate).
+
+Each statement says the rule of SURVEY section 2.12 in its own way, so that
+it is a second opinion on the Spark plans: months are numbers (12 x year +
+month) and periods differences of them, age bands and labels are small tables
+of literals to join, weeks are differences of truncated dates, last year's
+counts are the daily counts joined to themselves. Nothing of the engine is
+imported: labels, bands, windows and dates are stated here again. The logical
+sources are built from the driver's views with the mapping of FIXTURES.md
+section 2.
+
+A builder returns the statement and the common table expressions it reads:
+logical sources, and ``spine``, the execution dates (column ``d``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from billetic.functions.labels import (
-    AGE_BAND_OTHER,
-    AGE_BANDS,
-    EQUIPMENT_LABELS,
-    SUPPORT_LABELS,
-)
-from billetic.operators.window import DateWindow
-from billetic.plans import registry as R
+# The execution dates of the registered runs.
+SALES_AS_OF = dt.date(2001, 8, 1)
+MONTH_START_AS_OF = dt.date(2001, 8, 2)
+LEAP_LOOKUP_AS_OF = dt.date(2001, 3, 5)
+LEAP_WINDOW_AS_OF = dt.date(2000, 3, 4)
+EVENTS_AS_OF = dt.date(2024, 1, 31)
+OLD_ACCOUNTS_AS_OF = dt.date(2025, 1, 20)
+NO_TAPS_AS_OF = dt.date(2025, 3, 1)
+
+# Labels by code, and age bands as (from, to, label).
+SUPPORTS = """(VALUES (899240000, 'Billet Papier'), (899240001, 'Carte MOBIB'),
+  (899240002, 'M-Ticketing TEC'), (899240003, 'M-Ticketing SNCB'),
+  (899240004, 'Ticket sans contact')) support_name(code, label)"""
+CHANNELS = """(VALUES ('MG', 'POS (guichet), Application dépositaire'), ('DI', 'Valideur embarqué'),
+  ('VM', 'Valideur évènementiel'), ('TW', 'VAD partenaire de rechargement, site web, Mobile'),
+  ('PC', 'Portable de contrôle')) channel_name(code, label)"""
+
+
+def bands(name: str = "band", lowest: int = 0) -> str:
+    return f"""(VALUES ({lowest}, 12, '0-12 ans'), (13, 18, '12-18 ans'), (19, 24, '18-24 ans'),
+  (25, 40, '24-40 ans'), (41, 65, '40-65 ans')) {name}(low, high, label)"""
+
+
+OPEN = -100000      # the first band's lower end where it takes all ages below 13
 
 # -- logical sources over the driver's views ---------------------------------
 
@@ -84,418 +102,357 @@ SOURCES = {
 }
 
 
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+def with_ctes(ctes: list[str], body: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
-def _date(d: dt.date) -> str:
-    return f"DATE '{d.isoformat()}'"
+def spine_cte(window, name: str = "spine") -> str:
+    """Execution dates from the window's ``start`` to its ``end``."""
+    return f"""{name} AS (
+  SELECT CAST(g AS DATE) AS d
+  FROM generate_series(DATE '{window.start}', DATE '{window.end}', INTERVAL 1 DAY) days(g))"""
 
 
-def spine_cte(window: DateWindow, name: str = "spine") -> str:
-    """The loop ``WHILE @CurrentDate <= @EndDate`` as rows, with the
-    reference's per-date variables as columns."""
-    return f"""{name} AS (
-  SELECT d,
-         make_date(year(d), month(d), 1) AS ms,
-         last_day(d) AS me,
-         CAST(make_date(year(d), month(d), 1) - INTERVAL 1 MONTH AS DATE) AS lms,
-         last_day(CAST(make_date(year(d), month(d), 1) - INTERVAL 1 MONTH AS DATE)) AS lme,
-         CAST(make_date(year(d), month(d), 1) - INTERVAL 1 YEAR AS DATE) AS lys,
-         last_day(CAST(make_date(year(d), month(d), 1) - INTERVAL 1 YEAR AS DATE)) AS lye,
-         CAST(d - INTERVAL 12 MONTH AS DATE) AS twelve
-  FROM (SELECT CAST(g AS DATE) AS d
-        FROM generate_series({_date(window.start)}, {_date(window.end)}, INTERVAL 1 DAY) t(g)))"""
+class Days:
+    """The trailing 8 dates before a run."""
 
+    def __init__(self, as_of: dt.date):
+        self.start, self.end = as_of - dt.timedelta(days=8), as_of - dt.timedelta(days=1)
 
-def with_ctes(ctes: list[str], body: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + body
 
+def _spine(as_of: dt.date, name: str = "spine") -> str:
+    return spine_cte(Days(as_of), name)
 
-def support_case(col: str) -> str:
-    whens = " ".join(f"WHEN {k} THEN {_q(v)}" for k, v in SUPPORT_LABELS.items())
-    return f"CASE {col} {whens} END"
-
-
-def equipment_case(col: str) -> str:
-    whens = " ".join(f"WHEN {col} = {_q(k)} THEN {_q(v)}" for k, v in EQUIPMENT_LABELS.items())
-    return f"CASE {whens} ELSE {col} END"
-
-
-def band_case(age: str, open_low: bool = False) -> str:
-    parts = []
-    for i, (lo, hi, label) in enumerate(AGE_BANDS):
-        cond = f"{age} <= {hi}" if (open_low and i == 0) else f"{age} BETWEEN {lo} AND {hi}"
-        parts.append(f"WHEN {cond} THEN {_q(label)}")
-    return f"CASE {' '.join(parts)} ELSE {_q(AGE_BAND_OTHER)} END"
-
-
-def week_diff_sql(a: str, b: str) -> str:
-    """DATEDIFF(WEEK, a, b): Sunday-started weeks between the two days."""
-    return (f"(floor((CAST({b} AS DATE) - DATE '1970-01-01' + 4) / 7.0)"
-            f" - floor((CAST({a} AS DATE) - DATE '1970-01-01' + 4) / 7.0))")
-
-
-def _w(as_of: dt.date) -> DateWindow:
-    return DateWindow.trailing(as_of)
-
-
-# -- the jobs --------------------------------------------------------------
-
-def title_sales_by_support(as_of: dt.date = R.SALES_AS_OF) -> str:
-    # grouped by the calendar day (the report's key is (day, support type));
-    # the reference groups by the raw value, the same for midnight times
-    body = f"""SELECT p.d AS SalesDate,
-       {support_case('s.bd_id_support_label')} AS support_type,
-       CAST(COUNT(sd.bd_sales_transaction_id) AS INTEGER) AS Sales,
-       CAST(COUNT(DISTINCT sd.bd_support_serial_number_lookup) AS INTEGER) AS unique_cards,
-       CAST(COUNT(sd.bd_sales_transaction_id)
-            // COUNT(DISTINCT sd.bd_support_serial_number_lookup) AS INTEGER) AS average_sales
-FROM spine p, sale_detail sd
-JOIN support s ON sd.bd_support_serial_number_lookup = s.id
-JOIN sales sa ON sd.bd_sales_transaction_id = sa.bd_sales_transaction_id
-WHERE sd.bd_support_serial_number_lookup IS NOT NULL
-  AND CAST(sa.bd_transaction_date AS DATE) = p.d
-GROUP BY p.d, {support_case('s.bd_id_support_label')}"""
-    return body, [SOURCES["sale_detail"], SOURCES["support"], SOURCES["sales"], spine_cte(_w(as_of))]
-
-
-def active_clients(as_of: dt.date = R.SALES_AS_OF, kind: str = "b"):
-    body = """SELECT p.d AS DateOfExecution,
-  CAST(COUNT(DISTINCT CASE WHEN CAST(v.DTHR_OPERATION AS DATE) >= p.ms
-                           THEN v.bd_linkedcustomer END) AS BIGINT) AS CurrentMonthActiveClients,
-  CAST(COUNT(DISTINCT CASE WHEN CAST(v.DTHR_OPERATION AS DATE) >= p.lms
-                            AND CAST(v.DTHR_OPERATION AS DATE) < p.ms
-                           THEN v.bd_linkedcustomer END) AS BIGINT) AS LastMonthActiveClients,
-  CAST(COUNT(DISTINCT CASE WHEN CAST(v.DTHR_OPERATION AS DATE) >= p.lys
-                            AND CAST(v.DTHR_OPERATION AS DATE) < CAST(p.lys + INTERVAL 1 MONTH AS DATE)
-                           THEN v.bd_linkedcustomer END) AS BIGINT) AS LastYearSameMonthActiveClients
-FROM spine p
-LEFT JOIN (SELECT * FROM validation
-           WHERE bd_mobibnumber IN (SELECT DISTINCT m.bd_mobibnumber FROM card m)) v
-  ON CAST(v.DTHR_OPERATION AS DATE) >= p.twelve
-GROUP BY p.d"""
-    return body, [SOURCES[f"validation_{kind}"], SOURCES["card"], spine_cte(_w(as_of))]
-
-
-def active_contract_clients(as_of: dt.date = R.SALES_AS_OF):
-    age = "(year(p.ms) - year(c.birthdate))"
-
-    def active(p_start: str, p_end: str) -> str:
-        return (f"COUNT(DISTINCT CASE WHEN CAST(v.bd_contract_end_date AS DATE) >= {p_end}"
-                f" AND CAST(v.bd_contract_start_date AS DATE) <= {p_start}"
-                f" THEN v.bd_contact_linked END)")
-
-    body = f"""SELECT p.d AS DateOfExecution,
-       a.bd_productlonglabel AS type_abonnement,
-       {band_case(age)} AS Categorie_age,
-       CAST({active('p.ms', 'p.me')} AS BIGINT) AS CurrentMonthActiveClients,
-       CAST({active('p.lms', 'p.lme')} AS BIGINT) AS LastMonthActiveClients,
-       CAST({active('p.lys', 'p.lye')} AS BIGINT) AS LastYearSameMonthActiveClients
-FROM spine p
-JOIN sale_detail v ON CAST(v.bd_contract_start_date AS DATE) >= p.twelve
-JOIN contact c ON v.bd_contact_linked = c.Id
-JOIN article a ON v.bd_article_code_lookup = a.bd_articleid
-GROUP BY p.d, a.bd_productlonglabel, {band_case(age)}"""
-    return body, [SOURCES["sale_detail"], SOURCES["contact"], SOURCES["article"], spine_cte(_w(as_of))]
-
-
-def clients_by_line(as_of: dt.date = R.EVENTS_AS_OF):
-    age = "(year(p.ms) - year(c.birthdate))"
-    body = f"""SELECT DISTINCT p.d AS DateOfExecution,
-       CAST(c.Id AS VARCHAR) AS ClientID,
-       CAST({age} AS INTEGER) AS Age,
-       l.LIBEL_LIGNE,
-       {band_case(age, open_low=True)} AS AgeCategory,
-       'Client Connu' AS ClientType
-FROM spine p
-JOIN validation vl ON CAST(vl.DTHR_OPERATION AS DATE) = p.d
-JOIN contact c ON vl.bd_linkedcustomer = c.Id
-JOIN line l ON vl.NUM_LIGNE = l.NUM_LIGNE
-UNION ALL
-SELECT DISTINCT p.d AS DateOfExecution,
-       'N/A' AS ClientID,
-       CAST(NULL AS INTEGER) AS Age,
-       l.LIBEL_LIGNE,
-       CAST(NULL AS VARCHAR) AS AgeCategory,
-       'Client Non Connu' AS ClientType
-FROM spine p
-JOIN validation vl ON CAST(vl.DTHR_OPERATION AS DATE) = p.d
-JOIN line l ON vl.NUM_LIGNE = l.NUM_LIGNE
-WHERE vl.bd_mobibnumber = '0'"""
-    return body, [SOURCES["validation_a"], SOURCES["contact"], SOURCES["line"], spine_cte(_w(as_of))]
-
-
-def avg_weekly_validations(as_of: dt.date = R.EVENTS_AS_OF, min_avg: float = 4):
-    weeks = week_diff_sql("c.createdon", "p.d")
-    weeks_prev = week_diff_sql("c.createdon", "CAST(p.d - INTERVAL 1 DAY AS DATE)")
-    body = f"""SELECT * FROM (
-  SELECT CAST(v.bd_linkedcustomer AS VARCHAR) AS ClientID,
-         CAST(c.createdon AS DATE) AS AccountCreationDate,
-         p.d AS DateOfExecution,
-         CAST(COUNT(v.validation_id) AS DOUBLE) AS ValidationCount,
-         CAST(NULLIF(CASE WHEN c.createdon < p.twelve THEN 52 ELSE {weeks} END, 0) AS INTEGER) AS Weeks,
-         CASE WHEN c.createdon < p.twelve THEN CAST(COUNT(v.validation_id) AS DOUBLE) / 52
-              ELSE CAST(COUNT(v.validation_id) AS DOUBLE) / NULLIF({weeks_prev}, 0)
-         END AS AverageValidationsPerWeek
-  FROM spine p, validation v
-  JOIN contact c ON c.Id = v.bd_linkedcustomer
-  WHERE CAST(v.DTHR_OPERATION AS DATE) >=
-        CASE WHEN c.createdon < p.twelve THEN p.twelve ELSE c.createdon END
-  GROUP BY p.d, p.twelve, v.bd_linkedcustomer, c.createdon
-) inserted
-WHERE NOT COALESCE(AverageValidationsPerWeek < {min_avg}, FALSE)"""
-    return body, [SOURCES["validation_a"], SOURCES["contact"], spine_cte(_w(as_of))]
-
-
-def total_clients(as_of: dt.date = R.SALES_AS_OF):
-    body = """SELECT d AS DateOfExecution, bd_productlonglabel AS type_abonnement,
-       CAST(SUM(clients) AS INTEGER) AS total_clients
+
+def _sources(*names: str) -> list[str]:
+    return [SOURCES[n] for n in names]
+
+
+def month_number(day: str) -> str:
+    return f"(12 * year({day}) + month({day}))"
+
+
+def weeks_between(a: str, b: str) -> str:
+    """Sundays after day ``a`` up to day ``b``: DuckDB's weeks start on
+    Monday, so both days are moved on by one first."""
+    def sunday(x: str) -> str:
+        return f"CAST(date_trunc('week', CAST({x} AS DATE) + 1) AS DATE)"
+
+    return f"((CAST({sunday(b)} AS DATE) - CAST({sunday(a)} AS DATE)) // 7)"
+
+
+# -- the jobs ------------------------------------------------------------------
+
+def title_sales_by_support(as_of: dt.date = SALES_AS_OF, spine: str = "spine"):
+    """Each sale line counts once per sales row of its transaction and day."""
+    body = f"""SELECT day AS SalesDate, label AS support_type, CAST(n AS INTEGER) AS Sales,
+       CAST(cards AS INTEGER) AS unique_cards, CAST(n // cards AS INTEGER) AS average_sales
 FROM (
-  SELECT p.d, COUNT(DISTINCT c.bd_contact_linked) AS clients, c.bd_productlonglabel
-  FROM spine p JOIN sales c ON CAST(c.bd_transaction_date AS DATE) >= p.twelve
-  WHERE c.bd_contact_linked IS NOT NULL
-  GROUP BY p.d, c.bd_productlonglabel
-  UNION ALL
-  SELECT p.d, COUNT(DISTINCT sd.bd_sales_transaction_id) AS clients, sd.bd_productlonglabel
-  FROM spine p JOIN sales sd ON CAST(sd.bd_transaction_date AS DATE) >= p.twelve
-  WHERE sd.bd_contact_linked IS NULL
-  GROUP BY p.d, sd.bd_productlonglabel
-) per_branch
-GROUP BY d, bd_productlonglabel"""
-    return body, [SOURCES["sales"], spine_cte(_w(as_of))]
-
-
-def purchase_to_validation_delay(as_of: dt.date = R.SALES_AS_OF):
-    body = """SELECT DISTINCT
-       CAST(lt.bd_contact_linked AS VARCHAR) AS bd_contact_linked,
-       lt.bd_articlelonglabel,
-       fv.bd_support_class,
-       CAST(lt.max_transaction_date AS DATE) AS max_transaction_date,
-       CAST(fv.first_validation_date_after_transaction AS DATE) AS first_validation_date_after_transaction,
-       CAST(date_diff('day', CAST(lt.max_transaction_date AS DATE),
-                      CAST(fv.first_validation_date_after_transaction AS DATE)) AS INTEGER) AS Delai
-FROM last_purchase lt
-JOIN first_tap fv
-  ON lt.ms = fv.ms AND lt.bd_contact_linked = fv.bd_linkedcustomer AND fv.rn = 1
-WHERE fv.first_validation_date_after_transaction >= lt.max_transaction_date"""
-    ctes = [
-        SOURCES["sales"], SOURCES["validation_b"], spine_cte(_w(as_of)),
-        "months AS (SELECT DISTINCT ms FROM spine)",
-        """last_purchase AS (
-  SELECT m.ms, s.bd_contact_linked, s.bd_articlelonglabel,
-         MAX(s.bd_transaction_date) AS max_transaction_date
-  FROM months m JOIN sales s ON CAST(s.bd_transaction_date AS DATE) >= m.ms
-  WHERE s.bd_contact_linked IS NOT NULL
-  GROUP BY m.ms, s.bd_contact_linked, s.bd_articlelonglabel)""",
-        """first_tap AS (
-  SELECT m.ms, v.bd_linkedcustomer,
-         v.DTHR_OPERATION AS first_validation_date_after_transaction,
-         v.bd_support_class,
-         ROW_NUMBER() OVER (PARTITION BY m.ms, v.bd_linkedcustomer
-                            ORDER BY v.DTHR_OPERATION ASC, v.validation_id ASC NULLS LAST,
-                                     v.bd_support_class ASC NULLS LAST) AS rn
-  FROM months m
-  JOIN validation v ON CAST(v.DTHR_OPERATION AS DATE) >= m.ms
-  JOIN last_purchase lt ON lt.ms = m.ms AND v.bd_linkedcustomer = lt.bd_contact_linked)""",
-    ]
-    return body, ctes
+  SELECT bought.day, support_name.label, CAST(sum(bought.k) AS BIGINT) AS n,
+         count(DISTINCT sold.card) AS cards
+  FROM (SELECT bd_sales_transaction_id AS tx, CAST(bd_transaction_date AS DATE) AS day, count(*) AS k
+        FROM sales SEMI JOIN {spine} ON CAST(bd_transaction_date AS DATE) = d
+        GROUP BY ALL) bought
+  JOIN (SELECT bd_sales_transaction_id AS tx, bd_support_serial_number_lookup AS card
+        FROM sale_detail) sold ON sold.tx = bought.tx
+  JOIN support ON support.id = sold.card
+  LEFT JOIN {SUPPORTS} ON support_name.code = support.bd_id_support_label
+  GROUP BY ALL) per_label"""
+    return body, [*_sources("sale_detail", "support", "sales"), _spine(as_of)]
+
+
+def active_clients(as_of: dt.date = SALES_AS_OF, kind: str = "b"):
+    """Days of registered cards' holders, by how many months they lie back."""
+    back = f"{month_number('d')} - {month_number('day')}"
+    body = f"""SELECT d AS DateOfExecution,
+       count(DISTINCT CASE WHEN back <= 0 THEN who END) AS CurrentMonthActiveClients,
+       count(DISTINCT CASE WHEN back = 1 THEN who END) AS LastMonthActiveClients,
+       count(DISTINCT CASE WHEN back = 12 THEN who END) AS LastYearSameMonthActiveClients
+FROM (
+  SELECT d, who, {back} AS back
+  FROM spine
+  LEFT JOIN (SELECT DISTINCT bd_linkedcustomer AS who, CAST(DTHR_OPERATION AS DATE) AS day
+             FROM validation SEMI JOIN card ON card.bd_mobibnumber = validation.bd_mobibnumber) seen
+    ON day >= CAST(d - INTERVAL 12 MONTH AS DATE)) marked
+GROUP BY d"""
+    return body, [*_sources(f"validation_{kind}", "card"), _spine(as_of)]
+
+
+def active_contract_clients(as_of: dt.date = SALES_AS_OF):
+    """A contract covers the month numbers from ``a`` (the next month if it
+    starts after the 1st) to ``b`` (the month before the day after its end)."""
+    def held(months_back: int) -> str:
+        return f"count(DISTINCT CASE WHEN m - {months_back} BETWEEN a AND b THEN who END)"
+
+    body = f"""SELECT d AS DateOfExecution, product AS type_abonnement,
+       coalesce(band.label, '65+') AS Categorie_age,
+       {held(0)} AS CurrentMonthActiveClients,
+       {held(1)} AS LastMonthActiveClients,
+       {held(12)} AS LastYearSameMonthActiveClients
+FROM (
+  SELECT d, {month_number('d')} AS m, who, a, b, bd_productlonglabel AS product,
+         year(d) - year(birthdate) AS age
+  FROM spine
+  JOIN (SELECT bd_contact_linked AS who, bd_article_code_lookup AS code, first_day,
+               {month_number('first_day')} + CASE WHEN day(first_day) > 1 THEN 1 ELSE 0 END AS a,
+               {month_number('(last_day + 1)')} - 1 AS b
+        FROM (SELECT *, CAST(bd_contract_start_date AS DATE) AS first_day,
+                     CAST(bd_contract_end_date AS DATE) AS last_day FROM sale_detail) dated) held
+    ON first_day >= CAST(d - INTERVAL 12 MONTH AS DATE)
+  JOIN article ON article.bd_articleid = held.code
+  JOIN contact ON contact.Id = held.who) held_by_age
+LEFT JOIN {bands()} ON age BETWEEN band.low AND band.high
+GROUP BY ALL"""
+    return body, [*_sources("sale_detail", "contact", "article"), _spine(as_of)]
+
+
+def clients_by_line(as_of: dt.date = EVENTS_AS_OF, kind: str = "a"):
+    """Riders of a line and day: the known ones, and one row for card '0'."""
+    body = f"""SELECT day AS DateOfExecution, coalesce(CAST(rider AS VARCHAR), 'N/A') AS ClientID,
+       CAST(age AS INTEGER) AS Age, LIBEL_LIGNE,
+       CASE WHEN known THEN coalesce(band.label, '65+') END AS AgeCategory,
+       CASE WHEN known THEN 'Client Connu' ELSE 'Client Non Connu' END AS ClientType
+FROM (
+  SELECT DISTINCT day, known, LIBEL_LIGNE, Id AS rider, year(day) - year(birthdate) AS age
+  FROM (
+    SELECT CAST(DTHR_OPERATION AS DATE) AS day, NUM_LIGNE, TRUE AS known, bd_linkedcustomer AS who FROM validation
+    UNION ALL
+    SELECT CAST(DTHR_OPERATION AS DATE), NUM_LIGNE, FALSE, NULL FROM validation WHERE bd_mobibnumber = '0') ridden
+  SEMI JOIN spine ON day = d
+  JOIN line ON line.NUM_LIGNE = ridden.NUM_LIGNE
+  LEFT JOIN contact ON contact.Id = who
+  WHERE Id IS NOT NULL OR NOT known) riders
+LEFT JOIN {bands(lowest=OPEN)} ON age BETWEEN band.low AND band.high"""
+    return body, [*_sources(f"validation_{kind}", "contact", "line"), _spine(as_of)]
+
+
+def _weekly(as_of: dt.date, keep: str):
+    body = f"""SELECT CAST(who AS VARCHAR) AS ClientID, CAST(createdon AS DATE) AS AccountCreationDate,
+       d AS DateOfExecution, CAST(n AS DOUBLE) AS ValidationCount, CAST(weeks AS INTEGER) AS Weeks,
+       average AS AverageValidationsPerWeek
+FROM (
+  SELECT *, CASE WHEN old THEN 52 ELSE nullif({weeks_between('createdon', 'd')}, 0) END AS weeks,
+         n / CAST(CASE WHEN old THEN 52 ELSE nullif({weeks_between('createdon', 'd - 1')}, 0) END AS DOUBLE)
+           AS average
+  FROM (
+    SELECT d, Id AS who, createdon, createdon < CAST(d - INTERVAL 12 MONTH AS DATE) AS old,
+           count(validation_id) AS n
+    FROM contact
+    JOIN validation ON bd_linkedcustomer = Id
+    JOIN spine ON CAST(DTHR_OPERATION AS DATE) >= createdon
+              AND CAST(DTHR_OPERATION AS DATE) >= CAST(d - INTERVAL 12 MONTH AS DATE)
+    GROUP BY d, Id, createdon) counted) rated
+WHERE {keep}"""
+    return body, [*_sources("validation_a", "contact"), _spine(as_of)]
 
 
-def validations_by_age(as_of: dt.date = R.EVENTS_AS_OF, start: dt.date = dt.date(2023, 1, 1)):
-    today = as_of - dt.timedelta(days=1)
-    ms = today.replace(day=1)
-    age = f"(year({_date(ms)}) - year(c.birthdate))"
-    body = f"""SELECT CAST(v.DTHR_OPERATION AS DATE) AS Date_de_validation,
-       v.LIBEL_LONG_PRODUIRE AS Type_abonnement,
-       v.bd_support_class AS Type_support,
-       CAST({age} AS INTEGER) AS Age,
-       {band_case(age)} AS Categorie_age,
-       CAST(COUNT(DISTINCT v.validation_id) AS INTEGER) AS Nombre_de_validation
-FROM validation v
-JOIN contact c ON v.bd_linkedcustomer = c.Id
-WHERE CAST(v.DTHR_OPERATION AS DATE) <= {_date(today)}
-  AND CAST(v.DTHR_OPERATION AS DATE) >= {_date(start)}
-GROUP BY CAST(v.DTHR_OPERATION AS DATE), v.LIBEL_LONG_PRODUIRE, v.bd_support_class,
-         {age}, {band_case(age)}"""
-    return body, [SOURCES["validation_a"], SOURCES["contact"]]
-
-
-def validation_counts_yoy(as_of: dt.date = R.SALES_AS_OF):
-    body = """SELECT ins.Date_de_validation, ins.Type_abonnement, ins.Nombre_de_validation,
-       CAST(COALESCE(pv.prev_count, ins.Nombre_de_validation_annee_precedente) AS INTEGER)
-         AS Nombre_de_validation_annee_precedente
-FROM inserted ins
-LEFT JOIN pv ON ins.Date_de_validation = pv.shifted_day AND ins.Type_abonnement = pv.LIBEL_LONG_PRODUIRE"""
-    ctes = [
-        SOURCES["validation_b"], spine_cte(_w(as_of)),
-        """inserted AS (
-  SELECT CAST(v.DTHR_OPERATION AS DATE) AS Date_de_validation,
-         v.LIBEL_LONG_PRODUIRE AS Type_abonnement,
-         CAST(COUNT(DISTINCT v.validation_id) AS INTEGER) AS Nombre_de_validation,
-         0 AS Nombre_de_validation_annee_precedente
-  FROM spine p JOIN validation v ON CAST(v.DTHR_OPERATION AS DATE) = p.d
-  GROUP BY CAST(v.DTHR_OPERATION AS DATE), v.LIBEL_LONG_PRODUIRE)""",
-        """pv AS (
-  SELECT CAST(v.DTHR_OPERATION + INTERVAL 1 YEAR AS DATE) AS shifted_day,
-         v.LIBEL_LONG_PRODUIRE,
-         COUNT(DISTINCT v.validation_id) AS prev_count
-  FROM validation v
-  WHERE CAST(v.DTHR_OPERATION AS DATE) IN (SELECT CAST(p.d - INTERVAL 1 YEAR AS DATE) FROM spine p)
-  GROUP BY CAST(v.DTHR_OPERATION + INTERVAL 1 YEAR AS DATE), v.LIBEL_LONG_PRODUIRE)""",
-    ]
-    return body, ctes
+def avg_weekly_validations(as_of: dt.date = EVENTS_AS_OF, min_avg: float = 4):
+    """Days both since the account began and in the last 12 months; an
+    unknown average stays."""
+    return _weekly(as_of, f"average >= {min_avg} OR average IS NULL")
+
 
+def avg_weekly_validations_deleted(as_of: dt.date = EVENTS_AS_OF):
+    return _weekly(as_of, "average < 4")
 
-def validation_rate_per_user(as_of: dt.date = R.EVENTS_AS_OF, spine: str = "spine"):
-    body = f"""SELECT pc.ValidationDate,
-       CAST(SUM(pc.n_taps) AS DOUBLE) / NULLIF(pd.n_users, 0) AS AverageValidationsPerUser
+
+def total_clients(as_of: dt.date = SALES_AS_OF):
+    """Distinct buyers: a contact, or else the transaction stands for one."""
+    body = """SELECT d AS DateOfExecution, bd_productlonglabel AS type_abonnement,
+       CAST(count(DISTINCT coalesce('contact ' || bd_contact_linked, 'sale ' || bd_sales_transaction_id))
+            AS INTEGER) AS total_clients
+FROM sales JOIN spine ON CAST(d - INTERVAL 12 MONTH AS DATE) <= CAST(bd_transaction_date AS DATE)
+GROUP BY ALL"""
+    return body, [*_sources("sales"), _spine(as_of)]
+
+
+def purchase_to_validation_delay(as_of: dt.date = SALES_AS_OF):
+    """For every month the dates lie in: latest purchase and first tap since
+    its first day."""
+    body = """SELECT DISTINCT CAST(buyer AS VARCHAR) AS bd_contact_linked, bd_articlelonglabel, bd_support_class,
+       CAST(bought AS DATE) AS max_transaction_date,
+       CAST(tapped AS DATE) AS first_validation_date_after_transaction,
+       CAST(CAST(tapped AS DATE) - CAST(bought AS DATE) AS INTEGER) AS Delai
 FROM (
-  SELECT CAST(v.DTHR_OPERATION AS DATE) AS ValidationDate, v.bd_linkedcustomer, COUNT(*) AS n_taps
-  FROM {spine} p JOIN validation v ON CAST(v.DTHR_OPERATION AS DATE) = p.d
-  GROUP BY CAST(v.DTHR_OPERATION AS DATE), v.bd_linkedcustomer
-) pc
+  SELECT since, bd_contact_linked AS buyer, bd_articlelonglabel, max(bd_transaction_date) AS bought
+  FROM sales JOIN (SELECT DISTINCT CAST(date_trunc('month', d) AS DATE) AS since FROM spine) m
+    ON CAST(bd_transaction_date AS DATE) >= since
+  GROUP BY ALL) purchase
 JOIN (
-  SELECT ValidationDate, COUNT(DISTINCT bd_linkedcustomer) AS n_users
-  FROM (SELECT CAST(v.DTHR_OPERATION AS DATE) AS ValidationDate, v.bd_linkedcustomer
-        FROM {spine} p JOIN validation v ON CAST(v.DTHR_OPERATION AS DATE) = p.d) x
-  GROUP BY ValidationDate
-) pd ON pc.ValidationDate = pd.ValidationDate
-GROUP BY pc.ValidationDate, pd.n_users"""
-    return body, [SOURCES["validation_a"], spine_cte(_w(as_of), spine)]
-
-
-def sales_by_channel(as_of: dt.date = R.SALES_AS_OF):
-    # grouped by the calendar day, as J1
-    body = f"""SELECT p.d AS DateOfExecution,
-       {equipment_case('s.bd_equipment_type')} AS EquipementType,
-       s.bd_productlonglabel AS ProductType,
-       CAST(COUNT(DISTINCT s.bd_sales_transaction_id) AS INTEGER) AS SalesQuant,
-       CAST(trunc(SUM(s.bd_global_amount)) AS INTEGER) AS Sales
-FROM spine p JOIN sales s ON CAST(s.bd_transaction_date AS DATE) = p.d
-GROUP BY p.d, {equipment_case('s.bd_equipment_type')}, s.bd_productlonglabel"""
-    return body, [SOURCES["sales"], spine_cte(_w(as_of))]
+  SELECT DISTINCT ON (since, bd_linkedcustomer) since AS tap_since, bd_linkedcustomer AS rider,
+         DTHR_OPERATION AS tapped, bd_support_class
+  FROM validation JOIN (SELECT DISTINCT CAST(date_trunc('month', d) AS DATE) AS since FROM spine) m
+    ON CAST(DTHR_OPERATION AS DATE) >= since
+  ORDER BY since, bd_linkedcustomer, DTHR_OPERATION, validation_id NULLS LAST, bd_support_class NULLS LAST) tap
+  ON rider = buyer AND tap_since = since AND tapped >= bought"""
+    return body, [*_sources("sales", "validation_b"), _spine(as_of)]
+
+
+def validations_by_age(as_of: dt.date = EVENTS_AS_OF, start: dt.date = dt.date(2023, 1, 1), kind: str = "a"):
+    """Age in the year of the day before the run."""
+    body = f"""SELECT day AS Date_de_validation, product AS Type_abonnement, class AS Type_support,
+       CAST(age AS INTEGER) AS Age, coalesce(band.label, '65+') AS Categorie_age,
+       CAST(n AS INTEGER) AS Nombre_de_validation
+FROM (
+  SELECT CAST(DTHR_OPERATION AS DATE) AS day, LIBEL_LONG_PRODUIRE AS product, bd_support_class AS class,
+         {(as_of - dt.timedelta(days=1)).year} - year(birthdate) AS age, count(DISTINCT validation_id) AS n
+  FROM contact JOIN validation ON bd_linkedcustomer = Id
+  WHERE DTHR_OPERATION >= DATE '{start}' AND DTHR_OPERATION < DATE '{as_of}'
+  GROUP BY ALL) per_age
+LEFT JOIN {bands()} ON age BETWEEN band.low AND band.high"""
+    return body, _sources(f"validation_{kind}", "contact")
+
+
+def validation_counts_yoy(as_of: dt.date = SALES_AS_OF):
+    """Daily counts joined to themselves: a date d looks at d - 12 months,
+    and what it finds is due 12 months after that day."""
+    daily = """SELECT CAST(DTHR_OPERATION AS DATE) AS day, LIBEL_LONG_PRODUIRE AS product,
+              count(DISTINCT validation_id) AS n FROM validation GROUP BY ALL"""
+    body = f"""SELECT now.day AS Date_de_validation, now.product AS Type_abonnement,
+       CAST(now.n AS INTEGER) AS Nombre_de_validation,
+       CAST(coalesce(past.n, 0) AS INTEGER) AS Nombre_de_validation_annee_precedente
+FROM (SELECT * FROM ({daily}) a SEMI JOIN spine ON day = d) now
+LEFT JOIN (SELECT CAST(day + INTERVAL 12 MONTH AS DATE) AS due, product, n FROM ({daily}) b
+           SEMI JOIN spine ON day = CAST(d - INTERVAL 12 MONTH AS DATE)) past
+  ON past.due = now.day AND past.product = now.product"""
+    return body, [*_sources("validation_b"), _spine(as_of)]
+
+
+def validation_rate_per_user(as_of: dt.date = EVENTS_AS_OF, spine: str = "spine"):
+    body = f"""SELECT CAST(DTHR_OPERATION AS DATE) AS ValidationDate,
+       CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT bd_linkedcustomer), 0) AS AverageValidationsPerUser
+FROM validation SEMI JOIN {spine} ON CAST(DTHR_OPERATION AS DATE) = d
+GROUP BY ALL"""
+    return body, [*_sources("validation_a"), _spine(as_of, spine)]
+
+
+def sales_by_channel(as_of: dt.date = SALES_AS_OF):
+    body = f"""SELECT CAST(bd_transaction_date AS DATE) AS DateOfExecution,
+       coalesce(channel_name.label, bd_equipment_type) AS EquipementType, bd_productlonglabel AS ProductType,
+       CAST(count(DISTINCT bd_sales_transaction_id) AS INTEGER) AS SalesQuant,
+       CAST(trunc(sum(bd_global_amount)) AS INTEGER) AS Sales
+FROM sales SEMI JOIN spine ON CAST(bd_transaction_date AS DATE) = d
+LEFT JOIN {CHANNELS} ON channel_name.code = bd_equipment_type
+GROUP BY ALL"""
+    return body, [*_sources("sales"), _spine(as_of)]
 
 
 # -- operators -----------------------------------------------------------------
 
 def period_bounds():
-    body = """SELECT d,
-       make_date(year(d), month(d), 1) AS month_start,
-       last_day(d) AS month_end,
-       CAST(make_date(year(d), month(d), 1) - INTERVAL 1 MONTH AS DATE) AS last_month_start,
-       last_day(CAST(make_date(year(d), month(d), 1) - INTERVAL 1 MONTH AS DATE)) AS last_month_end,
-       CAST(make_date(year(d), month(d), 1) - INTERVAL 1 YEAR AS DATE) AS last_year_start,
-       last_day(CAST(make_date(year(d), month(d), 1) - INTERVAL 1 YEAR AS DATE)) AS last_year_end,
+    body = """SELECT d, first AS month_start, CAST(first + INTERVAL 1 MONTH AS DATE) - 1 AS month_end,
+       CAST(first - INTERVAL 1 MONTH AS DATE) AS last_month_start, first - 1 AS last_month_end,
+       CAST(first - INTERVAL 12 MONTH AS DATE) AS last_year_start,
+       CAST(first - INTERVAL 11 MONTH AS DATE) - 1 AS last_year_end,
        CAST(d - INTERVAL 12 MONTH AS DATE) AS twelve_months_ago
-FROM (SELECT DISTINCT CAST(DTHR_OPERATION AS DATE) AS d FROM validation) days"""
-    return body, [SOURCES["validation_b"]]
+FROM (SELECT DISTINCT CAST(DTHR_OPERATION AS DATE) AS d,
+             CAST(DTHR_OPERATION AS DATE) - CAST(day(DTHR_OPERATION) - 1 AS INTEGER) AS first
+      FROM validation) days"""
+    return body, _sources("validation_b")
 
 
-def age_bands(as_of: dt.date = R.EVENTS_AS_OF):
-    age = f"(year({_date(as_of.replace(day=1))}) - year(c.birthdate))"
-    body = f"""SELECT CAST({age} AS INTEGER) AS Age, {band_case(age)} AS band_between,
-       {band_case(age, open_low=True)} AS band_open_low, COUNT(*) AS n_contacts
-FROM contact c GROUP BY 1, 2, 3"""
-    return body, [SOURCES["contact"]]
+def age_bands(as_of: dt.date = SALES_AS_OF):
+    body = f"""SELECT CAST(age AS INTEGER) AS Age, coalesce(closed.label, '65+') AS band_between,
+       coalesce(open.label, '65+') AS band_open_low, count(*) AS n_contacts
+FROM (SELECT {as_of.year} - year(birthdate) AS age FROM contact) aged
+LEFT JOIN {bands('closed')} ON age BETWEEN closed.low AND closed.high
+LEFT JOIN {bands('open', OPEN)} ON age BETWEEN open.low AND open.high
+GROUP BY ALL"""
+    return body, _sources("contact")
 
 
 def account_weeks():
-    weeks = week_diff_sql("c.createdon", "v.DTHR_OPERATION")
-    body = f"""SELECT CAST({weeks} AS INTEGER) AS Weeks, COUNT(*) AS n_validations
-FROM validation v JOIN contact c ON v.bd_linkedcustomer = c.Id
-GROUP BY 1"""
-    return body, [SOURCES["validation_a"], SOURCES["contact"]]
+    body = f"""SELECT CAST({weeks_between('createdon', 'DTHR_OPERATION')} AS INTEGER) AS Weeks,
+       count(*) AS n_validations
+FROM contact JOIN validation ON bd_linkedcustomer = Id GROUP BY ALL"""
+    return body, _sources("validation_a", "contact")
 
 
 def equipment_labels():
-    body = f"""SELECT bd_equipment_type, {equipment_case('bd_equipment_type')} AS EquipementType,
-       COUNT(*) AS n_rows
-FROM sales GROUP BY 1, 2"""
-    return body, [SOURCES["sales"]]
+    body = f"""SELECT bd_equipment_type, coalesce(channel_name.label, bd_equipment_type) AS EquipementType,
+       count(*) AS n_rows
+FROM sales LEFT JOIN {CHANNELS} ON channel_name.code = bd_equipment_type GROUP BY ALL"""
+    return body, _sources("sales")
 
 
 def first_validation_per_customer():
-    body = """SELECT bd_linkedcustomer, DTHR_OPERATION, validation_id, bd_support_class, NUM_LIGNE
-FROM (SELECT v.*, ROW_NUMBER() OVER (PARTITION BY bd_linkedcustomer
-                                     ORDER BY DTHR_OPERATION ASC, validation_id ASC NULLS LAST,
-                                              bd_support_class ASC NULLS LAST) AS rn
-      FROM validation v WHERE bd_linkedcustomer IS NOT NULL) x
-WHERE rn = 1"""
-    return body, [SOURCES["validation_a"]]
+    body = """SELECT DISTINCT ON (bd_linkedcustomer)
+       bd_linkedcustomer, DTHR_OPERATION, validation_id, bd_support_class, NUM_LIGNE
+FROM validation WHERE bd_linkedcustomer IS NOT NULL
+ORDER BY bd_linkedcustomer, DTHR_OPERATION, validation_id NULLS LAST, bd_support_class NULLS LAST"""
+    return body, _sources("validation_a")
+
+
+OLDER_SALES, OLDER_RATE = dt.date(2001, 7, 29), dt.date(2024, 1, 27)
 
 
 def title_sales_upsert():
-    old_body, old_ctes = title_sales_by_support(dt.date(2001, 7, 29))
-    new_body, _ = title_sales_by_support(R.SALES_AS_OF)
-    ctes = [c for c in old_ctes if not c.startswith("spine")]
-    ctes += [
-        spine_cte(_w(dt.date(2001, 7, 29)), "spine_old"),
-        spine_cte(_w(R.SALES_AS_OF), "spine_new"),
-        "target AS (" + old_body.replace("FROM spine p", "FROM spine_old p") + ")",
-        "source AS (" + new_body.replace("FROM spine p", "FROM spine_new p") + ")",
-    ]
-    body = """SELECT t.* FROM target t
-WHERE NOT EXISTS (SELECT 1 FROM source s
-                  WHERE s.SalesDate IS NOT DISTINCT FROM t.SalesDate
-                    AND s.support_type IS NOT DISTINCT FROM t.support_type)
-UNION ALL
-SELECT * FROM source"""
+    """The newer run's rows, and the older run's whose key it has not."""
+    older, _ = title_sales_by_support(spine="spine_old")
+    newer, ctes = title_sales_by_support(spine="spine_new")
+    ctes = [c for c in ctes if not c.startswith("spine")]
+    ctes += [_spine(OLDER_SALES, "spine_old"), _spine(SALES_AS_OF, "spine_new"), f"older AS ({older})",
+             f"newer AS ({newer})"]
+    body = """SELECT older.* FROM older LEFT JOIN newer
+  ON newer.SalesDate IS NOT DISTINCT FROM older.SalesDate
+ AND newer.support_type IS NOT DISTINCT FROM older.support_type
+WHERE newer.Sales IS NULL
+UNION ALL FROM newer"""
     return body, ctes
 
 
+def _rates_of_two_runs(gone: dt.date | None = None):
+    """Both runs see the same taps, so the table is the rate of every date of
+    either window, but for a date that has lost its taps."""
+    lost = f" WHERE d <> DATE '{gone}'" if gone else ""
+    either = (f"spine AS (SELECT DISTINCT d FROM (FROM spine_old UNION ALL FROM spine_new) x{lost})")
+    body, _ = validation_rate_per_user()
+    return body, [*_sources("validation_a"), _spine(OLDER_RATE, "spine_old"),
+                  _spine(EVENTS_AS_OF, "spine_new"), either]
+
+
 def validation_rate_replace_dates():
-    old_body, _ = validation_rate_per_user(dt.date(2024, 1, 27), "spine_old")
-    new_body, _ = validation_rate_per_user(R.EVENTS_AS_OF, "spine_new")
-    ctes = [
-        SOURCES["validation_a"],
-        spine_cte(_w(dt.date(2024, 1, 27)), "spine_old"),
-        spine_cte(_w(R.EVENTS_AS_OF), "spine_new"),
-        f"target AS ({old_body})",
-        f"source AS ({new_body})",
-    ]
-    body = """SELECT * FROM target WHERE ValidationDate NOT IN (SELECT ValidationDate FROM source)
-UNION ALL
-SELECT * FROM source"""
-    return body, ctes
+    return _rates_of_two_runs()
 
 
-def duplicate_validation_ids():
-    body = """SELECT validation_id, COUNT(*) AS n_rows FROM validation
-GROUP BY validation_id HAVING COUNT(*) > 1"""
-    return body, [SOURCES["validation_b"]]
+def stored_replace_dates():
+    return _rates_of_two_runs(dt.date(2024, 1, 25))
+
 
+def stored_append():
+    body, ctes = sales_by_channel()
+    return f"SELECT run.* FROM ({body}) run CROSS JOIN (VALUES (1), (2)) twice(n)", ctes
 
-def sales_lines_in_lookback(as_of: dt.date = R.SALES_AS_OF):
-    body = """SELECT p.d, COUNT(*) AS n_lines, COUNT(DISTINCT s.bd_sales_transaction_id) AS n_transactions
-FROM spine p JOIN sales s ON CAST(s.bd_transaction_date AS DATE) >= p.twelve
-GROUP BY p.d"""
-    return body, [SOURCES["sales"], spine_cte(_w(as_of))]
+
+def duplicate_validation_ids():
+    body = """SELECT validation_id, n AS n_rows
+FROM (SELECT validation_id, count(*) AS n FROM validation GROUP BY ALL) x WHERE n > 1"""
+    return body, _sources("validation_b")
 
 
-def contracts_covering_month(as_of: dt.date = R.MONTH_START_AS_OF):
-    body = """SELECT p.d, COUNT(*) AS n_contracts
-FROM spine p JOIN sale_detail v
-  ON CAST(v.bd_contract_end_date AS DATE) >= p.me AND CAST(v.bd_contract_start_date AS DATE) <= p.ms
-GROUP BY p.d"""
-    return body, [SOURCES["sale_detail"], spine_cte(_w(as_of))]
+def sales_lines_in_lookback(as_of: dt.date = SALES_AS_OF):
+    body = """SELECT d, count(*) AS n_lines, count(DISTINCT bd_sales_transaction_id) AS n_transactions
+FROM spine JOIN sales ON CAST(bd_transaction_date AS DATE) + INTERVAL 0 DAY >= d - INTERVAL 12 MONTH
+GROUP BY ALL"""
+    return body, [*_sources("sales"), _spine(as_of)]
 
 
-def validations_since_account_start(as_of: dt.date = R.EVENTS_AS_OF):
-    body = """SELECT p.d, v.bd_linkedcustomer, COUNT(v.validation_id) AS n_validations
-FROM spine p, validation v
-JOIN contact c ON c.Id = v.bd_linkedcustomer
-WHERE CAST(v.DTHR_OPERATION AS DATE) >=
-      CASE WHEN c.createdon < p.twelve THEN p.twelve ELSE c.createdon END
-GROUP BY p.d, v.bd_linkedcustomer"""
-    return body, [SOURCES["validation_a"], SOURCES["contact"], spine_cte(_w(as_of))]
+def contracts_covering_month(as_of: dt.date = MONTH_START_AS_OF):
+    first = "CAST(date_trunc('month', d) AS DATE)"
+    body = f"""SELECT d, count(*) AS n_contracts
+FROM spine JOIN sale_detail ON CAST(bd_contract_start_date AS DATE) <= {first}
+  AND CAST(bd_contract_end_date AS DATE) + 1 >= CAST({first} + INTERVAL 1 MONTH AS DATE)
+GROUP BY ALL"""
+    return body, [*_sources("sale_detail"), _spine(as_of)]
 
 
-def avg_weekly_validations_deleted(as_of: dt.date = R.EVENTS_AS_OF):
-    body, ctes = avg_weekly_validations(as_of)
-    kept = "WHERE NOT COALESCE(AverageValidationsPerWeek < 4, FALSE)"
-    assert kept in body
-    return body.replace(kept, "WHERE AverageValidationsPerWeek < 4"), ctes
+def validations_since_account_start(as_of: dt.date = EVENTS_AS_OF):
+    body = """SELECT d, bd_linkedcustomer, count(validation_id) AS n_validations
+FROM contact JOIN validation ON bd_linkedcustomer = Id
+JOIN spine ON CAST(DTHR_OPERATION AS DATE) >= createdon
+          AND CAST(DTHR_OPERATION AS DATE) >= CAST(d - INTERVAL 12 MONTH AS DATE)
+GROUP BY ALL"""
+    return body, [*_sources("validation_a", "contact"), _spine(as_of)]
 
 
 BUILDERS = {
@@ -510,12 +467,16 @@ BUILDERS = {
     "validation_counts_yoy": validation_counts_yoy,
     "validation_rate_per_user": validation_rate_per_user,
     "sales_by_channel": sales_by_channel,
-    "active_clients_dense": lambda: active_clients(R.EVENTS_AS_OF, "a"),
-    "active_contract_clients_month_start": lambda: active_contract_clients(R.MONTH_START_AS_OF),
-    "purchase_to_validation_delay_two_months":
-        lambda: purchase_to_validation_delay(R.MONTH_START_AS_OF),
-    "validation_counts_yoy_leap_lookup": lambda: validation_counts_yoy(R.LEAP_LOOKUP_AS_OF),
-    "validation_counts_yoy_leap_window": lambda: validation_counts_yoy(R.LEAP_WINDOW_AS_OF),
+    "active_clients_dense": lambda: active_clients(EVENTS_AS_OF, "a"),
+    "active_contract_clients_month_start": lambda: active_contract_clients(MONTH_START_AS_OF),
+    "purchase_to_validation_delay_two_months": lambda: purchase_to_validation_delay(MONTH_START_AS_OF),
+    "validation_counts_yoy_leap_lookup": lambda: validation_counts_yoy(LEAP_LOOKUP_AS_OF),
+    "validation_counts_yoy_leap_window": lambda: validation_counts_yoy(LEAP_WINDOW_AS_OF),
+    "clients_by_line_future_births": lambda: clients_by_line(SALES_AS_OF, "b"),
+    "validations_by_age_future_births":
+        lambda: validations_by_age(SALES_AS_OF, dt.date(2001, 1, 1), "b"),
+    "avg_weekly_validations_old_accounts": lambda: avg_weekly_validations(OLD_ACCOUNTS_AS_OF, 0),
+    "active_clients_no_activity": lambda: active_clients(NO_TAPS_AS_OF, "a"),
     "period_bounds": period_bounds,
     "age_bands": age_bands,
     "account_weeks": account_weeks,
@@ -528,9 +489,15 @@ BUILDERS = {
     "duplicate_validation_ids": duplicate_validation_ids,
     "sales_lines_in_lookback": sales_lines_in_lookback,
     "contracts_covering_month": contracts_covering_month,
-    "active_clients_no_activity": lambda: active_clients(R.SALES_AS_OF, "a"),
     "validations_since_account_start": validations_since_account_start,
+    "validations_since_account_start_old": lambda: validations_since_account_start(OLD_ACCOUNTS_AS_OF),
     "avg_weekly_validations_deleted": avg_weekly_validations_deleted,
+    "stored_append": stored_append,
+    "stored_overwrite": validation_rate_per_user,
+    "stored_replace_dates": stored_replace_dates,
+    "stored_upsert": title_sales_upsert,
+    "stored_update": validation_counts_yoy,
+    "stored_delete": avg_weekly_validations,
 }
 
 

@@ -59,7 +59,7 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
     from day d - 12 months on.
 
     Plan: taps are reduced to (card, customer, month) -> latest day, then
-    joined to the distinct card register, then to (customer, month) -> latest
+    joined to the card register, then to (customer, month) -> latest
     day. "Active in [lo, month end]" is "latest day in that month >= lo", and
     "active on or after lo" is "latest day overall >= lo", so one small
     histogram of latest days (days x months rows at most) meets the broadcast
@@ -73,11 +73,13 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
         CARD, CUSTOMER, to_day(TS).alias("_day")
     ).withColumn("_month", F.trunc("_day", "MM"))
     per_card = v.groupBy(CARD, CUSTOMER, "_month").agg(F.max("_day").alias("_last"))
-    # ``IN (SELECT DISTINCT card)`` as an inner join with the distinct
-    # register: Catalyst would push a semi-join below the aggregate onto raw
-    # taps; the inner join stays on the reduced rows, so a register too big
-    # to broadcast shuffles (card, customer, month) rows, not a year of taps.
-    known = per_card.join(cards.select(CARD).distinct(), CARD)
+    # ``IN (SELECT DISTINCT card)`` as an inner join with the plain register:
+    # Catalyst would push a semi-join below the aggregate onto raw taps; the
+    # inner join stays on the reduced rows, so a register too big to broadcast
+    # shuffles (card, customer, month) rows, not a year of taps. A card listed
+    # twice repeats rows that the max absorbs; without a distinct() between
+    # the exchange and the join, AQE can split a card of very many customers.
+    known = per_card.join(cards.select(CARD), CARD)
     per_month = known.groupBy(CUSTOMER, "_month").agg(F.max("_last").alias("_last"))
 
     # One small histogram, tagged: the latest day overall per customer
@@ -94,7 +96,7 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
     is_cur = m.isNull() & (last >= F.col(MONTH_START))
     is_last = m == F.col(LAST_MONTH_START)
     is_last_year = (m == F.col(LAST_YEAR_START)) & (last >= F.col(TWELVE_MONTHS_AGO))
-    joined = spine_join(hist, spine, window, is_cur | is_last | is_last_year)
+    joined = spine_join(hist, spine, is_cur | is_last | is_last_year)
     counts = joined.groupBy("d").agg(
         *[F.sum(F.when(cond, F.col("n"))).alias(name)
           for name, cond in ((CURRENT, is_cur), (LAST_MONTH, is_last), (LAST_YEAR, is_last_year))]
@@ -103,50 +105,41 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
     return conform(out.withColumnRenamed("d", "DateOfExecution"), ACTIVE_CLIENTS)
 
 
-# J3 keeps 4 maxima per month of the window in one aggregate; a window of
-# more months (a long backfill) is processed in passes of this many months.
-MONTHS_PER_PASS = 12
-
-
-def _chunks(items: list, size: int) -> list[list]:
-    return [items[i:i + size] for i in range(0, len(items), size)]
+# J3's periods, and by how many months each lies before the run's month.
+PERIODS = {"cur": 0, "last": 1, "last_year": 12}
 
 
 def _latest_covering_starts(
-    sale_detail: DataFrame, article: DataFrame, months: list[dt.date], lower: dt.date
+    sale_detail: DataFrame, article: DataFrame, window: DateWindow
 ) -> DataFrame:
-    """Per (contact, product) and month M of ``months``: the latest contract
-    start on or after ``lower`` overall ("any"), and the latest one covering
-    M, the month before, and M a year before; one row per non-NULL value."""
+    """``(contact, product, _month, _period, _start)``: the latest contract
+    start that covers the period of the window's month, and with period "any"
+    (and no month) the latest start at all.
+
+    Contracts are first reduced to the latest end per (contact, product,
+    start): it covers whatever an earlier end covers. A contract is then
+    copied to the months it covers, of those that are a period of some month
+    of the window (3 a month), whatever the window's length."""
+    months = window.month_starts()
+    wanted = sorted({add_months(m, -back) for m in months for back in PERIODS.values()})
     sd = sale_detail.select("bd_contact_linked", "bd_article_code_lookup",
                             "bd_contract_start_date", "bd_contract_end_date")
-    sd = day_range(sd, "bd_contract_start_date", lower)
+    sd = day_range(sd, "bd_contract_start_date", window.earliest_lookback(12))
     sd = sd.join(article, F.col("bd_article_code_lookup") == F.col("bd_articleid"))
-    start, end = to_day("bd_contract_start_date"), to_day("bd_contract_end_date")
-
-    def latest_start(p_start: dt.date) -> F.Column:
-        p_end = add_months(p_start, 1) - dt.timedelta(days=1)
-        return F.max(F.when((end >= F.lit(p_end)) & (start <= F.lit(p_start)), start))
-
-    periods = {
-        "any": lambda m: F.max(start),
-        "cur": latest_start,
-        "last": lambda m: latest_start(add_months(m, -1)),
-        "last_year": lambda m: latest_start(add_months(m, -12)),
-    }
-    aggs = [fn(m).alias(f"{name}_{i}")
-            for i, m in enumerate(months) for name, fn in periods.items()]
-    per_contact = sd.groupBy("bd_contact_linked", "bd_productlonglabel").agg(*aggs)
-    return per_contact.select(
-        "bd_contact_linked", "bd_productlonglabel",
-        F.explode(F.array(*[
-            F.struct(F.lit(m).alias("_month"), F.lit(name).alias("_period"),
-                     F.col(f"{name}_{i}").alias("_start"))
-            for i, m in enumerate(months) for name in periods
-        ])).alias("_p"),
-    ).select("bd_contact_linked", "bd_productlonglabel", "_p.*").filter(
-        F.col("_start").isNotNull()
-    )
+    who = ["bd_contact_linked", "bd_productlonglabel"]
+    spans = sd.groupBy(*who, to_day("bd_contract_start_date").alias("_start")).agg(
+        F.max(to_day("bd_contract_end_date")).alias("_end"))
+    covered = F.filter(
+        F.array(*[F.lit(m) for m in wanted]),
+        lambda m: (F.col("_start") <= m) & (F.col("_end") >= F.last_day(m)))
+    uses = F.flatten(F.transform(covered, lambda m: F.array(*[
+        F.struct(F.add_months(m, back).alias("_month"), F.lit(name).alias("_period"))
+        for name, back in PERIODS.items()])))
+    in_window = F.filter(uses, lambda u: u["_month"].between(F.lit(months[0]), F.lit(months[-1])))
+    anyway = F.array(F.struct(F.lit(None).cast("date").alias("_month"), F.lit("any").alias("_period")))
+    return spans.select(*who, "_start", F.explode(F.concat(in_window, anyway)).alias("_p")).groupBy(
+        *who, F.col("_p._month").alias("_month"), F.col("_p._period").alias("_period")
+    ).agg(F.max("_start").alias("_start"))
 
 
 def active_contract_clients(
@@ -158,23 +151,18 @@ def active_contract_clients(
     month, the same month last year. A group exists for d when any of its
     contracts started on or after d - 12 months.
 
-    For a fixed month M every condition is "start <= P_start and end >= P_end
-    and start >= d - 12 months". The first two depend on M only, so one
-    aggregate per (contact, product) keeps, for each month of the window and
-    each period, the *latest* qualifying start; the last condition then is
-    "latest start >= d - 12 months", answered per date from a histogram of
-    those starts. The months of the window are known on the driver (at most
-    two for 8 dates), so this is one group-by with a few conditional maxima,
-    with no copy of the contracts per date (a window of more than 12 months
-    is done in passes of 12 months, each with its own literal lower bound).
+    For a fixed month every condition is "covers the period and start >=
+    d - 12 months". The first part depends on the month only, so the *latest*
+    covering start per (contact, product, month, period) is kept; the rest
+    is "latest start >= d - 12 months", answered per date from a histogram of
+    those starts. One pass over the contracts, for any window.
     """
     spark = sale_detail.sparkSession
-    stacked = None
-    for months in _chunks(window.month_starts(), MONTHS_PER_PASS):
-        first_day = max(window.start, months[0])
-        part = _latest_covering_starts(
-            sale_detail, article, months, add_months(first_day, -12))
-        stacked = part if stacked is None else stacked.unionByName(part)
+    stacked = _latest_covering_starts(sale_detail, article, window)
+    # "any" counts for every month of the window, whose age bands differ
+    stacked = stacked.withColumn("_month", F.explode(F.when(
+        F.col("_month").isNull(), F.array(*[F.lit(m) for m in window.month_starts()])
+    ).otherwise(F.array("_month"))))
     with_band = stacked.join(
         contact.select("Id", "birthdate"), F.col("bd_contact_linked") == F.col("Id")
     ).select(
@@ -191,7 +179,7 @@ def active_contract_clients(
     spine = with_period_bounds(date_spine(spark, window)).select(
         "d", MONTH_START, TWELVE_MONTHS_AGO)
     per_date = count_at_least(
-        hist, spine, window, "_start", F.col(TWELVE_MONTHS_AGO),
+        hist, spine, "_start", F.col(TWELVE_MONTHS_AGO),
         keys=["type_abonnement", "Categorie_age", "_period"],
         on=F.col("_month") == F.col(MONTH_START),
     )
@@ -267,17 +255,12 @@ def avg_weekly_validations(
 
     Taps are first counted per (customer, day). The per-date lower bound
     ``lb(d) = max(created, d - 12 months)`` only moves inside the band
-    ``[max(created, first d - 12m), max(created, last d - 12m))``, so:
-
-    * days at or above the band's top count for every date: one sum per
-      customer, expanded to the window's dates;
-    * only the days inside the band (at most one per window date) meet the
-      broadcast dates in a range join.
-
-    No customer's history is copied per execution date; what is shuffled
-    for the final sum has the size of the output.
+    ``[max(created, first d - 12m), max(created, last d - 12m))``. So one row
+    per customer holds the sum of the days at or above the band's top, which
+    count for every date, and a list of the days inside the band (at most one
+    per window date). The dates are expanded after that last shuffle; no
+    customer's history is copied per execution date.
     """
-    spark = validations.sparkSession
     v = lookback(validations.select(TS, CUSTOMER, "validation_id"), TS, window)
     daily = (
         v.filter(F.col(CUSTOMER).isNotNull())
@@ -294,21 +277,20 @@ def avg_weekly_validations(
     last_bound = F.lit(add_months(window.end, -12))
     band_top = F.when(created > last_bound, created).otherwise(last_bound)
     band_bottom = F.when(created > first_bound, created).otherwise(first_bound)
-
-    every_date = (
-        daily.filter(day >= band_top)
-        .groupBy(CUSTOMER, "createdon").agg(F.sum("_n").alias("_n"))
-        .select(CUSTOMER, "createdon", "_n", F.explode(F.sequence(
-            F.lit(window.start), F.lit(window.end), F.expr("INTERVAL 1 DAY"))).alias("d"))
-    )
-    spine = with_period_bounds(date_spine(spark, window)).select("d", TWELVE_MONTHS_AGO)
-    in_band = spine_join(
-        daily.filter((day >= band_bottom) & (day < band_top)), spine, window,
-        since_account_start("_day", "createdon", F.col(TWELVE_MONTHS_AGO)),
-    ).select(CUSTOMER, "createdon", "_n", "d")
-    g = every_date.unionByName(in_band).groupBy("d", CUSTOMER, "createdon").agg(
-        F.sum("_n").alias("_cnt")
+    above, in_band = day >= band_top, (day >= band_bottom) & (day < band_top)
+    per_customer = daily.filter(above | in_band).groupBy(CUSTOMER, "createdon").agg(
+        F.count(F.when(above, 1)).alias("_days"),
+        F.coalesce(F.sum(F.when(above, F.col("_n"))), F.lit(0)).alias("_sum"),
+        F.collect_list(F.when(in_band, F.struct("_day", "_n"))).alias("_band"),
     )
+    per_date = per_customer.select("*", F.explode(F.sequence(
+        F.lit(window.start), F.lit(window.end), F.expr("INTERVAL 1 DAY"))).alias("d"))
+    counted = F.filter("_band", lambda b: since_account_start(
+        b["_day"], "createdon", F.add_months(F.col("d"), -12)))
+    g = per_date.withColumn("_counted", counted).filter(
+        (F.col("_days") > 0) | (F.size("_counted") > 0)).select(
+        "d", CUSTOMER, "createdon",
+        (F.col("_sum") + F.aggregate("_counted", F.lit(0).cast("long"), lambda s, b: s + b["_n"])).alias("_cnt"))
 
     lb = F.add_months(F.col("d"), -12)
     old = created < lb

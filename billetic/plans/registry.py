@@ -7,6 +7,7 @@ and returns a DataFrame; nothing is collected.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,14 +45,38 @@ from billetic.plans.clients import (
 )
 from billetic.plans.sales import sales_by_channel, title_sales_by_support, total_clients
 from billetic.plans.validations import (
+    HISTORY_START,
     purchase_to_validation_delay,
     validation_counts_yoy,
     validation_rate_per_user,
     validations_by_age,
 )
 from billetic.sources.fixtures import FixtureSources
-from billetic.sources.sinks import duplicate_keys, replace_dates, update_from, upsert
-from billetic.sources.targets import ACTIVE_CLIENTS, TITLE_SALES, conform
+from billetic.session import ensure_checkpoint_dir
+from billetic.sources.sinks import (
+    APPEND,
+    OVERWRITE,
+    REPLACE_DATES,
+    delete_from,
+    duplicate_keys,
+    ensure_target,
+    read_target,
+    replace_dates,
+    update_from,
+    update_into,
+    upsert,
+    upsert_into,
+    write_target,
+)
+from billetic.sources.targets import (
+    ACTIVE_CLIENTS,
+    AVG_WEEKLY_VALIDATIONS,
+    SALES_BY_CHANNEL,
+    TITLE_SALES,
+    VALIDATION_COUNTS,
+    VALIDATION_RATE,
+    conform,
+)
 
 # Execution dates ("today") of the registered runs.
 SALES_AS_OF = dt.date(2001, 8, 1)        # orders end on 2001-08-01
@@ -59,6 +84,8 @@ MONTH_START_AS_OF = dt.date(2001, 8, 2)  # window holds a 1st of month and two m
 LEAP_LOOKUP_AS_OF = dt.date(2001, 3, 5)  # last year's window holds 2000-02-29
 LEAP_WINDOW_AS_OF = dt.date(2000, 3, 4)  # the window holds 2000-02-29
 EVENTS_AS_OF = dt.date(2024, 1, 31)      # events cover 2024-01-01 .. 2024-01-30
+OLD_ACCOUNTS_AS_OF = dt.date(2025, 1, 20)  # accounts of over a year; the lookback starts inside January
+NO_TAPS_AS_OF = dt.date(2025, 3, 1)      # the last tap is more than 12 months ago
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,14 +116,14 @@ def q_active_contract_clients(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     return active_contract_clients(s.sale_detail(), s.contact(), s.article(), _w(as_of, window))
 
 
-def q_clients_by_line(spark, sf_dir, as_of=EVENTS_AS_OF, window=None):
-    s = _src(spark, sf_dir, "a")
+def q_clients_by_line(spark, sf_dir, as_of=EVENTS_AS_OF, kind="a", window=None):
+    s = _src(spark, sf_dir, kind)
     return clients_by_line(s.validation(), s.contact(), s.line(), _w(as_of, window))
 
 
-def q_avg_weekly_validations(spark, sf_dir, as_of=EVENTS_AS_OF, window=None):
+def q_avg_weekly_validations(spark, sf_dir, as_of=EVENTS_AS_OF, min_avg=4, window=None):
     s = _src(spark, sf_dir, "a")
-    return avg_weekly_validations(s.validation(), s.contact(), _w(as_of, window))
+    return avg_weekly_validations(s.validation(), s.contact(), _w(as_of, window), min_avg)
 
 
 def q_total_clients(spark, sf_dir, as_of=SALES_AS_OF, window=None):
@@ -108,9 +135,9 @@ def q_purchase_to_validation_delay(spark, sf_dir, as_of=SALES_AS_OF, window=None
     return purchase_to_validation_delay(s.sales(), s.validation(), _w(as_of, window))
 
 
-def q_validations_by_age(spark, sf_dir, as_of=EVENTS_AS_OF):
-    s = _src(spark, sf_dir, "a")
-    return validations_by_age(s.validation(), s.contact(), as_of)
+def q_validations_by_age(spark, sf_dir, as_of=EVENTS_AS_OF, start=HISTORY_START, kind="a"):
+    s = _src(spark, sf_dir, kind)
+    return validations_by_age(s.validation(), s.contact(), as_of, start)
 
 
 def q_validation_counts_yoy(spark, sf_dir, as_of=SALES_AS_OF, window=None):
@@ -135,9 +162,10 @@ def q_period_bounds(spark, sf_dir):
     return with_period_bounds(days)
 
 
-def q_age_bands(spark, sf_dir, as_of=EVENTS_AS_OF):
+def q_age_bands(spark, sf_dir, as_of=SALES_AS_OF):
     """contacts per age at the first of the month and both band
-    variants (NULL and future birth dates included)."""
+    variants. Births run to 2020, so at 2001 some ages are negative: the
+    variants differ there (and NULL ages are the last band in both)."""
     c = _src(spark, sf_dir).contact()
     age = year_diff("birthdate", F.lit(as_of.replace(day=1)))
     return c.groupBy(
@@ -177,7 +205,7 @@ def q_active_clients_by_spine_join(spark, sf_dir, as_of=SALES_AS_OF, kind="b", w
         "bd_linkedcustomer", to_day("DTHR_OPERATION").alias("_day")
     ).distinct()
     spine = with_period_bounds(date_spine(spark, window))
-    x = spine_join(v, spine, window, F.col("_day") >= F.col(TWELVE_MONTHS_AGO))
+    x = spine_join(v, spine, F.col("_day") >= F.col(TWELVE_MONTHS_AGO))
     day = F.col("_day")
     counts = conditional_distinct(x, ["d"], "bd_linkedcustomer", {
         CURRENT: day >= F.col(MONTH_START),
@@ -221,7 +249,12 @@ def q_validation_rate_replace_dates(spark, sf_dir):
 def q_validation_counts_update(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     """M3: J9 the reference's way -- insert the day counts with 0, then
     update the previous-year column from last year's counts."""
-    window = _w(as_of, window)
+    inserted, last_year = _counts_and_last_year(spark, sf_dir, _w(as_of, window))
+    return update_from(inserted, last_year, ["Date_de_validation", "Type_abonnement"],
+                       {"Nombre_de_validation_annee_precedente": "_last_year"})
+
+
+def _counts_and_last_year(spark, sf_dir, window):
     v = _src(spark, sf_dir, "b").validation().select(
         "DTHR_OPERATION", "LIBEL_LONG_PRODUIRE", "validation_id")
     inserted = on_days(v, "DTHR_OPERATION", window, "Date_de_validation").groupBy(
@@ -231,12 +264,11 @@ def q_validation_counts_update(spark, sf_dir, as_of=SALES_AS_OF, window=None):
         F.lit(0).alias("Nombre_de_validation_annee_precedente"),
     )
     prev_days = [add_months(d, -12) for d in window.days()]
-    prev = on_day_set(v, "DTHR_OPERATION", prev_days, "_ly").groupBy(
+    last_year = on_day_set(v, "DTHR_OPERATION", prev_days, "_ly").groupBy(
         F.add_months("_ly", 12).alias("Date_de_validation"),
         F.col("LIBEL_LONG_PRODUIRE").alias("Type_abonnement"),
-    ).agg(F.countDistinct("validation_id").alias("_prev_count"))
-    return update_from(inserted, prev, ["Date_de_validation", "Type_abonnement"],
-                       {"Nombre_de_validation_annee_precedente": "_prev_count"})
+    ).agg(F.countDistinct("validation_id").alias("_last_year"))
+    return inserted, last_year
 
 
 def q_duplicate_validation_ids(spark, sf_dir):
@@ -255,7 +287,7 @@ def q_sales_lines_in_lookback(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     per_day = s.groupBy("bd_sales_transaction_id", to_day("bd_transaction_date").alias("_day")).agg(
         F.count(F.lit(1)).alias("_n"))
     spine = with_period_bounds(date_spine(spark, window)).select("d", TWELVE_MONTHS_AGO)
-    x = spine_join(per_day, spine, window, F.col("_day") >= F.col(TWELVE_MONTHS_AGO))
+    x = spine_join(per_day, spine, F.col("_day") >= F.col(TWELVE_MONTHS_AGO))
     return x.groupBy("d").agg(F.sum("_n").alias("n_lines"),
                               F.countDistinct("bd_sales_transaction_id").alias("n_transactions"))
 
@@ -269,7 +301,7 @@ def q_contracts_covering_month(spark, sf_dir, as_of=MONTH_START_AS_OF, window=No
         to_day("bd_contract_end_date").alias("_end"))
     per_span = sd.groupBy("_start", "_end").agg(F.count(F.lit(1)).alias("_n"))
     spine = with_period_bounds(date_spine(spark, window)).select("d", MONTH_START, "month_end")
-    x = spine_join(per_span, spine, window,
+    x = spine_join(per_span, spine,
                    covers("_start", "_end", F.col(MONTH_START), F.col("month_end")))
     return x.groupBy("d").agg(F.sum("_n").alias("n_contracts"))
 
@@ -286,7 +318,7 @@ def q_validations_since_account_start(spark, sf_dir, as_of=EVENTS_AS_OF, window=
     daily = daily.join(s.contact().select("Id", "createdon"),
                        F.col("bd_linkedcustomer") == F.col("Id"))
     spine = with_period_bounds(date_spine(spark, window)).select("d", TWELVE_MONTHS_AGO)
-    x = spine_join(daily, spine, window,
+    x = spine_join(daily, spine,
                    since_account_start("_day", "createdon", F.col(TWELVE_MONTHS_AGO)))
     return x.groupBy("d", "bd_linkedcustomer").agg(F.sum("_n").alias("n_validations"))
 
@@ -300,6 +332,75 @@ def q_avg_weekly_validations_deleted(spark, sf_dir, as_of=EVENTS_AS_OF, window=N
     return kept_and_deleted.filter(F.col("AverageValidationsPerWeek") < 4)
 
 
+# -- writers: into a table under the checkpoint folder, and read back ----------
+
+def _path(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def q_stored_append(spark, sf_dir):
+    """S4 + S5/S6 + M2: the J11 run appended twice to a table that was created
+    empty; its rows are there twice."""
+    path = _path(spark, "append")
+    ensure_target(spark, path, SALES_BY_CHANNEL)
+    for _ in range(2):
+        write_target(q_sales_by_channel(spark, sf_dir), path, SALES_BY_CHANNEL, APPEND)
+    return read_target(spark, path, SALES_BY_CHANNEL)
+
+
+def q_stored_overwrite(spark, sf_dir):
+    """M5: the J10 table of an older run, truncated and reloaded."""
+    path = _path(spark, "overwrite")
+    for as_of in (dt.date(2024, 1, 20), EVENTS_AS_OF):
+        write_target(q_validation_rate_per_user(spark, sf_dir, as_of), path, VALIDATION_RATE, OVERWRITE)
+    return read_target(spark, path, VALIDATION_RATE)
+
+
+def q_stored_replace_dates(spark, sf_dir):
+    """M6: the J10 table of 2024-01-27, its dates replaced by a run at
+    2024-01-31 that finds no tap on 2024-01-25 any more: the date goes."""
+    path = _path(spark, "replace")
+    older = DateWindow.trailing(dt.date(2024, 1, 27))
+    write_target(q_validation_rate_per_user(spark, sf_dir, window=older), path, VALIDATION_RATE,
+                 REPLACE_DATES, dates=older.days())
+    corrected = _src(spark, sf_dir).validation().filter(
+        to_day("DTHR_OPERATION") != F.lit(dt.date(2024, 1, 25)))
+    newer = _w(EVENTS_AS_OF)
+    write_target(validation_rate_per_user(corrected, newer), path, VALIDATION_RATE,
+                 REPLACE_DATES, dates=newer.days())
+    return read_target(spark, path, VALIDATION_RATE)
+
+
+def q_stored_upsert(spark, sf_dir):
+    """M1 on storage: as ``title_sales_upsert``, through the stored table."""
+    path = _path(spark, "upsert")
+    for as_of in (dt.date(2001, 7, 29), SALES_AS_OF):
+        upsert_into(spark, path, TITLE_SALES, q_title_sales_by_support(spark, sf_dir, as_of),
+                    known_dates=_w(as_of).days())
+    return read_target(spark, path, TITLE_SALES)
+
+
+def q_stored_update(spark, sf_dir, as_of=SALES_AS_OF):
+    """M3 on storage: J9's day counts written with 0, then the previous
+    year's column updated in the stored table."""
+    path, window = _path(spark, "update"), _w(as_of)
+    inserted, last_year = _counts_and_last_year(spark, sf_dir, window)
+    write_target(inserted, path, VALIDATION_COUNTS, REPLACE_DATES, dates=window.days())
+    update_into(spark, path, VALIDATION_COUNTS, last_year.filter(
+        F.col("Date_de_validation").isin(window.days())), ["Date_de_validation", "Type_abonnement"],
+        {"Nombre_de_validation_annee_precedente": "_last_year"}, known_dates=window.days())
+    return read_target(spark, path, VALIDATION_COUNTS)
+
+
+def q_stored_delete(spark, sf_dir):
+    """M4 on storage: all of J5's rows written, those below 4 deleted."""
+    path = _path(spark, "delete")
+    write_target(q_avg_weekly_validations(spark, sf_dir, min_avg=float("-inf")), path,
+                 AVG_WEEKLY_VALIDATIONS, OVERWRITE)
+    delete_from(spark, path, AVG_WEEKLY_VALIDATIONS, F.col("AverageValidationsPerWeek") < 4)
+    return read_target(spark, path, AVG_WEEKLY_VALIDATIONS)
+
+
 QUERIES: dict[str, Query] = {
     # jobs
     "title_sales_by_support": q_title_sales_by_support,
@@ -323,6 +424,17 @@ QUERIES: dict[str, Query] = {
         lambda sp, d: q_validation_counts_yoy(sp, d, LEAP_LOOKUP_AS_OF),
     "validation_counts_yoy_leap_window":
         lambda sp, d: q_validation_counts_yoy(sp, d, LEAP_WINDOW_AS_OF),
+    # births after the run: negative ages, where the band variants differ
+    "clients_by_line_future_births": lambda sp, d: q_clients_by_line(sp, d, SALES_AS_OF, "b"),
+    "validations_by_age_future_births":
+        lambda sp, d: q_validations_by_age(sp, d, SALES_AS_OF, dt.date(2001, 1, 1), "b"),
+    # accounts older than 12 months (52 weeks), taps inside the lookback band
+    "avg_weekly_validations_old_accounts":
+        lambda sp, d: q_avg_weekly_validations(sp, d, OLD_ACCOUNTS_AS_OF, 0),
+    "validations_since_account_start_old":
+        lambda sp, d: q_validations_since_account_start(sp, d, OLD_ACCOUNTS_AS_OF),
+    # A window without taps still gives one row per date, zeros
+    "active_clients_no_activity": lambda sp, d: q_active_clients(sp, d, NO_TAPS_AS_OF, "a"),
     # operators
     "period_bounds": q_period_bounds,
     "age_bands": q_age_bands,
@@ -338,6 +450,11 @@ QUERIES: dict[str, Query] = {
     "contracts_covering_month": q_contracts_covering_month,
     "validations_since_account_start": q_validations_since_account_start,
     "avg_weekly_validations_deleted": q_avg_weekly_validations_deleted,
-    # A window with no taps at all still gives one row per date, zeros
-    "active_clients_no_activity": lambda sp, d: q_active_clients(sp, d, SALES_AS_OF, "a"),
+    # writers
+    "stored_append": q_stored_append,
+    "stored_overwrite": q_stored_overwrite,
+    "stored_replace_dates": q_stored_replace_dates,
+    "stored_upsert": q_stored_upsert,
+    "stored_update": q_stored_update,
+    "stored_delete": q_stored_delete,
 }

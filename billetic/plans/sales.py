@@ -17,6 +17,7 @@ from billetic.operators import (
     with_period_bounds,
 )
 from billetic.operators.window import TWELVE_MONTHS_AGO
+from billetic.session import staged
 from billetic.sources.targets import SALES_BY_CHANNEL, TITLE_SALES, TOTAL_CLIENTS, conform
 
 TX = "bd_sales_transaction_id"
@@ -31,27 +32,31 @@ def title_sales_by_support(
 
     The reference joins sale lines to sales rows many-to-many on the
     transaction, so a transaction with k sales rows counts each of its sale
-    lines k times. Both sides are reduced before they meet: sales to one row
-    per (transaction, day) carrying k, sale lines to one row per
-    (transaction, card) carrying their number; ``Sales`` is the sum of the
-    products. No k-fold row is ever built, even for a huge transaction.
+    lines k times. The sales are reduced before they meet, to one row per
+    (transaction, day) carrying k, and a sale line adds k to its (day, card);
+    ``Sales`` is the sum. No k-fold row is ever built, even for a huge
+    transaction.
 
-    Sale lines carry no date, so they are first semi-joined to the raw keys
-    of the window's sales (a filtered scan): that shape lets Spark build a
-    runtime bloom filter from the window's transactions and drop the rest of
-    the sale-line history at its scan, before any shuffle.
+    Sale lines carry no date, so the window's transactions must prune them.
+    These are staged first (one scan of the sales gives keys and counts):
+    Spark then plans with their true size, not with an estimate that grows
+    with the sales table. Up to ``spark.sql.autoBroadcastJoinThreshold`` they
+    are broadcast and no sale line is shuffled; beyond it, and up to
+    ``spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold``, a
+    runtime bloom filter of them drops the history's lines at their scan.
+    A window with more keys than both needs those settings raised.
     """
     sa = on_days(sales.select(TX, "bd_transaction_date"), "bd_transaction_date", window,
                  "SalesDate")
+    per_tx = staged(sa.filter(F.col(TX).isNotNull()).groupBy(TX, "SalesDate").agg(
+        F.count(F.lit(1)).alias("_k")), "window-sales")
     sd = sale_detail.select(TX, CARD).filter(F.col(CARD).isNotNull())
-    sd = sd.join(sa.select(TX), TX, "left_semi")
-    lines = sd.groupBy(TX, CARD).agg(F.count(F.lit(1)).alias("_lines"))
-    per_tx = sa.groupBy(TX, "SalesDate").agg(F.count(F.lit(1)).alias("_k"))
-    joined = lines.join(per_tx, TX).join(support, F.col(CARD) == F.col("id"))
+    lines = sd.join(per_tx, TX).groupBy("SalesDate", CARD).agg(F.sum("_k").alias("_lines"))
+    joined = lines.join(support, F.col(CARD) == F.col("id"))
     agg = joined.groupBy(
         "SalesDate", support_label("bd_id_support_label").alias("support_type")
     ).agg(
-        F.sum(F.col("_lines") * F.col("_k")).alias("Sales"),
+        F.sum("_lines").alias("Sales"),
         F.countDistinct(CARD).alias("unique_cards"),
     )
     return conform(
@@ -81,7 +86,7 @@ def total_clients(sales: DataFrame, window: DateWindow) -> DataFrame:
     hist = last_seen_histogram(s, ["_contact", "_anon_tx"], "_day", keys=["type_abonnement"])
     spine = with_period_bounds(date_spine(sales.sparkSession, window)).select(
         "d", TWELVE_MONTHS_AGO)
-    out = count_at_least(hist, spine, window, "last_day", F.col(TWELVE_MONTHS_AGO),
+    out = count_at_least(hist, spine, "last_day", F.col(TWELVE_MONTHS_AGO),
                          keys=["type_abonnement"], out="total_clients")
     return conform(out.withColumnRenamed("d", "DateOfExecution"), TOTAL_CLIENTS)
 

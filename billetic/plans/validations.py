@@ -38,11 +38,12 @@ PRODUCT = "LIBEL_LONG_PRODUIRE"
 HISTORY_START = dt.date(2023, 1, 1)
 
 
-def _passes(day_col: str, months: list[dt.date]) -> F.Column:
-    """The month-start passes a row belongs to: every window month start on
-    or before its day (a pass reads "day >= month start", no upper bound)."""
+def _passes(month_col: str, months: list[dt.date]) -> F.Column:
+    """The month-start passes a month's row belongs to: every window month
+    start on or before it (a pass reads "day >= month start", no upper
+    bound)."""
     arr = F.array(*[F.lit(m) for m in months])
-    return F.explode(F.filter(arr, lambda m: m <= F.col(day_col)))
+    return F.explode(F.filter(arr, lambda m: m <= F.col(month_col)))
 
 
 def purchase_to_validation_delay(
@@ -56,8 +57,12 @@ def purchase_to_validation_delay(
     ``distinct``. ``copies=True`` gives the reference's literal output
     instead: one copy of a month's rows per execution date in that month.
 
-    The first validation per (pass, customer) uses ``row_number() = 1`` with a
-    total order (time, validation id, support class); Spark keeps one row
+    Sales and taps are first reduced by calendar month (the last purchase, the
+    first tap of each); only the reduced rows are copied to the passes and
+    reduced again, so a backfill of a year copies no fact row.
+
+    The first validation per customer and month uses ``row_number() = 1`` with
+    a total order (time, validation id, support class); Spark keeps one row
     per key in each map task before the shuffle (``WindowGroupLimit``), so a
     customer with a third of all taps is not sorted in one task. No semi-join
     to the buyers before it: that would shuffle every tap, while the inner
@@ -66,23 +71,23 @@ def purchase_to_validation_delay(
     months = window.month_starts()
     s = day_range(sales.select("bd_contact_linked", "bd_articlelonglabel", "bd_transaction_date"),
                   "bd_transaction_date", months[0])
-    s = s.filter(F.col("bd_contact_linked").isNotNull()).withColumn(
-        "_day", to_day("bd_transaction_date")
-    )
-    last_tx = s.select("*", _passes("_day", months).alias("_pass")).groupBy(
-        "_pass", "bd_contact_linked", "bd_articlelonglabel"
+    who = ["bd_contact_linked", "bd_articlelonglabel"]
+    last_tx = s.filter(F.col("bd_contact_linked").isNotNull()).groupBy(
+        *who, F.trunc("bd_transaction_date", "MM").alias("_month")
     ).agg(F.max("bd_transaction_date").alias("_max_tx"))
+    last_tx = last_tx.select(*who, "_max_tx", _passes("_month", months).alias("_pass")).groupBy(
+        "_pass", *who).agg(F.max("_max_tx").alias("_max_tx"))
 
     v = day_range(validations.select(TS, CUSTOMER, "validation_id", "bd_support_class"), TS,
                   months[0])
-    v = v.filter(F.col(CUSTOMER).isNotNull()).withColumn("_day", to_day(TS))
-    v = v.select(TS, CUSTOMER, "validation_id", "bd_support_class",
-                 _passes("_day", months).alias("_pass"))
+    v = v.filter(F.col(CUSTOMER).isNotNull()).withColumn("_month", F.trunc(TS, "MM"))
+    earliest = [F.col(TS).asc(), F.col("validation_id").asc_nulls_last(),
+                F.col("bd_support_class").asc_nulls_last()]
+    per_month = first_per_group(v, [CUSTOMER, "_month"], earliest)
     first = first_per_group(
-        v, ["_pass", CUSTOMER],
-        [F.col(TS).asc(), F.col("validation_id").asc_nulls_last(),
-         F.col("bd_support_class").asc_nulls_last()],
-    ).withColumnRenamed("_pass", "_vpass")
+        per_month.select(TS, CUSTOMER, "validation_id", "bd_support_class",
+                         _passes("_month", months).alias("_vpass")),
+        ["_vpass", CUSTOMER], earliest)
     joined = last_tx.join(
         first,
         (F.col("_pass") == F.col("_vpass")) & (F.col("bd_contact_linked") == F.col(CUSTOMER)),
@@ -99,7 +104,7 @@ def purchase_to_validation_delay(
     if copies:
         dates = date_spine(out.sparkSession, window).select(
             F.trunc("d", "MM").alias("_pass"), "d")
-        return conform(spine_join(out, dates.withColumnRenamed("_pass", "_m"), window,
+        return conform(spine_join(out, dates.withColumnRenamed("_pass", "_m"),
                                   F.col("_pass") == F.col("_m")), PURCHASE_DELAY)
     out = out.drop("_pass")
     if len(months) > 1:

@@ -20,19 +20,24 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(
     master: str | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "billetic",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or get) a session with the settings of the module docstring."""
+    """Create (or get) a session with the settings of the module docstring.
+
+    What spark-submit or the cluster has set is left alone: the number of
+    shuffle partitions is written only if the caller names one (tests and the
+    bench do), and memory never."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -43,10 +48,10 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.driver.memory": "8g",
     }
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -78,3 +83,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="billetic-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the checkpoint directory and read it back:
+    it is computed once, a lost executor costs a re-read, and the planner
+    knows the table's true size instead of an estimate of its inputs."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/staged-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -20,7 +20,8 @@ Rules kept everywhere:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,15 +53,21 @@ def read_target(spark: SparkSession, path: str, target: Target) -> DataFrame:
     return conform(spark.read.schema(target.schema).parquet(path), target)
 
 
-def write_target(df: DataFrame, path: str, target: Target, mode: str = REPLACE_DATES) -> None:
+def write_target(df: DataFrame, path: str, target: Target, mode: str = REPLACE_DATES,
+                 dates: Iterable[dt.date] | None = None) -> None:
     """S5/S6 + M2/M5/M6.
 
     * ``append`` (M2): the reference's ``INSERT``; re-running a window
       duplicates its rows.
     * ``overwrite`` (M5): ``TRUNCATE`` then reload.
-    * ``replace_dates`` (M6): replace exactly the dates present in ``df``;
-      re-running a window changes nothing (the repeatable form of M2).
+    * ``replace_dates`` (M6): replace the dates present in ``df`` and, of the
+      run's ``dates``, also those without any new row (they are emptied);
+      re-running a window changes nothing (the repeatable form of M2). With
+      ``dates`` the rows are computed once, into the checkpoint directory;
+      their distinct dates and ``dates`` are all that reaches the driver.
     """
+    if mode == REPLACE_DATES and dates is not None:
+        df = df.transform(_computed_once)
     out = conform(df, target).hint("rebalance", target.partition)
     writer = out.write.partitionBy(target.partition)
     if mode == APPEND:
@@ -69,10 +76,30 @@ def write_target(df: DataFrame, path: str, target: Target, mode: str = REPLACE_D
         writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     elif mode == REPLACE_DATES:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        if dates is not None:
+            dates = list(dates)
+            col = F.col(target.partition)
+            new = {r[0] for r in out.select(target.partition).filter(col.isin(dates)).distinct().collect()}
+            drop_dates(df.sparkSession, path, target, [d for d in dates if d not in new])
     else:
         raise ValueError(f"unknown write mode {mode!r}")
 
 
+def _computed_once(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def drop_dates(spark: SparkSession, path: str, target: Target, dates: Sequence[dt.date]) -> None:
+    """Remove whole dates from a stored table: their partition folders go, no
+    job runs and no other date is touched. Dates that are not there are none
+    of its business, so a repeated call is harmless."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for day in dates:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{target.partition}={day.isoformat()}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 # -- pure table-changing operators -------------------------------------------
 
 def upsert(
@@ -175,15 +202,15 @@ def upsert_into(
 ) -> None:
     """M1 on storage: merge ``source`` into the dates it covers.
 
-    Like ``MERGE``, refuses a source in which a key occurs twice (it would
-    update one target row twice); the check is one small job over the
-    source that returns a single boolean to the driver. ``known_dates``
+    The source is computed once, into the checkpoint directory; checks, merge
+    and write read that. Like ``MERGE``, refuses a source in which a key
+    occurs twice (it would update one target row twice); the check returns a
+    single boolean to the driver. ``known_dates``
     (the run's window, if the caller has it) bounds the dates the source can
     hold, so only those partitions of the target are read.
     """
     ensure_target(spark, path, target)
-    ensure_checkpoint_dir(spark)
-    src = conform(source, target)
+    src = _computed_once(conform(source, target))
     checked = src
     if not null_safe:              # NULL never matches under plain equality
         for k in target.keys:
@@ -205,10 +232,10 @@ def update_into(
     assignments: dict[str, str],
     known_dates=None,
 ) -> None:
-    """M3 on storage: only dates that have a matching source row are read
-    and rewritten (``known_dates`` prunes them at planning time)."""
+    """M3 on storage: the source is computed once; only dates that have a
+    matching source row are read and rewritten (``known_dates`` prunes them at planning time)."""
     ensure_target(spark, path, target)
-    ensure_checkpoint_dir(spark)
+    source = _computed_once(source)
     _check_known_dates(source, target, known_dates)
     matching = source
     for k in keys:                 # NULL keys never match under plain equality

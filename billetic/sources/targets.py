@@ -38,6 +38,7 @@ def _schema(*cols: tuple[str, str]) -> T.StructType:
     return T.StructType([T.StructField(n, _TYPES[t], True) for n, t in cols])
 
 
+# Names, columns and types of the reporting tables.
 TITLE_SALES = Target(
     "pbi_AchatTitre",
     _schema(("SalesDate", "date"), ("support_type", "string"), ("Sales", "int"),

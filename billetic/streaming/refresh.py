@@ -26,11 +26,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from billetic.operators import DateWindow
 from billetic.plans import clients, sales, validations
-from billetic.session import ensure_checkpoint_dir
 from billetic.sources import targets as T
 from billetic.sources.sinks import (
     OVERWRITE,
@@ -94,26 +92,13 @@ JOBS: dict[str, Job] = {
 def replace_from(spark: SparkSession, path: str, target: T.Target, df: DataFrame,
                  start: dt.date) -> None:
     """Reload every date >= ``start`` from ``df``; older dates are neither
-    read nor rewritten.
-
-    The new rows are checkpointed once, then replace their own dates
-    (dynamic partition overwrite). A date >= ``start`` that only the old
-    table has (every pair on it moved to a later purchase) is emptied by
-    overwriting its partition directory with no rows; there are at most as
-    many such dates as days since ``start``.
-    """
+    read nor rewritten. Dates >= ``start`` that only the old table has (every
+    pair on them moved to a later purchase) are emptied; there are at most as
+    many as days since ``start``."""
     ensure_target(spark, path, target)
-    ensure_checkpoint_dir(spark)
-    col = target.partition
-    new = T.conform(df, target).checkpoint(eager=True)
-    old_dates = read_target(spark, path, target).filter(F.col(col) >= F.lit(start)).select(col)
-    stale = old_dates.distinct().join(new.select(col).distinct(), col, "left_anti")
-    stale_dates = [r[0] for r in stale.collect()]
-    write_target(new, path, target, REPLACE_DATES)
-    no_rows = spark.createDataFrame(
-        [], StructType([f for f in target.schema.fields if f.name != col]))
-    for day in stale_dates:
-        no_rows.write.mode("overwrite").parquet(f"{path}/{col}={day.isoformat()}")
+    col = F.col(target.partition)
+    old = read_target(spark, path, target).filter(col >= F.lit(start)).select(col).distinct()
+    write_target(df, path, target, REPLACE_DATES, dates=[r[0] for r in old.collect()])
 
 
 def refresh(
@@ -126,7 +111,8 @@ def refresh(
     end_back: int = 1,
 ) -> DataFrame:
     """Run one job for the trailing window of ``as_of`` and write it to
-    ``path``; returns the computed DataFrame (already written)."""
+    ``path``; returns the stored table (reading it runs no job again). A date
+    of the window without rows ends up empty, whatever it held before."""
     job = JOBS[name]
     window = DateWindow.trailing(as_of, start_back, end_back)
     df = job.compute(sources, window, as_of)
@@ -136,8 +122,9 @@ def refresh(
     elif job.write == REPLACE_FROM:
         replace_from(spark, path, job.target, df, window.month_starts()[0])
     else:
-        write_target(df, path, job.target, job.write)
-    return df
+        write_target(df, path, job.target, job.write,
+                     dates=window.days() if job.write == REPLACE_DATES else None)
+    return read_target(spark, path, job.target)
 
 
 def refresh_all(spark: SparkSession, sources, as_of: dt.date, root: str) -> None:

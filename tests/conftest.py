@@ -12,7 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from billetic.session import build_session
 
-    s = build_session("local[4]", shuffle_partitions=4, app_name="billetic-tests")
+    s = build_session("local[4]", shuffle_partitions=4, app_name="billetic-tests",
+                      extra={"spark.driver.memory": "8g"})
     yield s
     s.stop()
 

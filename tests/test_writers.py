@@ -79,9 +79,9 @@ def test_update_into_sets_matches_only(spark, tmp_table):
                  VALIDATION_COUNTS, REPLACE_DATES)
     src = spark.createDataFrame(
         [(D(2024, 1, 1), "P", 4), (D(2024, 1, 1), None, 9), (D(2024, 1, 3), "P", 1)],
-        "Date_de_validation date, Type_abonnement string, prev_count long")
+        "Date_de_validation date, Type_abonnement string, n_last_year long")
     update_into(spark, tmp_table, VALIDATION_COUNTS, src, ["Date_de_validation", "Type_abonnement"],
-                {"Nombre_de_validation_annee_precedente": "prev_count"})
+                {"Nombre_de_validation_annee_precedente": "n_last_year"})
     assert sorted_rows(read_target(spark, tmp_table, VALIDATION_COUNTS)) == sorted([
         (D(2024, 1, 1), "P", 5, 4), (D(2024, 1, 1), None, 2, 0), (D(2024, 1, 2), "P", 7, 0)], key=str)
 
@@ -121,8 +121,8 @@ def test_update_into_refuses_duplicate_source_keys(spark, tmp_table):
     write_target(spark.createDataFrame([(D(2024, 1, 1), "P", 5, 0)], VALIDATION_COUNTS.schema),
                  tmp_table, VALIDATION_COUNTS, REPLACE_DATES)
     src = spark.createDataFrame([(D(2024, 1, 1), "P", 4), (D(2024, 1, 1), "P", 6)],
-                                "Date_de_validation date, Type_abonnement string, prev_count long")
+                                "Date_de_validation date, Type_abonnement string, n_last_year long")
     with pytest.raises(ValueError):
         update_into(spark, tmp_table, VALIDATION_COUNTS, src,
                     ["Date_de_validation", "Type_abonnement"],
-                    {"Nombre_de_validation_annee_precedente": "prev_count"})
+                    {"Nombre_de_validation_annee_precedente": "n_last_year"})

@@ -50,6 +50,7 @@ def title_sales_by_support(
                  "SalesDate")
     per_tx = staged(sa.filter(F.col(TX).isNotNull()).groupBy(TX, "SalesDate").agg(
         F.count(F.lit(1)).alias("_k")), "window-sales")
+    per_tx = per_tx.filter(F.col("_k") > 0)     # always true; Spark makes bloom filters of filtered scans only
     sd = sale_detail.select(TX, CARD).filter(F.col(CARD).isNotNull())
     lines = sd.join(per_tx, TX).groupBy("SalesDate", CARD).agg(F.sum("_k").alias("_lines"))
     joined = lines.join(support, F.col(CARD) == F.col("id"))

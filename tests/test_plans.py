@@ -4,12 +4,17 @@ distinct counts, a partial WindowGroupLimit before the shuffle for the first
 row per group, and no Python anywhere in the plans."""
 
 import contextlib
+import datetime as dt
 import io
 import re
 
 import pytest
 
-from billetic.plans.registry import QUERIES
+from billetic.operators import DateWindow
+from billetic.plans.clients import active_clients, active_contract_clients
+from billetic.plans.registry import QUERIES, SALES_AS_OF
+from billetic.plans.sales import title_sales_by_support, total_clients
+from billetic.sources.fixtures import FixtureSources
 from conftest import SF_SMALL
 
 
@@ -66,29 +71,86 @@ def test_first_row_per_group_is_limited_before_the_shuffle(spark):
 
 
 def test_spine_is_the_broadcast_side(spark):
-    text = plan(QUERIES["avg_weekly_validations"](spark, SF_SMALL))
+    text = plan(QUERIES["contracts_covering_month"](spark, SF_SMALL))
     assert "BroadcastNestedLoopJoin Inner BuildRight" in text
 
 
-def test_sale_lines_are_pruned_by_a_runtime_bloom_filter(spark):
-    """The window's transactions prune the sale-line history at its scan.
-    Spark does this for shuffle joins over a large scan (10 GB by default);
-    the test sets the sizes a large table would have: no broadcast, a scan
-    over the threshold."""
-    settings = {
-        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1b",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    }
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
+@contextlib.contextmanager
+def settings(spark, conf):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        text = plan(QUERIES["title_sales_by_support"](spark, SF_SMALL))
+        yield
     finally:
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_sale_lines_are_pruned_by_a_runtime_bloom_filter(spark, tmp_path):
+    """J1 over stored tables: the window's transactions prune the sale-line
+    history at its scan though the sales table, and with it any estimate of
+    the window's part, is far over the creation threshold; only the staged
+    keys' true size counts. The sizes are those of a large table: no
+    broadcast, a scan over the application threshold."""
+    src = FixtureSources(spark, "/root/testdata/sf0.01")
+    tables = {}
+    for name in ("sales", "sale_detail", "support"):
+        getattr(src, name)().write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    window = DateWindow.trailing(SALES_AS_OF)
+    with settings(spark, {
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1b",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "50k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }):
+        text = plan(title_sales_by_support(tables["sale_detail"], tables["support"], tables["sales"], window))
     assert "bloom_filter_agg" in text and "might_contain" in text
+    # the sales are not read again: the plan starts from the staged keys
+    assert not scan_details(text, "sales") and f"{tmp_path}/sales" not in text
+
+
+def test_a_long_window_is_no_cartesian_product(spark):
+    window = DateWindow(dt.date(1990, 1, 1), dt.date(1990, 1, 1) + dt.timedelta(days=4999))
+    src = FixtureSources(spark, SF_SMALL, "b")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for df in (total_clients(src.sales(), window), active_clients(src.validation(), src.card(), window)):
+            text = plan(df, "extended")
+            assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" in text
+
+
+def test_contracts_are_read_once_for_fourteen_months(spark):
+    window = DateWindow(dt.date(2000, 6, 1), dt.date(2001, 7, 31))
+    src = FixtureSources(spark, SF_SMALL)
+    text = plan(active_contract_clients(src.sale_detail(), src.contact(), src.article(), window))
+    assert len(scan_details(text, "lineitem")) == 1
+
+
+def test_facts_are_reduced_before_they_are_copied_to_passes(spark):
+    """Every explode to month passes stands above an aggregate or a
+    window limit, never on the facts."""
+    text = plan(QUERIES["purchase_to_validation_delay_two_months"](spark, SF_SMALL), "simple")
+    lines = text.splitlines()
+    depth = [len(re.match(r"[\s:+|-]*", line)[0]) for line in lines]
+    for i, line in enumerate(lines):
+        if "Generate" in line:
+            below = []
+            for j in range(i + 1, len(lines)):
+                if depth[j] <= depth[i]:
+                    break
+                below.append(lines[j])
+            assert any(x in "".join(below) for x in ("Aggregate", "WindowGroupLimit"))
+
+
+def test_session_leaves_the_cluster_settings_alone(spark):
+    from billetic.session import build_session
+
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        assert build_session().conf.get("spark.sql.shuffle.partitions") == "2000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -71,7 +71,7 @@ def tables(seed: int, as_of: D) -> dict:
         contact = maybe(rng, rng.choice(customers), 0.25)
         for _ in range(rng.randrange(1, 4)):
             out["sales"].append((
-                tx, when, contact, maybe(rng, rng.choice(["P1", "P2"]), 0.1),
+                maybe(rng, tx, 0.04), when, contact, maybe(rng, rng.choice(["P1", "P2"]), 0.1),
                 rng.choice(["A1", "A2", "A3"]),
                 maybe(rng, rng.choice(["MG", "DI", "VM", "TW", "PC", "XX"]), 0.1),
                 Decimal(rng.randrange(-500, 5000)) / 100))

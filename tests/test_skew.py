@@ -101,3 +101,22 @@ def test_rate_per_user_matches_direct_count(spark, hot):
         F.count(F.lit(1)).alias("n"), F.countDistinct("bd_linkedcustomer").alias("u")).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_hot_card_partition_is_split(spark, hot):
+    """A third of the taps on one card that very many customers used, and
+    a register that lists the card twice."""
+    src, v = hot
+    v = v.withColumn("bd_mobibnumber", F.when(F.col("validation_id") % 3 == 0, F.lit("1")).otherwise(
+        F.col("bd_mobibnumber"))).withColumn("bd_linkedcustomer", F.when(
+            F.col("validation_id") % 3 == 0, F.col("validation_id")).otherwise(F.col("bd_linkedcustomer")))
+    cards = src.card()
+    twice = cards.union(cards.filter("bd_mobibnumber = '1'"))
+    want = table(active_clients(v, cards, WINDOW))
+    with settings(spark, SHUFFLE_EVERYTHING | {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        df = active_clients(v, twice, WINDOW)
+        assert table(df) == want
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+    assert "SortMergeJoin(skew=true)" in buf.getvalue().split("Initial Plan")[0]

@@ -287,3 +287,16 @@ def test_j5_lookback_band_against_brute_force(spark):
             if n:
                 want[(d, str(cust))] = float(n)
     assert got == want
+
+
+def test_j6_a_null_transaction_is_no_client(spark):
+    """COUNT(DISTINCT transaction) ignores NULL; the product keeps its row."""
+    from billetic.plans.sales import total_clients
+
+    day = dt.datetime(2024, 1, 5)
+    sales = spark.createDataFrame(
+        [(1, day, None, "P1"), (None, day, None, "P1"), (None, day, None, "P2")],
+        "bd_sales_transaction_id long, bd_transaction_date timestamp_ntz, bd_contact_linked long, "
+        "bd_productlonglabel string")
+    got = total_clients(sales, DateWindow.single(dt.date(2024, 1, 6))).collect()
+    assert sorted((r.type_abonnement, r.total_clients) for r in got) == [("P1", 1), ("P2", 0)]

@@ -4,6 +4,8 @@ Each job's full plan is executed into Spark's ``noop`` sink (nothing is
 collected to the driver). One warm-up pass, then the median of
 $BENCH_REPEATS runs per job (default 5). Prints one JSON line.
 
+"refresh" times two jobs with their writers (compute, check, merge, write).
+
 Set BENCH_LOOP=1 to also time the reference's shape: the same job run once
 per execution date (8 single-date jobs), reported under "loop8".
 """
@@ -20,7 +22,9 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from billetic.plans import registry as R  # noqa: E402
-from billetic.session import build_session  # noqa: E402
+from billetic.session import build_session, ensure_checkpoint_dir  # noqa: E402
+from billetic.sources.fixtures import FixtureSources  # noqa: E402
+from billetic.streaming import refresh  # noqa: E402
 
 JOBS = [
     "title_sales_by_support",
@@ -50,6 +54,10 @@ LOOPABLE = {
 }
 
 
+# refreshed into a stored table, too: a merge by key, and a replacement of dates
+REFRESHES = ["title_sales_by_support", "validation_rate_per_user"]
+
+
 def run(df) -> float:
     t0 = time.perf_counter()
     df.write.format("noop").mode("overwrite").save()
@@ -94,6 +102,17 @@ def main():
         samples = [run(qs[name](spark, sf_dir)) for _ in range(repeats)]
         times[name] = round(statistics.median(samples), 3)
 
+    refreshes = {}
+    root = f"{ensure_checkpoint_dir(spark)}/bench-refresh"
+    sources = FixtureSources(spark, sf_dir, "a")
+    for name in REFRESHES:
+        samples = []
+        for _ in range(1 + repeats):        # the first one warms up and creates the table
+            t0 = time.perf_counter()
+            refresh(spark, name, sources, LOOPABLE[name], f"{root}/{name}")
+            samples.append(time.perf_counter() - t0)
+        refreshes[name] = round(statistics.median(samples[1:]), 3)
+
     out = {
         "metric": "kpi_jobs_total_median",
         "value": round(sum(times.values()), 3),
@@ -102,6 +121,7 @@ def main():
         "sf": _scale_factor(sf_dir),
         "cpus": int(cpus),
         "repeats": repeats,
+        "refresh": refreshes,
     }
     if os.environ.get("BENCH_LOOP") == "1":
         out["loop8"] = {n: round(single_date_loop(spark, sf_dir, n), 3) for n in LOOPABLE}

@@ -116,10 +116,9 @@ def _latest_covering_starts(
     start that covers the period of the window's month, and with period "any"
     (and no month) the latest start at all.
 
-    Contracts are first reduced to the latest end per (contact, product,
-    start): it covers whatever an earlier end covers. A contract is then
-    copied to the months it covers, of those that are a period of some month
-    of the window (3 a month), whatever the window's length."""
+    A contract is copied to the months it covers, of those that are a period
+    of some month of the window (3 a month; for 8 dates at most 3 or 4 copies),
+    and the copies are reduced to one row per key before the only shuffle."""
     months = window.month_starts()
     wanted = sorted({add_months(m, -back) for m in months for back in PERIODS.values()})
     sd = sale_detail.select("bd_contact_linked", "bd_article_code_lookup",
@@ -127,8 +126,8 @@ def _latest_covering_starts(
     sd = day_range(sd, "bd_contract_start_date", window.earliest_lookback(12))
     sd = sd.join(article, F.col("bd_article_code_lookup") == F.col("bd_articleid"))
     who = ["bd_contact_linked", "bd_productlonglabel"]
-    spans = sd.groupBy(*who, to_day("bd_contract_start_date").alias("_start")).agg(
-        F.max(to_day("bd_contract_end_date")).alias("_end"))
+    spans = sd.select(*who, to_day("bd_contract_start_date").alias("_start"),
+                      to_day("bd_contract_end_date").alias("_end"))
     covered = F.filter(
         F.array(*[F.lit(m) for m in wanted]),
         lambda m: (F.col("_start") <= m) & (F.col("_end") >= F.last_day(m)))

@@ -3,6 +3,7 @@ connected components, and runs of equal keys in sorted batches."""
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -30,6 +31,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the test data. Python workers on this machine find the
+    package where the driver has it, from any working folder (a cluster gets
+    it by ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

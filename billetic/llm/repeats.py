@@ -9,8 +9,11 @@ judged on the input, and matches never cross documents. The result is exact.
    so equal windows have equal anchors at the same offset. Neighbouring
    windows share anchors: a document has about one for every 35 bytes. A row
    per anchor says which windows it owns and carries a hash of their bytes.
-2. Rows are shuffled by anchor and streamed in order, with nothing kept but
-   the last row. Rows with equal owned bytes form a class: all but its
+2. Copies that a map task sees together are settled there: all but the
+   earliest of them are marked at once and only pass through, spread over
+   all tasks, so a passage that a third of the documents share is one row
+   per map task. The rest is shuffled by anchor and streamed in order, with
+   nothing kept but the last row. Rows with equal owned bytes form a class: all but its
    earliest are marked whole. An anchor with one class is done; of the others
    each class's earliest row goes on. These are the borders of the repeated
    stretches, a small part of the text.
@@ -100,17 +103,40 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     def window(i):
         return _mix(_mix(g[i], g[i + GRAM]), _mix(g[i + 2 * GRAM], g[i + LENGTH - GRAM]))
 
-    owned = _mix(window(first), window(last)) & ~np.uint64(0x3FFF)
+    owned = _mix(window(first), window(last)) & ~np.uint64(0x7FFF)
     owned |= ((place - first) << 7 | (place - last)).astype(np.uint64)
     return g[place].view(np.int64), owned.view(np.int64), first, last, place
 
 
+SETTLED = 128 << 7      # added to the owned hash's low bits, which hold the place of the windows
+
+
+def _settle(rows: np.ndarray) -> np.ndarray:
+    """Of rows (h, c, d, q) with equal owned bytes the earliest stays as it
+    is; the others are settled as marks, with an anchor that spreads them."""
+    order = np.argsort(rows[:, 0], kind="stable")
+    h = rows[order, 0]
+    same = np.zeros(len(h), bool)
+    same[1:] = h[1:] == h[:-1]
+    same[:-1] |= same[1:]
+    some = rows[order[same]]
+    some = some[np.lexsort(some.T[::-1])]
+    new = np.ones(len(some), bool)
+    new[1:] = (some[1:, :2] != some[:-1, :2]).any(1)
+    first = np.maximum.accumulate(np.where(new, np.arange(len(some)), 0))
+    later = (some[:, 2:] != some[first][:, 2:]).any(1)
+    spread = _mix(some[later, 2].view(np.uint64) + np.uint64(1), some[later, 3].view(np.uint64))
+    some[later, 0] = spread.view(np.int64)
+    some[later, 1] += SETTLED
+    return np.concatenate([rows[order[~same]], some])
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(d, x, text) -> (h, c, d, q); q is the text hash x and the anchor's
     place in one number."""
     def out(parts):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)],
-                                          names=["h", "c", "d", "q"])
+        found = _settle(np.stack([np.concatenate(c) for c in zip(*parts, strict=True)], 1))
+        return pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in range(4)], names=["h", "c", "d", "q"])
 
     def rows(texts, ids, hashes, base):
         ends = np.cumsum([len(t) for t in texts])
@@ -130,7 +156,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if n > 2 * PIECE:
                 for at in range(0, n - LENGTH + 1, PIECE):
                     parts.append(rows([data[at:at + PIECE + LENGTH - 1]], [d], [x], at))
-                    if len(parts) > 16:
+                    if len(parts) > 64:
                         yield out(parts)
                         parts = []
                 continue
@@ -141,7 +167,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size >= PIECE:
                 parts.append(rows(texts, ids, hashes, 0))
                 texts, ids, hashes, size = [], [], [], 0
-                if len(parts) > 16:
+                if len(parts) > 64:
                     yield out(parts)
                     parts = []
         if texts:
@@ -162,6 +188,12 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         rows = np.stack([batch.column(k).to_numpy() for k in ("h", "c", "d", "q")], 1)
+        settled = (rows[:, 1] & SETTLED) > 0
+        if settled.any():
+            yield _judged(rows[settled], rows[:0])
+            rows = rows[~settled]
+            if not len(rows):
+                continue
         given = held is not None
         if given:
             rows = np.concatenate([[held], rows])

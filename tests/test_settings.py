@@ -3,10 +3,12 @@ with ANSI mode off (a cluster may set either)."""
 
 import pytest
 
-import __spark_entry__ as E
+from billetic.oracle import oracle_sql
+from billetic.plans.registry import QUERIES
 from billetic.testing import canonical, duckdb_views, run_duckdb, run_spark
 from conftest import SF_SMALL
 
+ORACLE = oracle_sql()
 SETTINGS = {
     "los_angeles": {"spark.sql.session.timeZone": "America/Los_Angeles"},
     "tokyo_ansi_off": {"spark.sql.session.timeZone": "Asia/Tokyo", "spark.sql.ansi.enabled": "false"},
@@ -25,9 +27,9 @@ def test_queries_do_not_depend_on_session_settings(spark, con, setting):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        bad = [n for n, fn in E.queries().items()
+        bad = [n for n, fn in QUERIES.items()
                if canonical(*run_spark(fn(spark, SF_SMALL)))
-               != canonical(*run_duckdb(con, E.oracle_sql()[n]))]
+               != canonical(*run_duckdb(con, ORACLE[n]))]
     finally:
         for k, v in old.items():
             if v is None:

@@ -9,6 +9,11 @@ those of the benchmark in a hash join. Windows with fewer literal words than
 half their places say nothing and are left out; an item shorter than the
 window (five words at least) is one window of its own length.
 
+The same windows are hashed a second time with every word as a literal (case
+folded, marks taken off; numbers keep their sign and decimal marks), and both
+kinds meet both kinds. Copied words so match whatever their case, and
+whatever sentence marks stand between them.
+
 Windows that match in a row lie on a diagonal (place in the document less
 place in the item). A document has leaked an item if on one diagonal the
 windows cover ``run`` words (all of a shorter item) and the slots are
@@ -54,7 +59,8 @@ UNITS = frozenset("""
     euro euros usd eur gbp byte bytes kb mb gb tb
 """.split())
 _NUMBER = re.compile(r"^[^\w]*\d")
-_OTHER = re.compile(r"[\W_]+")
+_OTHER = re.compile(r"(?:(?!%)[\W_])+")
+_AROUND = re.compile(r"^(?:(?![-+−.#$€£¥%])[\W_])+|(?:(?!%)[\W_])+$")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ITEM_SCHEMA = "item_id long, win long, ipos int, n int, islots array<string>, need int, words int"
 _WINDOW_SCHEMA = "doc_id long, text_hash long, win long, pos int, slots array<string>"
@@ -74,8 +80,8 @@ class Sequences:
         lens = pc.list_value_length(split).to_numpy()
         coded = pc.list_flatten(split).dictionary_encode()
         raw = coded.dictionary.to_pylist()
-        clean = [_OTHER.sub("", w).lower() if not w.endswith("%") else w.lower() for w in raw]
         number = np.array([bool(_NUMBER.match(w)) for w in raw], bool)
+        clean = [(_AROUND if x else _OTHER).sub("", w).casefold() for w, x in zip(raw, number, strict=True)]
         unit = np.array([w.strip(".,;:!?()\"'").lower() in UNITS for w in raw], bool)
         title = np.array([(c := w.lstrip("\"'([{«“‘"))[:1].isupper() and not c[1:2].isupper() for w in raw], bool)
         ends = np.array([w.rstrip("\"')]}»”’")[-1:] in (".", "!", "?") for w in raw], bool)
@@ -86,7 +92,7 @@ class Sequences:
         ids = coded.indices.to_numpy()
         doc = np.repeat(np.arange(len(texts)), lens)
         keep = word[ids]
-        self.raw, self.ids, self.doc = raw, ids[keep], doc[keep]
+        self.raw, self.clean, self.ids, self.doc = raw, clean, ids[keep], doc[keep]
         ids, doc = self.ids, self.doc
         opens = np.ones(len(ids), bool)
         opens[1:] = (doc[1:] != doc[:-1]) | ends[ids[:-1]]
@@ -118,8 +124,14 @@ class Sequences:
     def slots(self, at: int, n: int, code: np.ndarray | None = None) -> list[str]:
         code = self.code if code is None else code
         kinds = {1: "number", 2: "name", 3: "unit"}
-        return [f"{kinds[int(code[i])]}:{self.raw[self.ids[i]].strip('.,;:!?()').lower()}"
-                if code[i] <= UNIT else "" for i in range(at, at + n)]
+        return [f"{kinds[int(code[i])]}:{self.clean[self.ids[i]]}" if code[i] <= UNIT else ""
+                for i in range(at, at + n)]
+
+    def differ(self, n: int) -> np.ndarray:
+        """For each start whether the window has placeholders, and so another
+        hash as literals."""
+        slots = np.concatenate(([0], np.cumsum(self.code <= UNIT)))
+        return slots[n:] > slots[:-n]
 
 
 def item_windows(item_id: int, text: str | None, window: int, run: int) -> list[tuple]:
@@ -141,6 +153,10 @@ def item_windows(item_id: int, text: str | None, window: int, run: int) -> list[
             if k == 0 or i == 0:
                 rows.append((x, i, seq.slots(i, n, code)))
                 covered.update(range(i, i + n))
+    rich = {i for _, i, _ in rows}
+    at, h = seq.windows(n, seq.literal)
+    pick = seq.differ(n)[at] & np.isin(at, list(rich))
+    rows += [(x, i, [""] * n) for i, x in zip(at[pick].tolist(), h[pick].view(np.int64).tolist(), strict=True)]
     need = min(run, len(covered))
     return [(item_id, x, i, n, s, need, words) for x, i, s in rows]
 
@@ -190,14 +206,18 @@ def _find(sizes: list[int], known: np.ndarray | None):
                 seq = Sequences(pa.array([f"{tail} {texts[0]}" if tail else texts[0], *texts[1:]],
                                          pa.large_string()))
                 for n in sizes:
-                    at, h = seq.windows(n)
-                    if known is not None and len(h):
-                        place = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                        hit = known[place] == h
-                        at, h = at[hit], h[hit]
-                    for i, x in zip(at.tolist(), h.view(np.int64).tolist(), strict=True):
-                        d = int(seq.doc[i])
-                        out.append((rows[d], x, base + i - int(seq.first[d]), seq.slots(i, n)))
+                    for code in (seq.code, seq.literal):
+                        at, h = seq.windows(n, code)
+                        if code is seq.literal:
+                            other = seq.differ(n)[at]
+                            at, h = at[other], h[other]
+                        if known is not None and len(h):
+                            place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                            hit = known[place] == h
+                            at, h = at[hit], h[hit]
+                        for i, x in zip(at.tolist(), h.view(np.int64).tolist(), strict=True):
+                            d = int(seq.doc[i])
+                            out.append((rows[d], x, base + i - int(seq.first[d]), seq.slots(i, n, code)))
                 if more:
                     # the next piece starts with the last words of this one
                     last = [seq.raw[j] for j in seq.ids[-2 * most:]]

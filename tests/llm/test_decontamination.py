@@ -103,3 +103,18 @@ def test_drop_leaked(spark):
         ("2", "clean text"), ("5", "None"), ("None", "fine")]
     assert D.drop_leaked(df, bench(spark, [])).count() == 6
     assert rows(D.leaks(docs(spark, []), bench(spark, [(1, item)]))) == []
+
+
+def test_copies_in_another_case_or_with_other_marks(spark):
+    rnd = random.Random(12)
+    item = f"{prose(rnd, 9).capitalize()} with Anna and a {prose(rnd, 4)}. {prose(rnd, 15).capitalize()}? Anna {prose(rnd, 5)}."
+    words = item.split()
+    a = next(i for i, w in enumerate(words) if w.endswith(".")) + 1
+    after_unfinished = "so they said " + " ".join(words[a:a + 13]) + " and more"
+    documents = [(1, item.upper()), (2, item.title()), (3, item.replace(".", "").replace("?", "")),
+                 (4, after_unfinished), (5, item.replace("with Anna", 'with "Anna"')), (6, item.lower()),
+                 (7, "x " + " ".join(words[3:16]).upper()), (8, "x " + " ".join(words[3:15]).upper())]
+    got = pairs(spark, documents, [(1, item)])
+    assert set(got) == {(i, 1) for i in range(1, 8)}
+    assert got[1, 1].matched_words == len(words) and not any(r.reparameterised for r in got.values())
+    assert set(pairs(spark, documents, [(1, item)], max_filter=0)) == set(got)

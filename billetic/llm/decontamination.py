@@ -5,19 +5,20 @@ numbers, names and units are typed placeholders: a word that starts with a
 digit (after a sign or currency) is a number; a known unit right after a
 number is a unit; a capitalised word that does not open a sentence is a name.
 Windows of ``window`` places are hashed, and the hashes of all documents meet
-those of the benchmark in a hash join. Windows with fewer literal words than
-half their places say nothing and are left out; an item shorter than the
+those of the benchmark in a hash join. A template with fewer literal words than
+half its places says nothing and is left out; an item shorter than the
 window (five words at least) is one window of its own length.
 
 The same windows are hashed a second time with every word as a literal (case
 folded, marks taken off; numbers keep their sign and decimal marks), and both
 kinds meet both kinds. Copied words so match whatever their case, and
-whatever sentence marks stand between them.
+whatever sentence marks stand between them; lists of names and series of
+numbers, which have no template, match as copies.
 
 Windows that match in a row lie on a diagonal (place in the document less
 place in the item). A document has leaked an item if on one diagonal the
-windows cover ``run`` words (all of a shorter item) and the slots are
-consistent: each value of the item's placeholders stands for one value of the
+windows cover ``run`` words (all of a shorter item; all that an item's
+templates cover, if that is less) and the slots are consistent: each value of the item's placeholders stands for one value of the
 document's, everywhere. A question with other numbers, names or units is so
 caught (``reparameterised``), while tables of numbers that happen to have an
 item's shape are not.
@@ -41,7 +42,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billetic.llm._common import stored
@@ -62,7 +63,7 @@ _NUMBER = re.compile(r"^[^\w]*\d")
 _OTHER = re.compile(r"(?:(?!%)[\W_])+")
 _AROUND = re.compile(r"^(?:(?![-+−.#$€£¥%])[\W_])+|(?:(?!%)[\W_])+$")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_ITEM_SCHEMA = "item_id long, win long, ipos int, n int, islots array<string>, need int, words int"
+_ITEM_SCHEMA = "item_id long, win long, ipos int, n int, islots array<string>, need int, words int, rich boolean"
 _WINDOW_SCHEMA = "doc_id long, text_hash long, win long, pos int, slots array<string>"
 
 
@@ -155,10 +156,10 @@ def item_windows(item_id: int, text: str | None, window: int, run: int) -> list[
                 covered.update(range(i, i + n))
     rich = {i for _, i, _ in rows}
     at, h = seq.windows(n, seq.literal)
-    pick = seq.differ(n)[at] & np.isin(at, list(rich))
+    pick = seq.differ(n)[at]
     rows += [(x, i, [""] * n) for i, x in zip(at[pick].tolist(), h[pick].view(np.int64).tolist(), strict=True)]
     need = min(run, len(covered))
-    return [(item_id, x, i, n, s, need, words) for x, i, s in rows]
+    return [(item_id, x, i, n, s, need, words, i in rich) for x, i, s in rows]
 
 
 def _index(window: int, run: int):
@@ -166,7 +167,7 @@ def _index(window: int, run: int):
         for df in batches:
             rows = [r for i, t in zip(df["item_id"], df["text"], strict=True)
                     for r in item_windows(None if pd.isna(i) else int(i), t, window, run)]
-            yield pd.DataFrame(rows, columns=["item_id", "win", "ipos", "n", "islots", "need", "words"])
+            yield pd.DataFrame(rows, columns=["item_id", "win", "ipos", "n", "islots", "need", "words", "rich"])
 
     return build
 
@@ -259,11 +260,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     met = found.join(index, "win").withColumn(
         "pairs", F.filter(F.arrays_zip("islots", "slots"), lambda p: p["islots"] != ""))
     lines = met.groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("ipos")).alias("line")).agg(
-        F.collect_set("ipos").alias("at"), F.first("n").alias("n"), F.first("need").alias("need"),
-        F.first("words").alias("words"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + F.col("n") - 1)))))
+        F.collect_set("ipos").alias("at"), F.collect_set(F.when(F.col("rich"), F.col("ipos"))).alias("rich"),
+        F.first("n").alias("n"), F.first("need").alias("need"), F.first("words").alias("words"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+
+    def covered(at: str) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(p, p + F.col("n") - 1)))))
+
+    enough = (F.col("covered") >= F.least(F.lit(run), "words")) | (
+        (F.size("rich") > 0) & (covered("rich") >= F.col("need")))
     consistent = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.islots")))
-    lines = lines.withColumn("covered", covered).filter((F.col("covered") >= F.col("need")) & consistent)
+    lines = lines.withColumn("covered", covered("at")).filter(enough & consistent)
     return lines.groupBy("doc_id", "text_hash", "item_id").agg(
         F.max("covered").alias("matched_words"), F.first("words").alias("item_words"),
         F.count(F.lit(1)).alias("n_places"), F.max(F.size("pairs")).alias("n_slots"),

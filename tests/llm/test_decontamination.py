@@ -118,3 +118,22 @@ def test_copies_in_another_case_or_with_other_marks(spark):
     assert set(got) == {(i, 1) for i in range(1, 8)}
     assert got[1, 1].matched_words == len(words) and not any(r.reparameterised for r in got.values())
     assert set(pairs(spark, documents, [(1, item)], max_filter=0)) == set(got)
+
+
+def test_items_of_names_or_numbers(spark):
+    rnd = random.Random(14)
+    names = "Name the capitals: Paris London Berlin Rome Madrid Lisbon Vienna Prague Warsaw Athens Dublin Oslo Helsinki Sofia"
+    series = "Continue the series 2 3 5 7 11 13 17 19 23 29 31 37 41 43"
+    short = "Add 3.5 7 -2 9"
+    half = f"{names} {prose(rnd, 5)}"       # its templates cover the last 9 places
+    documents = [(10 * k + i, f"{prose(rnd, 20)} {t} {prose(rnd, 20)}")
+                 for i, t in enumerate((names, series, short, half)) for k in (1, 2)]
+    documents += [(50, names.upper()), (51, "they wrote " + " ".join(half.split()[-9:])), (52, " ".join(names.split()[2:14])),
+                  # the shape alone, other numbers, another sign
+                  (60, "Continue the series " + " ".join(str(k * 3) for k in range(14))),
+                  (61, " ".join(str(k) for k in range(200))), (62, "Add 3.5 7 2 9"), (63, "Add 35 7 -2 9")]
+    items = list(enumerate((names, series, short, half)))
+    got = pairs(spark, documents, items)
+    want = {(10 * k + i, i) for i in range(4) for k in (1, 2)}
+    want |= {(10 * k, 3) for k in (1, 2)} | {(10 * k + 3, 0) for k in (1, 2)} | {(50, 0), (50, 3), (51, 3)}
+    assert set(got) == want and not any(r.reparameterised for r in got.values())

@@ -10,7 +10,9 @@ least as long as the class's window. A window slides over it by one
 character; counts of the character that leaves and the one that enters are
 updated, and with them the sum of c log2 c, so each step is constant work.
 Windows with at least the class's bits per character, and the mix of letters
-and digits it asks for, are joined to spans. A span is dropped if it lies in
+and digits it asks for, are joined to spans. Keys of lower case and digits, of
+upper case and digits and of mixed letters alone have classes of their own,
+for the wide class asks for all three. A span is dropped if it lies in
 one of the patterns' spans, or if an allow-list pattern covers it (UUIDs,
 digests named as such, addresses, alphabets in order, EXAMPLE keys).
 
@@ -61,6 +63,11 @@ class CharClass:
 CLASSES = (
     CharClass("entropy_hex", "0-9A-Fa-f", 20, 2.9, ("0-9", "A-Fa-f")),
     CharClass("entropy_base64", "A-Za-z0-9+/=_-", 24, 3.9, ("0-9", "A-Z", "a-z")),
+    # bits: a random key of 24, 32 and 40 characters has a window in 99.0, 100 and 100 of 100 (3000 keys each),
+    # 98.6, 99.6 and 100 (base32), 96.0, 99.6 and 99.9; long CamelCase words can reach the last.
+    CharClass("entropy_lower", "0-9a-z", 24, 3.6, ("0-9", "a-z")),
+    CharClass("entropy_upper", "0-9A-Z", 24, 3.5, ("0-9", "A-Z")),
+    CharClass("entropy_letters", "A-Za-z", 24, 3.9, ("A-Z", "a-z")),
 )
 ALLOW = (
     r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",

@@ -91,3 +91,17 @@ def test_table(spark):
     want = sorted(str((i, *S.scan(t))) for i, t in items)
     assert sorted(str(tuple(r)) for r in got) == want
     assert S.find_secrets(docs(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize(("name", "alphabet"), [
+    ("entropy_lower", "abcdefghijklmnopqrstuvwxyz0123456789"),
+    ("entropy_upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("entropy_letters", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+])
+def test_bare_keys_of_narrow_alphabets(name, alphabet):
+    rnd = random.Random(5)
+    keys = ["".join(rnd.choice(alphabet) for _ in range(40)) for _ in range(200)]
+    hits = sum(f"{name}:" in S.scan(f"the key {k} here")[4] for k in keys)
+    assert hits >= 195
+    for plain in ("word " * 20, "antidisestablishmentarianism" * 2, "A" * 40, "a1" * 30, "MAXIMUM LENGTH 2048", "aB" * 20):
+        assert "entropy" not in S.scan(plain)[4]

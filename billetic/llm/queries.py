@@ -3,9 +3,11 @@ whole tables, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from billetic.llm import crf, decontamination, embeddings, extraction, mixing, repeats, secrets, sharding, simhash, warc
+from billetic.llm import bpe, crf, decontamination, embeddings, extraction, mixing, repeats, secrets, sharding, simhash, warc
 from billetic.llm._common import table
 
 
@@ -51,6 +53,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.identify(table(spark, sf_dir, "documents"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+    return bpe.decode(coded, vocabulary).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -62,6 +71,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {

@@ -7,7 +7,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billetic.llm import bpe, crf, decontamination, embeddings, extraction, mixing, repeats, secrets, sharding, simhash, warc
+from billetic.llm import (
+    bpe,
+    crf,
+    decontamination,
+    embeddings,
+    extraction,
+    mixing,
+    repeats,
+    runs,
+    secrets,
+    sharding,
+    simhash,
+    warc,
+)
 from billetic.llm._common import table
 
 
@@ -53,6 +66,31 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.identify(table(spark, sf_dir, "documents"))
 
 
+def _with_cycles(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``: in one document of ten, as its id says, the words
+    from a place on repeat a period."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    cut = docs.select("doc_id", "text", crc.alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    cut = cut.withColumns({"n": F.size("words"), "g": F.floor(F.col("h") / 10)}).withColumn(
+        "a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int"))).withColumn(
+        "p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    unit = F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int"))
+    whole = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(F.flatten(unit), F.lit(1), rest))
+    return cut.select("doc_id", F.when(F.col("n") > 0, F.array_join(whole, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_with_cycles(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat_ws("", F.transform(lines, lambda line: F.concat(line, F.lit("\n"))))
+    return found.withColumn("best", runs.strongest("runs")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
@@ -71,6 +109,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_byte_bpe": op13_byte_bpe,
 }
 

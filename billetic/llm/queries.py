@@ -19,6 +19,7 @@ from billetic.llm import (
     secrets,
     sharding,
     simhash,
+    variants,
     warc,
 )
 from billetic.llm._common import table
@@ -91,6 +92,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.count_words(table(spark, sf_dir, "documents"))
+    return variants.variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
@@ -110,6 +116,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_byte_bpe": op13_byte_bpe,
 }
 

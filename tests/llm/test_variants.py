@@ -1,0 +1,153 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from billetic.llm import variants as V
+from tests.llm.helpers import docs
+
+
+def count(items, drop=31, least=2):
+    n = Counter()
+    for d, text, *_ in items:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            w = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if d is None else d}:{w}".encode())
+            if h % drop == 0:
+                w = w[:h % len(w)] + w[h % len(w) + 1:]
+            if len(w) >= 7:
+                n[w] += 1
+    return {w: k for w, k in n.items() if k >= least}
+
+
+def near_pairs(words):
+    """By the words that each gives with one code point left out or unknown."""
+    lists = defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            lists[w[:i] + "\0" + w[i + 1:]].add(w)
+            lists[w[:i] + w[i + 1:]].add(w)
+        lists[w].add(w)
+    pairs = set()
+    for some in lists.values():
+        for a in some:
+            for b in some:
+                if a < b and one_edit(a, b):
+                    pairs.add((a, b))
+    return pairs
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def groups(words, times=10):
+    near = defaultdict(set)
+    for a, b in near_pairs(words):
+        near[a].add(b)
+        near[b].add(a)
+    form = {}
+    for w, n in words.items():
+        best = min(((-words[x], x) for x in near[w]), default=None)
+        if best and -best[0] >= times * n:
+            form[w] = best[1]
+    out = []
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, n, len(near[w]), form.get(w), words.get(form.get(w)), root))
+    return sorted(out)
+
+
+def table(spark, words):
+    return spark.createDataFrame(list(words.items()) or [("x", 1)], "word string, n long").filter(
+        "length(word) >= 7" if words else "false")
+
+
+def found(spark, words, **kw):
+    return sorted(tuple(r) for r in V.variant_groups(table(spark, words), **kw).collect())
+
+
+def invented(rnd, n, letters="abé", sizes=(7, 13)):
+    words = {}
+    while len(words) < n:
+        w = "".join(rnd.choice(letters) for _ in range(rnd.randrange(*sizes)))
+        words[w] = int(10 ** (rnd.random() * 4)) + 2
+        for _ in range(rnd.randrange(3)):
+            i = rnd.randrange(len(w))
+            v = rnd.choice([w[:i] + w[i + 1:], w[:i] + rnd.choice(letters) + w[i:], w[:i] + rnd.choice(letters) + w[i + 1:]])
+            if len(v) >= 7:
+                words.setdefault(v, int(10 ** (rnd.random() * 4)) + 2)
+    return words
+
+
+@pytest.mark.parametrize("block,share", [(2000, 4000), (5, 4000), (2000, 20)])
+def test_against_brute_force(spark, monkeypatch, block, share):
+    monkeypatch.setattr(V, "SHARE", share)
+    rnd = random.Random(block + share)
+    words = invented(rnd, 600) | invented(rnd, 300, "abcdefghijklmnopqrstuvwxyzÿÀ")
+    assert found(spark, words, block=block) == groups(words)
+
+
+def test_chains_and_ties(spark):
+    words = {"abcdefg": 2, "abcdefgh": 30, "abcdefghi": 400, "abcdefgx": 30, "abcdefé": 30, "zzzzzzz": 5,
+             "zzzzzzzz": 49, "qqqqqqqq" * 400: 3, "qqqqqqqq" * 400 + "q": 90}
+    got = {r[0]: r[1:] for r in found(spark, words)}
+    assert got["abcdefg"] == (2, 3, "abcdefgh", 30, "abcdefghi")
+    assert got["zzzzzzz"] == (5, 1, None, None, "zzzzzzz")
+    assert got["qqqqqqqq" * 400][2:] == ("qqqqqqqq" * 400 + "q", 90, "qqqqqqqq" * 400 + "q")
+    assert sorted((w, *r) for w, r in got.items()) == groups(words)
+
+
+def test_no_words(spark):
+    assert found(spark, {}) == []
+
+
+def test_bounds_hold():
+    """After any one edit, a word keeps all but ``bound`` of its grams, in place or moved by one."""
+    rnd = random.Random(6)
+    words = [w.encode("latin-1") for w in invented(rnd, 500)]
+    parts = np.concatenate([V._codes(np.frombuffer(w, np.uint8)[None], q).ravel() for w in words for q in (2, 3, 4)])
+    grams, counts = np.unique(parts, return_counts=True)
+    index = V.GramIndex(grams[counts > 40], counts[counts > 40])
+
+    def grams_of(w):
+        gram, _, _, bound = index.decompose(np.frombuffer(w, np.uint8)[None])
+        return gram[0].tolist(), int(bound[0])
+
+    for w in words:
+        own, bound = grams_of(w)
+        i, c = rnd.randrange(len(w) + 1), bytes([rnd.choice(b"ab\xe9z")])
+        for v, shift in ((w[:i] + c + w[i:], 1), (w[:i] + c + w[i + 1:], 0), (w[:i] + w[i + 1:], -1)):
+            other, _ = grams_of(v)
+            kept = sum(
+                (p < i and p < len(other) and other[p] == g) or (p >= i and 0 <= p + shift < len(other) and other[p + shift] == g)
+                for p, g in enumerate(own))
+            assert kept >= len(own) - bound
+        assert bound <= V.LONGEST and len(own) > bound
+
+
+def test_counts(spark):
+    items = [(i % 90, "Éclair éclair ECLAIRS eclairs Wonderful_wonderful x9wonderfully " * (i % 3)) for i in range(200)]
+    items += [(None, None), (None, "anything anything"), (5, ""), (7, "×÷" * 5 + " " + "Ab" * 4000), (7, "Ab" * 4000)]
+    got = {r.word: r.n for r in V.count_words(docs(spark, items, extra=True)).collect()}
+    assert got == count(items)
+    assert V.count_words(docs(spark, [])).collect() == []
+
+
+def test_query(spark):
+    from billetic.llm.queries import op12_spelling_variants
+
+    items = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    got = op12_spelling_variants(spark, "/root/testdata/sf0.01")
+    want = [(w, f, r, n, k, fn) for w, n, k, f, fn, r in groups(count(items))]
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert sum(w[1] is not None for w in want) > 20

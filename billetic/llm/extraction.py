@@ -73,7 +73,8 @@ TOKEN_GROUPS = [re.compile(p) for p in (
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.DOTALL)
-_ATTR = re.compile(r"\b(class|id|role|aria-label|itemprop|data-keep)\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+))")
+_ATTR = re.compile(r"\b(class|id|role|aria-label|itemprop|data-keep)\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+))",
+                   re.IGNORECASE)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 N_FEATURES = 2 * N_KINDS + 2 * len(TOKEN_GROUPS) + 22
 
@@ -86,6 +87,8 @@ class Page:
         self.text: list[str | None] = [None]
         self.links = [0]
         self._stack: list[tuple[str, int]] = [("", 0)]
+        self._open: dict[str, list[int]] = {}       # depths of the open tags of each name
+        self._endless: set[str] = set()             # raw tags without a further end
         self._run: list[str] = []
         self._link = self._linked = 0
         self._parse(source)
@@ -115,13 +118,12 @@ class Page:
         self._linked = 0
 
     def _pop(self, names, upto=frozenset()) -> None:
-        for i in range(len(self._stack) - 1, 0, -1):
-            name = self._stack[i][0]
-            if name in names:
-                del self._stack[i:]
-                return
-            if name in upto:
-                return
+        """Close the innermost of the open tags ``names``, unless one of
+        ``upto`` is further in. Time follows the tags that are closed."""
+        at = max((d[-1] for n in names if (d := self._open.get(n))), default=0)
+        if at and all(not (d := self._open.get(n)) or d[-1] <= at for n in upto):
+            while len(self._stack) > at:
+                self._open[self._stack.pop()[0]].pop()
 
     def _parse(self, source: str) -> None:
         at = 0
@@ -145,9 +147,14 @@ class Page:
                 self._pop({name})
                 continue
             if name in RAW:
-                if not m[3].rstrip().endswith("/"):
+                if not m[3].rstrip().endswith("/") and name not in self._endless:
                     end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.IGNORECASE).search(source, at)
-                    at = end.end() if end else len(source)
+                    if end:
+                        at = end.end()
+                    elif name in ("script", "style", "title", "textarea"):
+                        at = len(source)
+                    else:
+                        self._endless.add(name)     # what follows is the page's
                 continue
             if name in VOID:
                 continue
@@ -155,6 +162,7 @@ class Page:
             if name in CLOSES:
                 self._pop(*CLOSES[name])
             groups, keep = _attributes(m[3])
+            self._open.setdefault(name, []).append(len(self._stack))
             self._stack.append((name, self._node(KINDS.get(name, OTHER), groups, keep=keep)))
         if at < len(source):
             self._say(source[at:])
@@ -165,7 +173,7 @@ def _attributes(raw: str) -> tuple[int, str | None]:
     if "=" in raw:
         for m in _ATTR.finditer(raw):
             value = m[2] or m[3] or m[4] or ""
-            if m[1] == "data-keep":
+            if m[1].lower() == "data-keep":
                 keep = value
                 continue
             for word in _WORDS.findall(value):

@@ -123,3 +123,27 @@ def test_table(spark):
     assert [(r.page_id, r.url) for r in got] == [(1, "u"), (1, None), (None, "u")]
     assert [r.n_chars for r in got[:2]] == [0, 0] and got[0].text == ""
     assert X.extract_pages(df.limit(0), n_pages=5).count() == 0
+
+
+def test_unclosed_raw_elements():
+    for name in ("svg", "math", "noscript", "iframe", "template"):
+        page = X.Page(f"<article><p>a</p><{name}><g/><p>rest of the article here.</p></article>")
+        assert [t for t in page.text if t] == ["a", "rest of the article here."]
+        page = X.Page(f"<p>a</p><{name}><p>inside</p></{name}><p>b</p><{name}><p>c</p>")
+        assert [t for t in page.text if t] == ["a", "b", "c"]
+    assert [t for t in X.Page("<p>a</p><script>var x = 1;<p>b</p>").text if t] == ["a"]
+
+
+def test_a_megabyte_of_tags_is_linear():
+    import time
+
+    begin = time.time()
+    for part in ("<ul>", "</i0></b0></ul>", "<ul><li>x", "<p>", "<svg>", "<table><tr><td>"):
+        X.Page(part * (1_000_000 // len(part)))
+    X.Page("<ul>" * 125_000 + "</ol>" * 100_000)
+    assert time.time() - begin < 60
+
+
+def test_upper_case_attributes():
+    low, high = X.Page('<div class="sidebar">x</div>'), X.Page('<DIV CLASS="sidebar">x</DIV>')
+    assert low.groups == high.groups and any(low.groups)

@@ -72,9 +72,9 @@ CLASSES = (
 ALLOW = (
     r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
     r"(?i:sha(?:1|256|384|512)|md5)[-:= ]+[0-9A-Za-z+/=]+",
-    r"https?://\S+",
+    r"https?://(?![^\s/?#]*@)[^\s?#]+",     # scheme, host and path: keys in user-info, query or fragment are found
     r"data:[a-z]+/[\w.+-]+;base64,[A-Za-z0-9+/=]+",
-    r"[0-9A-Za-z+/_=-]*EXAMPLE[0-9A-Za-z+/_=-]*",
+    r"(?<![0-9A-Za-z+/_=-])[0-9A-Za-z+/_=-]*EXAMPLE[0-9A-Za-z+/_=-]*",     # tried once a run
     r"(?i:0123456789abcdef|abcdefghijklmnopqrstuvwxyz)[0-9A-Za-z+/_=-]*",
 )
 

@@ -105,3 +105,27 @@ def test_bare_keys_of_narrow_alphabets(name, alphabet):
     assert hits >= 195
     for plain in ("word " * 20, "antidisestablishmentarianism" * 2, "A" * 40, "a1" * 30, "MAXIMUM LENGTH 2048", "aB" * 20):
         assert "entropy" not in S.scan(plain)[4]
+
+
+def test_long_runs_are_linear():
+    import base64
+    import random
+    import time
+
+    blob = base64.b64encode(random.Random(1).randbytes(750_000)).decode()
+    begin = time.time()
+    found = S.scan(blob)
+    S.scan(blob[:500_000] + "EXAMPLE" + blob[500_000:])
+    S.scan("http://" * 100_000 + "data:" * 100_000 + blob)
+    assert time.time() - begin < 60
+    assert found[4].startswith("entropy_base64:0:")
+
+
+def test_keys_in_urls():
+    key = "Ab3dE5fG7hJ9kLmN2pQrS4tUvW6x"
+    for text in (f"https://user:{key}@example.org/a", f"see https://example.org/hook#{key} now",
+                 f"https://example.org/q?sig={key}"):
+        at = text.index(key)
+        assert any(s.startswith("entropy") and int(s.split(":")[1]) <= at < int(s.split(":")[2])
+                   for s in S.scan(text)[4].split(","))
+    assert "entropy" not in S.scan(f"https://{key}.example.org/path")[4]

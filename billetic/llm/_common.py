@@ -41,6 +41,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, longer if a frame has a column of that name already."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> Column:
+    """A column by its plain name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def n_words(text: Column | str) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; 0 if null."""
     c = F.col(text) if isinstance(text, str) else text
@@ -82,13 +95,14 @@ def _checksum(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # written first: the links of a hub meet one plain row, and its partition can be split
+    least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     kept = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return kept.union(least.select("u", F.col("m").alias("v"))).distinct()
 

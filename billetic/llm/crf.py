@@ -39,6 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from billetic.llm._common import unused
+
 UNDETERMINED = "und"
 HASHED = 1 << 18
 BLOCK = 32
@@ -365,7 +367,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     take = 2 * seq_words
     at = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.size(words) - take, F.lit(1))) + 1
     cut = F.concat_ws(" ", F.slice(words, at.cast("int"), take))
-    sample = pick.filter(F.col("text").isNotNull()).select("doc_id", "lang", cut.alias("cut")).collect()
+    sample = pick.filter(F.col("text").isNotNull()).select("doc_id", "lang", cut.alias("cut"))
+    # ids share their draw: where many rows have one id, twice the sample is the most that is taken
+    sample = sample.orderBy(F.xxhash64("doc_id"), F.xxhash64("cut")).limit(2 * max_docs).collect()
     sample.sort(key=lambda r: (r["doc_id"], r["lang"], r["cut"]))
     return fit([(r["lang"], words_of(r["cut"])) for r in sample], seq_words=seq_words, **options)
 
@@ -395,6 +399,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows whose text has letters and whose likeliest language has at
     least ``min_score`` of them; columns unchanged."""
     model = train(docs, id_col, text_col, lang_col, **options)
-    found = docs.withColumn("__lang", language(model, text_col))
-    good = (F.col("__lang.lang_pred") != UNDETERMINED) & (F.col("__lang.score") >= min_score)
-    return found.filter(good).drop("__lang") if model else docs.filter(F.lit(False))
+    name = unused("__lang", docs)
+    found = docs.withColumn(name, language(model, text_col))
+    good = (F.col(name)["lang_pred"] != UNDETERMINED) & (F.col(name)["score"] >= min_score)
+    return found.filter(good).drop(name) if model else docs.filter(F.lit(False))

@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billetic.llm._common import stored
+from billetic.llm._common import stored, unused
 
 NUMBER, NAME, UNIT = np.uint64(1), np.uint64(2), np.uint64(3)
 LEAST_WORDS = 5
@@ -260,16 +260,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     met = found.join(index, "win").withColumn(
         "pairs", F.filter(F.arrays_zip("islots", "slots"), lambda p: p["islots"] != ""))
     lines = met.groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("ipos")).alias("line")).agg(
-        F.collect_set("ipos").alias("at"), F.collect_set(F.when(F.col("rich"), F.col("ipos"))).alias("rich"),
-        F.first("n").alias("n"), F.first("need").alias("need"), F.first("words").alias("words"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-
-    def covered(at: str) -> Column:
-        return F.size(F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(p, p + F.col("n") - 1)))))
-
-    enough = (F.col("covered") >= F.least(F.lit(run), "words")) | (
-        (F.size("rich") > 0) & (covered("rich") >= F.col("need")))
-    consistent = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.islots")))
-    lines = lines.withColumn("covered", covered("at")).filter(enough & consistent)
+        F.collect_set(F.struct("ipos", "rich", "pairs")).alias("windows"),
+        F.first("n").alias("n"), F.first("need").alias("need"), F.first("words").alias("words"))
+
+    def places(windows: Column) -> Column:
+        return F.array_distinct(F.flatten(F.transform(
+            windows["ipos"], lambda p: F.sequence(p, p + F.col("n") - 1))))
+
+    def consistent(windows: Column) -> Column:
+        pairs = F.array_distinct(F.flatten(windows["pairs"]))
+        return F.size(pairs) == F.size(F.array_distinct(pairs["islots"]))
+
+    def rich(windows: Column) -> Column:
+        return F.filter(windows, lambda w: w["rich"])
+
+    def leaked(windows: Column) -> Column:
+        return ((F.size(places(windows)) >= F.least(F.lit(run), "words"))
+                | ((F.size(rich(windows)) > 0) & (F.size(places(rich(windows))) >= F.col("need"))))
+
+    def stretch(first: Column, words: Column) -> Column:
+        """The windows inside ``words`` words from a place on."""
+        return F.filter("windows", lambda w: (w["ipos"] >= first) & (w["ipos"] + F.col("n") <= first + words))
+
+    # a diagonal that contradicts itself counts as far as its stretches don't
+    starts = F.array_distinct(F.col("windows.ipos"))
+    good = F.array_distinct(F.concat(*[F.flatten(F.transform(starts, lambda p, m=m: F.when(
+        consistent(stretch(p, m)) & leaked(stretch(p, m)), stretch(p, m)).otherwise(F.slice("windows", 1, 0))))
+        for m in (F.least(F.lit(run), "words"), F.col("need"))]))
+    lines = lines.withColumn("windows", F.when(consistent(F.col("windows")), F.col("windows")).otherwise(good))
+    lines = lines.filter((F.size("windows") > 0) & leaked(F.col("windows"))).withColumns({
+        "covered": F.size(places(F.col("windows"))), "pairs": F.array_distinct(F.flatten(F.col("windows.pairs")))})
     return lines.groupBy("doc_id", "text_hash", "item_id").agg(
         F.max("covered").alias("matched_words"), F.first("words").alias("item_words"),
         F.count(F.lit(1)).alias("n_places"), F.max(F.size("pairs")).alias("n_slots"),
@@ -281,7 +301,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 **options) -> DataFrame:
     """The rows of ``docs`` that leak no item; columns unchanged."""
+    of, hashed = unused("__id", docs), unused("__hash", docs)
     bad = stored(leaks(docs, benchmark, id_col, text_col, **options).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "leaked")
-    same = docs[id_col].cast("long").eqNullSafe(bad["__id"]) & (F.xxhash64(docs[text_col]) == bad["__hash"])
+        F.col("doc_id").alias(of), F.col("text_hash").alias(hashed)).distinct(), "leaked")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(of)) & (F.xxhash64(F.col(text_col)) == F.col(hashed))
     return docs.join(bad, same, "left_anti")

@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billetic.llm._common import n_words, stored
+from billetic.llm._common import n_words, quoted, stored, unused
 
 BITS, LEVELS = 12, 5
 
@@ -151,13 +151,14 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     taken. The plan (one row per source) meets the documents where they are
     read; no text is shuffled unless the plan is too large to broadcast."""
     plan = _plan(_sized(docs, id_col, text_col, source_col), weights, total, cap)
-    plan = plan.select(F.col("p_source").alias("__source"), F.struct("whole", "edge", "with_edge").alias("__plan"))
-    tagged = docs.withColumn("__place", _place(id_col, text_col))
-    joined = tagged.join(plan, tagged[source_col].eqNullSafe(plan["__source"]))
-    more = F.when((F.col("__place") < F.col("__plan.edge"))
-                  | ((F.col("__place") == F.col("__plan.edge")) & F.col("__plan.with_edge")), 1).otherwise(0)
-    times = F.array_repeat(F.lit(1), (F.col("__plan.whole") + more).cast("int"))
-    return joined.select(*[tagged[c] for c in docs.columns], F.explode(times).alias("__time")).drop("__time")
+    place, of, at, time = (unused(name, docs) for name in ("__place", "__source", "__plan", "__time"))
+    plan = plan.select(F.col("p_source").alias(of), F.struct("whole", "edge", "with_edge").alias(at))
+    tagged = docs.withColumn(place, _place(id_col, text_col))
+    joined = tagged.join(plan, F.col(source_col).eqNullSafe(F.col(of)))
+    more = F.when((F.col(place) < F.col(at)["edge"])
+                  | ((F.col(place) == F.col(at)["edge"]) & F.col(at)["with_edge"]), 1).otherwise(0)
+    times = F.array_repeat(F.lit(1), (F.col(at)["whole"] + more).cast("int"))
+    return joined.select(*map(quoted, docs.columns), F.explode(times).alias(time)).drop(time)
 
 
 ORACLE = r"""

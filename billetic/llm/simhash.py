@@ -18,7 +18,8 @@ fingerprint with the least of its local component), never as all pairs.
 A shard of more than ``max_shard`` distinct fingerprints is not built as one
 tree. Its members take an exact way of their own: two fingerprints within 2
 bits share a midpoint within 1 bit of both, so they meet under one of 65 keys
-each, and at most 65 fingerprints can meet under a key.
+each, and at most 65 fingerprints can meet under a key. (At radius 1 they meet
+under the bit in which they differ and the value without it.)
 
 Defined cases: a null or empty text, or one without words, has fingerprint 0,
 linked like any other. Fewer words than a shingle make one shingle of all of
@@ -40,7 +41,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from billetic.llm._common import Groups, connected_components, key_runs, run_bounds, stored
+from billetic.llm._common import (
+    Groups,
+    connected_components,
+    key_runs,
+    quoted,
+    run_bounds,
+    stored,
+    unused,
+)
 
 SEED = 42
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
@@ -179,6 +188,14 @@ def _midpoint_links(fps: DataFrame) -> DataFrame:
     return keyed.select(F.col("fp").alias("u"), least.alias("v")).filter("u <> v")
 
 
+def _one_bit_links(fps: DataFrame) -> DataFrame:
+    """All pairs that differ in one bit: two rows a key."""
+    without = F.array(*[F.struct(F.lit(b).alias("bit"), F.col("fp").bitwiseAND(
+        F.lit(~(1 << b) if b < 63 else (1 << 63) - 1)).alias("rest")) for b in range(64)])
+    keyed = fps.select("fp", F.explode(without).alias("key"))
+    return keyed.groupBy("key").agg(F.max("fp").alias("u"), F.min("fp").alias("v")).filter("u <> v").select("u", "v")
+
+
 def fingerprint_links(distinct: DataFrame, radius: int = 2, max_shard: int = 20_000) -> DataFrame:
     """Star links ``(u, v)`` whose components are those of all pairs of
     distinct fingerprints ``fp`` within ``radius`` bits. Exact."""
@@ -192,10 +209,9 @@ def fingerprint_links(distinct: DataFrame, radius: int = 2, max_shard: int = 20_
     if big.isEmpty():
         return links
     rest = shards.join(big, "shard", "left_semi").select("fp").distinct()
-    wide = _midpoint_links(rest) if radius == 2 else None
-    if wide is None:
-        raise ValueError("a shard is over max_shard and radius is not 2; raise max_shard")
-    return links.union(wide)
+    if radius == 0:
+        return links            # distinct fingerprints differ
+    return links.union(_midpoint_links(rest) if radius == 2 else _one_bit_links(rest))
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, radius: int,
@@ -210,7 +226,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, radius: in
     comps = connected_components(fingerprint_links(distinct.select("fp"), radius, max_shard))
     rooted = distinct.join(comps, distinct["fp"] == comps["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    first = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    rooted = stored(rooted, "rooted")
+    first = stored(rooted.groupBy("root").agg(F.min("least").alias("first")), "firsts")
     return rows, stored(rooted.join(first, "root").select("fp", "first"), "classes")
 
 
@@ -236,9 +253,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
         return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("none")),
                            text_hash.cast("string"))
 
-    keep = classes.select(label(F.col("first.doc_id"), F.col("first.text_hash"))
-                          .alias("__keep")).distinct()
-    tagged = docs.withColumn("__keep", label(F.col(id_col), F.xxhash64(text_col)))
-    once = Window.partitionBy("__keep").orderBy(F.xxhash64(*docs.columns))
-    return tagged.join(keep, "__keep", "left_semi").withColumn(
-        "__nth", F.row_number().over(once)).filter("__nth = 1").drop("__nth", "__keep")
+    key, row = unused("__keep", docs), unused("__row", docs)
+    keep = classes.select(label(F.col("first.doc_id"), F.col("first.text_hash")).alias(key)).distinct()
+    tagged = docs.withColumn(key, label(F.col(id_col), F.xxhash64(text_col)))
+    # rows that share an id and a text: few, or one large group that map tasks reduce to a row each
+    twice = stored(tagged.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "repeated")
+    kept = tagged.join(keep, key, "left_semi")
+    columns = list(map(quoted, docs.columns))
+    one = kept.join(twice, key, "left_semi").groupBy(key).agg(
+        F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias(row))
+    return kept.join(twice, key, "left_anti").select(*columns).union(
+        one.select(*[F.col(row)[c].alias(c) for c in docs.columns]))

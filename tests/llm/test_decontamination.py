@@ -62,8 +62,11 @@ def test_reparameterised(spark):
     mixed = q.replace("gave 12 apples", "gave 99 apples")
     got = pairs(spark, [(1, q), (2, other), (3, mixed), (4, "so it was that " + other.lower())], [(7, q)])
     assert got[1, 7].reparameterised is False and got[2, 7].reparameterised is True
-    # 12 stands for 12 and for 99: no consistent reading
-    assert (3, 7) not in got
+    # 12 stands for 12 and for 99, but the 15 words before the second one are consistent
+    assert got[3, 7].matched_words >= 15
+    # here every stretch of 13 words holds both
+    short = "then Anna had 12 or 12 of them and gave 12 to her own dear mother"
+    assert (5, 8) not in pairs(spark, [(5, short.replace("12 or 12", "12 or 99")), (6, short)], [(8, short)])
     table = " ".join(f"{i} {i + 1}" for i in range(50))
     assert pairs(spark, [(1, table)], [(1, " ".join(str(i * 7) for i in range(40)))]) == {}
 

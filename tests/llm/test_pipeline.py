@@ -13,7 +13,7 @@ def test_stages_and_registration():
         "language_id", "simhash_near_dedup", "benchmark_decontamination", "mixing", "sharding"]
     queries = entry.queries()
     assert queries["pipeline"] is corpus_pipeline.run
-    assert {int(q[2:].split("_")[0]) for q in queries if q.startswith("op")} == set(range(1, 11))
+    assert {int(q[2:].split("_")[0]) for q in queries if q.startswith("op")} == set(range(1, 14))
 
 
 def test_each_stage_on_its_own_input(spark):

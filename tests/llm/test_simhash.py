@@ -108,3 +108,44 @@ def test_query(spark):
     items = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     want = {d["doc_id"]: d for d in brute(items)}
     assert {r.doc_id: r.asDict() for r in found} == want
+
+
+def test_links_of_large_shards_at_every_radius(spark):
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(8)
+    base = [rnd.getrandbits(64) for _ in range(30)]
+    fps = {b ^ (1 << rnd.randrange(64)) ^ (rnd.random() < .5) * (1 << rnd.randrange(64)) for b in base for _ in range(6)}
+    fps |= set(base) | {1 << 63, 0, (1 << 63) | 1}
+    df = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long")
+    for radius in (0, 1, 2):
+        def parts(links):
+            root = {f: f for f in fps}
+
+            def find(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+            for u, v in links:
+                root[find(u)] = find(v)
+            out = {}
+            for f in fps:
+                out.setdefault(find(f), set()).add(f)
+            return sorted(map(sorted, out.values()))
+
+        want = parts([(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= radius])
+        for max_shard in (20_000, 1):
+            got = S.fingerprint_links(df, radius, max_shard).collect()
+            assert parts([(r.u % (1 << 64), r.v % (1 << 64)) for r in got]) == want
+
+
+def test_keep_one_with_reserved_and_dotted_names(spark):
+    from pyspark.sql import functions as F
+
+    df = docs(spark, [(1, "a b c d"), (1, "a b c d"), (None, "x y z w"), (None, "x y z w"), (2, "a b c d")])
+    df = df.select("*", F.lit(1).alias("__keep"), F.lit(2).alias("__row"), F.lit(3).alias("a.b"))
+    kept = S.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((str(r[0]), r[1]) for r in kept.collect()) == [("1", "a b c d"), ("None", "x y z w")]

@@ -17,21 +17,31 @@ judged on the input, and matches never cross documents. The result is exact.
    earliest are marked whole. An anchor with one class is done; of the others
    each class's earliest row goes on. These are the borders of the repeated
    stretches, a small part of the text.
-3. Their bytes (at most 168 a row) are fetched from the documents. Blocks of
-   whole anchors get a run-length index (``runlength``): Burrows-Wheeler runs
-   with sampled ends, from which the matching statistics are streamed; where
-   they reach LENGTH, all but the earliest place are marked.
-4. Marks meet the documents, and are joined to maximal spans there.
-
-An anchor with more than ``max_rows`` different contexts does not enter an
-index; its windows are grouped by MD5 with plain aggregates instead, so that
-no group is ever gathered in one task. Hashes of 114 bits stand for bytes in
-step 2 only.
+3. Their bytes (at most 168 a row) are fetched from the documents. The windows
+   of an anchor with more than ``max_rows`` of them are parted by how far they
+   begin before the anchor: those of the far half share more bytes on its
+   left, the others on its right. These bytes are their new, longer anchor,
+   and step 2 is done again with it, until an anchor is small enough. A row
+   has two parts at most; where every window is a part of its own, all of an
+   anchor are equal and step 2 settles it.
+4. Blocks of whole anchors get a run-length index (``runlength``):
+   Burrows-Wheeler runs with sampled ends, from which the matching statistics
+   are streamed; where they reach LENGTH, all but the earliest place are
+   marked. A block's suffix order (1 MB of text) is kept while it is read, as
+   the marks name every place of a match and not only the runs' ends.
+5. Marks meet the documents, and are joined to maximal spans there.
+
+Hashes of 113 bits stand for the bytes of windows in steps 2 and 3 only.
+
+A document is an id and a text. Ids with several texts (null is an id here)
+are found first; their texts are numbered by their SHA-256, and the number
+goes with the id. So no two documents are ever taken for one.
 
 Defined cases: a null text is empty; nulls among ids come last; rows that
 repeat an id and its text are one document and share the result; rows with
-one id and different texts are different documents, in order of a hash of
-the text. The id 2**63 - 1 is kept for null.
+one id and different texts are different documents, in order of their
+SHA-256. Only the id and the text are read, so other columns may have any
+names.
 """
 
 from __future__ import annotations
@@ -41,7 +51,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from billetic.llm._common import key_runs, stored
@@ -176,7 +186,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out(parts)
 
 
-_JUDGED = "d long, x int, kind int, s int, e int, h long"
+_JUDGED = "d long, x int, kind int, s int, e int, h long, p int"
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +237,7 @@ def _judged(marks: np.ndarray, reps: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(rows[:, 2]), pa.array((rows[:, 3] >> 32).astype(np.int32)), pa.array(kind),
          pa.array((place - low).astype(np.int32)), pa.array((place - high + LENGTH).astype(np.int32)),
-         pa.array(rows[:, 0])], names=["d", "x", "kind", "s", "e", "h"])
+         pa.array(rows[:, 0]), pa.array(place.astype(np.int32))], names=["d", "x", "kind", "s", "e", "h", "p"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +249,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for d, x, t, borders in zip(ids, hashes, texts, batch.column("borders").to_pylist(), strict=True):
             data = t.as_py()
             for b in borders:
-                out.append((b["h"], d, x << 32 | b["s"], data[b["s"]:b["e"]]))
+                out.append((b["h"], d, x << 32 | b["s"], b["p"] - b["s"], data[b["s"]:b["e"]]))
                 size += 1
             if size > 20_000:
                 yield _context_batch(out)
@@ -250,8 +260,59 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _context_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()),
-                                        strict=True)], names=["h", "d", "q", "bytes"])
+        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32(),
+                                                                  pa.binary()), strict=True)],
+        names=["h", "d", "q", "low", "bytes"])
+
+
+def _halves(level: int) -> list[tuple[int, int]]:
+    """The ranges of window starts before an anchor, after so many halvings."""
+    ranges = [(0, SPAN - 1)]
+    for _ in range(level):
+        ranges = [part for u, v in ranges
+                  for part in ([(u, (u + v) // 2), ((u + v) // 2 + 1, v)] if v > u else [(u, v)])]
+    return ranges
+
+
+def _parts(batch: pa.RecordBatch, level: int) -> Iterator[tuple]:
+    """(new anchor, hash of the bytes, d, place, start, low, bytes) of every
+    part of a batch of contexts."""
+    ranges = _halves(level)
+    for row in batch.to_pylist():
+        data, low = row["bytes"], row["low"]
+        high = low + LENGTH - len(data)         # its windows begin high to low bytes before the anchor
+        for u, v in ranges:
+            near, far = max(u, high), min(v, low)
+            if near > far:
+                continue
+            core = data[low - u:low + LENGTH - v]
+            name = hashlib.blake2b(core, digest_size=8, key=row["h"].to_bytes(8, "little", signed=True)
+                                   + bytes((level, u))).digest()
+            piece = data[low - far:low + LENGTH - near]
+            own = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little", signed=True)
+            yield (int.from_bytes(name, "little", signed=True), own & ~0x7FFF | far << 7 | near, row["d"],
+                   row["q"] + low, row["q"] + low - far, far, piece)
+
+
+def _part_rows(level: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [p[:4] for p in _parts(batch, level)]
+            if rows:
+                found = _settle(np.array(rows, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in range(4)], names=["h", "c", "d", "q"])
+
+    return run
+
+
+def _part_contexts(level: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(h, d, start, low, piece) for h, _, d, _, start, low, piece in _parts(batch, level)]
+            if rows:
+                yield _context_batch(rows)
+
+    return run
 
 
 def _index_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,20 +358,6 @@ def _marks(d: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
          pa.array(((q[last] & 0xFFFFFFFF) + LENGTH).astype(np.int32))], names=["d", "x", "s", "e"])
 
 
-def _wide_marks(contexts: DataFrame) -> DataFrame:
-    """Marks among the contexts of anchors that have too many for an index,
-    with a row for each window."""
-    offset = F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - LENGTH))
-    windows = contexts.select("d", "q", "bytes", offset.alias("o")).select(
-        F.md5(F.expr(f"substring(bytes, o + 1, {LENGTH})")).alias("w"),
-        F.struct("d", (F.col("q") + F.col("o")).alias("q")).alias("at"))
-    least = windows.groupBy("w").agg(F.min("at").alias("least"))
-    later = windows.join(least, "w").filter("at > least")
-    start = F.col("at.q").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    return later.select("at.d", F.shiftright("at.q", 32).cast("int").alias("x"), start.alias("s"),
-                        (start + LENGTH).alias("e"))
-
-
 def spans_of(marks: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Packed marks (start << 32 | end) -> maximal spans."""
     m = np.sort(np.array(marks, np.int64))
@@ -336,37 +383,72 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append((len(data), int((ends - starts).sum()), len(starts), keep.hexdigest(),
                         [{"start": a, "end": b} for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]))
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        cols = [batch.column("d")] + [pa.array(c, k) for c, k in zip(
+        cols = [batch.column("id")] + [pa.array(c, k) for c, k in zip(
             zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), span), strict=True)]
         if out:
             yield pa.RecordBatch.from_arrays(
-                cols, names=["d", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+                cols, names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+
+
+def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(d, x, id, text)``: ``d`` is the id, the greatest number for null;
+    ``x`` tells the texts of one ``d`` apart, in order."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).select(
+        F.coalesce("id", F.lit(NO_ID)).alias("d"), "id", "text",
+        F.concat(F.when(F.col("id").isNull(), "1").otherwise("0"),
+                 F.sha2(F.coalesce("text", F.lit("")), 256)).alias("hx"))
+    known = stored(rows.select("d", "hx").distinct(), "doctexts")
+    several = known.groupBy("d").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("d")
+    keys = known.join(several, "d", "left_semi").withColumn("part", F.substring("hx", 1, 4))
+    upto = Window.partitionBy("d").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = keys.groupBy("d", "part").agg(F.count(F.lit(1)).alias("n")).select(
+        "d", "part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("start"))
+    nth = F.row_number().over(Window.partitionBy("d", "part").orderBy("hx"))
+    numbered = stored(keys.join(starts, ["d", "part"]).select(
+        F.col("d").alias("n_d"), F.col("hx").alias("n_hx"), (F.col("start") + nth - 1).cast("int").alias("n_x")),
+        "numberedtexts")
+    return rows.join(numbered, (F.col("d") == F.col("n_d")) & (F.col("hx") == F.col("n_hx")), "left").select(
+        "d", F.coalesce("n_x", F.lit(0)).alias("x"), "id", "text")
+
+
+def _judged_rows(rows: DataFrame) -> DataFrame:
+    return stored(rows.repartition("h").sortWithinPartitions("h", "c", "d", "q").mapInArrow(_judge, _JUDGED), "judged")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 4000
                    ) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans)`` of every
     row; spans are byte offsets, ends exclusive."""
-    text = F.col(text_col)
-    keyed = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"),
-        F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("x"), text.alias("text"))
-    rows = keyed.mapInArrow(_anchor_rows, "h long, c long, d long, q long")
-    judged = stored(rows.repartition("h").sortWithinPartitions("h", "c", "d", "q").mapInArrow(_judge, _JUDGED),
-                    "judged")
-    borders = judged.filter("kind = 1")
-    wide = stored(borders.groupBy("h").count().filter(F.col("count") > max_rows).select("h"), "wideanchors")
-    lists = borders.groupBy("d", "x").agg(F.collect_list(F.struct("h", "s", "e")).alias("borders"))
-    contexts = keyed.join(lists, ["d", "x"]).mapInArrow(_contexts, "h long, d long, q long, bytes binary")
-    near = contexts.join(wide, "h", "left_anti").repartition("h").sortWithinPartitions("h")
-    marks = judged.filter("kind = 0").select("d", "x", "s", "e").union(
-        near.mapInArrow(_index_blocks, "d long, x int, s int, e int"))
-    if not wide.isEmpty():
-        marks = marks.union(_wide_marks(contexts.join(wide, "h", "left_semi")))
+    keyed = _documents(docs, id_col, text_col)
+    of_rows, of_contexts = "h long, c long, d long, q long", "h long, d long, q long, low int, bytes binary"
+    judged = _judged_rows(keyed.select("d", "x", "text").mapInArrow(_anchor_rows, of_rows))
+    found = [judged]
+    lists = judged.filter("kind = 1").groupBy("d", "x").agg(F.collect_list(F.struct("h", "s", "e", "p")).alias("borders"))
+    contexts = stored(keyed.select("d", "x", "text").join(lists, ["d", "x"]).mapInArrow(_contexts, of_contexts),
+                      "contexts")
+    marks = []
+    for level in range(1, SPAN):
+        wide = stored(contexts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(
+            F.col("n") > max_rows).select("h"), "wideanchors")
+        near = contexts.join(wide, "h", "left_anti").repartition("h").sortWithinPartitions("h")
+        marks.append(near.mapInArrow(_index_blocks, "d long, x int, s int, e int"))
+        if wide.isEmpty():
+            break
+        large = stored(contexts.join(wide, "h", "left_semi").select(*contexts.columns), "widecontexts")
+        judged = _judged_rows(large.mapInArrow(_part_rows(level), of_rows))
+        found.append(judged)
+        left = judged.filter("kind = 1").select(
+            "h", "d", F.shiftleft(F.col("x").cast("long"), 32).bitwiseOR(F.col("s").cast("long")).alias("q"))
+        contexts = stored(large.mapInArrow(_part_contexts(level), of_contexts).join(
+            left, ["h", "d", "q"], "left_semi").dropDuplicates(["h", "d", "q"]).select(*contexts.columns), "contexts")
+    for judged in found:
+        marks.append(judged.filter("kind = 0").select("d", "x", "s", "e"))
+    every = marks[0]
+    for more in marks[1:]:
+        every = every.union(more)
     packed = F.shiftleft(F.col("s").cast("long"), 32).bitwiseOR(F.col("e").cast("long"))
-    per_doc = marks.groupBy("d", "x").agg(F.collect_list(packed).alias("marks"))
-    done = keyed.join(per_doc, ["d", "x"], "left").select("d", "text", "marks").mapInArrow(
-        _digest, "d long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+    per_doc = every.groupBy("d", "x").agg(F.collect_list(packed).alias("marks"))
+    done = keyed.join(per_doc, ["d", "x"], "left").select("id", "text", "marks").mapInArrow(
+        _digest, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                  "spans array<struct<start:int,end:int>>")
-    return done.select(F.nullif("d", F.lit(NO_ID)).alias("doc_id"), "n_bytes", "n_removed", "n_spans",
-                       "kept_sha256", "spans")
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")

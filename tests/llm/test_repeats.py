@@ -11,9 +11,9 @@ from tests.llm.helpers import docs
 
 def brute(items):
     """items: (doc_id, text); equal rows are one document."""
-    order = sorted({(R.NO_ID if d is None else d, t or "") for d, t in items})
+    order = sorted({(d is None, d or 0, hashlib.sha256((t or "").encode()).hexdigest(), d, t or "") for d, t in items})
     seen, cover = {}, {}
-    for d, t in order:
+    for *_, d, t in order:
         data = t.encode()
         gone = np.zeros(len(data), bool)
         for i in range(len(data) - 99):
@@ -25,7 +25,7 @@ def brute(items):
         cover[d, t] = gone
     out = []
     for d, t in items:
-        gone = cover[R.NO_ID if d is None else d, t or ""]
+        gone = cover[d, t or ""]
         data = np.frombuffer((t or "").encode(), np.uint8)
         runs = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
         out.append((d, len(data), int(gone.sum()), runs, hashlib.sha256(data[~gone].tobytes()).hexdigest()))
@@ -64,6 +64,35 @@ def test_random_passages(spark, monkeypatch, max_rows):
     assert found(spark, items, max_rows=max_rows) == brute(items)
 
 
+def test_a_common_line_in_many_surroundings(spark):
+    """One anchor with many contexts, parted by longer ones; some share 100 bytes, most don't."""
+    rnd = random.Random(5)
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(85))
+    word = lambda n: "".join(rnd.choice("stuvwxyz") for _ in range(n))
+    tails = [word(30) for _ in range(4)]
+    items = [(i, word(90) + line + (rnd.choice(tails) if i % 3 == 0 else word(30)) + word(70)) for i in range(150)]
+    items += [(200 + i, (word(20) + line) * 3 + word(9)) for i in range(10)]
+    for max_rows in (4000, 30, 1):
+        assert found(spark, items, max_rows=max_rows) == brute(items)
+
+
+def test_texts_of_one_id_whose_hashes_clash(spark):
+    """Texts without an id, or of one id, that agree in 31 bits of the hash that once told them apart."""
+    import xxhash
+
+    rnd = random.Random(11)
+    seen, pair = {}, None
+    while pair is None:
+        t = f"{rnd.random()} " + "".join(rnd.choice("abcdefghij ") for _ in range(160))
+        pair = seen.setdefault(xxhash.xxh64_intdigest(t.encode(), 42) & 0x7FFFFFFF, t)
+        pair = (pair, t) if pair != t else None
+    a, b = pair
+    items = [(1, a), (None, a), (None, b), (9, b + "!"), (9, a + "?"), (9, a + "?"), ((1 << 63) - 1, b), (None, None)]
+    assert found(spark, items) == brute(items)
+    clean = [(None, a), (None, b), (5, a[::-1]), (5, b[::-1])]
+    assert all(r[2] == 0 for r in found(spark, clean)) and found(spark, clean) == brute(clean)
+
+
 def test_long_text_in_pieces(spark):
     rnd = random.Random(3)
     base = "".join(rnd.choice("abcd") for _ in range(R.PIECE + 5000))

@@ -7,6 +7,7 @@ from billetic.operators.aggregates import (
     last_seen_histogram,
     with_zero_rows,
 )
+from billetic.operators.asof import next_row_join
 from billetic.operators.filters import (
     day_range,
     lookback,
@@ -35,6 +36,7 @@ __all__ = [
     "first_per_group",
     "last_seen_histogram",
     "lookback",
+    "next_row_join",
     "on_day_set",
     "on_days",
     "shift_join",

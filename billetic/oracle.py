@@ -161,8 +161,8 @@ FROM (
     return body, [*_sources("sale_detail", "support", "sales"), _spine(as_of)]
 
 
-def active_clients(as_of: dt.date = SALES_AS_OF, kind: str = "b"):
-    """Days of registered cards' holders, by how many months they lie back."""
+def active_clients(as_of: dt.date = SALES_AS_OF, kind: str = "b", until: str = "DATE '9999-12-31'"):
+    """Days of registered cards' holders up to ``until``, by how many months they lie back."""
     back = f"{month_number('d')} - {month_number('day')}"
     body = f"""SELECT d AS DateOfExecution,
        count(DISTINCT CASE WHEN back <= 0 THEN who END) AS CurrentMonthActiveClients,
@@ -173,7 +173,7 @@ FROM (
   FROM spine
   LEFT JOIN (SELECT DISTINCT bd_linkedcustomer AS who, CAST(DTHR_OPERATION AS DATE) AS day
              FROM validation SEMI JOIN card ON card.bd_mobibnumber = validation.bd_mobibnumber) seen
-    ON day >= CAST(d - INTERVAL 12 MONTH AS DATE)) marked
+    ON day BETWEEN CAST(d - INTERVAL 12 MONTH AS DATE) AND {until}) marked
 GROUP BY d"""
     return body, [*_sources(f"validation_{kind}", "card"), _spine(as_of)]
 
@@ -288,6 +288,29 @@ JOIN (
     return body, [*_sources("sales", "validation_b"), _spine(as_of)]
 
 
+def purchase_to_first_validation_after(as_of: dt.date = SALES_AS_OF):
+    """For every month the dates lie in: latest purchase since its first day,
+    and the tap nearest after it."""
+    body = """SELECT DISTINCT CAST(buyer AS VARCHAR) AS bd_contact_linked, bd_articlelonglabel, bd_support_class,
+       CAST(bought AS DATE) AS max_transaction_date,
+       CAST(tapped AS DATE) AS first_validation_date_after_transaction,
+       CAST(CAST(tapped AS DATE) - CAST(bought AS DATE) AS INTEGER) AS Delai
+FROM (
+  SELECT since, bd_contact_linked AS buyer, bd_articlelonglabel, CAST(max(bd_transaction_date) AS TIMESTAMP) AS bought
+  FROM sales JOIN (SELECT DISTINCT CAST(date_trunc('month', d) AS DATE) AS since FROM spine) m
+    ON CAST(bd_transaction_date AS DATE) >= since
+  WHERE bd_contact_linked IS NOT NULL
+  GROUP BY ALL) purchase
+ASOF JOIN (
+  SELECT DISTINCT ON (bd_linkedcustomer, DTHR_OPERATION) bd_linkedcustomer AS rider,
+         CAST(DTHR_OPERATION AS TIMESTAMP) AS tapped, bd_support_class
+  FROM validation
+  WHERE bd_linkedcustomer IS NOT NULL
+  ORDER BY bd_linkedcustomer, DTHR_OPERATION, validation_id NULLS LAST, bd_support_class NULLS LAST) tap
+  ON rider = buyer AND bought <= tapped"""
+    return body, [*_sources("sales", "validation_b"), _spine(as_of)]
+
+
 def validations_by_age(as_of: dt.date = EVENTS_AS_OF, start: dt.date = dt.date(2023, 1, 1), kind: str = "a"):
     """Age in the year of the day before the run."""
     body = f"""SELECT day AS Date_de_validation, product AS Type_abonnement, class AS Type_support,
@@ -473,6 +496,11 @@ BUILDERS = {
     "validation_counts_yoy_leap_lookup": lambda: validation_counts_yoy(LEAP_LOOKUP_AS_OF),
     "validation_counts_yoy_leap_window": lambda: validation_counts_yoy(LEAP_WINDOW_AS_OF),
     "clients_by_line_future_births": lambda: clients_by_line(SALES_AS_OF, "b"),
+    "active_clients_capped": lambda: active_clients(until="d"),
+    "active_clients_capped_dense": lambda: active_clients(EVENTS_AS_OF, "a", "d"),
+    "purchase_to_first_validation_after": purchase_to_first_validation_after,
+    "purchase_to_first_validation_after_two_months": lambda: purchase_to_first_validation_after(MONTH_START_AS_OF),
+    "validations_by_age_kept": validations_by_age,
     "validations_by_age_future_births":
         lambda: validations_by_age(SALES_AS_OF, dt.date(2001, 1, 1), "b"),
     "avg_weekly_validations_old_accounts": lambda: avg_weekly_validations(OLD_ACCOUNTS_AS_OF, 0),

@@ -52,7 +52,8 @@ LAST_MONTH = "LastMonthActiveClients"
 LAST_YEAR = "LastYearSameMonthActiveClients"
 
 
-def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow) -> DataFrame:
+def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow,
+                   cap_at_date: bool = False) -> DataFrame:
     """Per execution date d, distinct customers (card in the register,
     day >= d - 12 months) active in d's month from its first day on (no
     upper bound), in the previous month, and in the same month last year
@@ -64,7 +65,10 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
     "active on or after lo" is "latest day overall >= lo", so one small
     histogram of latest days (days x months rows at most) meets the broadcast
     dates once and answers all three counts; the taps are never copied per
-    execution date. A customer holding a third of all taps is one row per
+    execution date. With ``cap_at_date`` days after d do not count: a customer
+    is active in d's month if the first day in that month is on or before d,
+    so a histogram of first days takes the place of the latest days overall
+    (the other two periods end before d anyway). A customer holding a third of all taps is one row per
     map task after the first partial aggregate.
     """
     spark = validations.sparkSession
@@ -72,7 +76,7 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
     v = v.filter(F.col(CUSTOMER).isNotNull()).select(
         CARD, CUSTOMER, to_day(TS).alias("_day")
     ).withColumn("_month", F.trunc("_day", "MM"))
-    per_card = v.groupBy(CARD, CUSTOMER, "_month").agg(F.max("_day").alias("_last"))
+    per_card = v.groupBy(CARD, CUSTOMER, "_month").agg(F.max("_day").alias("_last"), F.min("_day").alias("_first"))
     # ``IN (SELECT DISTINCT card)`` as an inner join with the plain register:
     # Catalyst would push a semi-join below the aggregate onto raw taps; the
     # inner join stays on the reduced rows, so a register too big to broadcast
@@ -80,21 +84,29 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow)
     # twice repeats rows that the max absorbs; without a distinct() between
     # the exchange and the join, AQE can split a card of very many customers.
     known = per_card.join(cards.select(CARD), CARD)
-    per_month = known.groupBy(CUSTOMER, "_month").agg(F.max("_last").alias("_last"))
+    per_month = known.groupBy(CUSTOMER, "_month").agg(
+        F.max("_last").alias("_last"), F.min("_first").alias("_first"))
 
-    # One small histogram, tagged: the latest day overall per customer
-    # ("_month" NULL), and the latest day within each month.
-    overall = per_month.groupBy(CUSTOMER).agg(F.max("_last").alias("_last")).select(
-        F.lit(None).cast("date").alias("_month"), "_last"
-    )
-    hist = overall.unionByName(per_month.select("_month", "_last")).groupBy(
-        "_month", "_last"
+    # One small histogram, tagged: the latest day within each month, and either
+    # the latest day overall per customer ("_month" NULL) or, capped, the first
+    # day within each month.
+    none = F.lit(None).cast("date")
+    if cap_at_date:
+        other = per_month.select("_month", none.alias("_last"), "_first")
+    else:
+        other = per_month.groupBy(CUSTOMER).agg(F.max("_last").alias("_last")).select(
+            none.alias("_month"), "_last", none.alias("_first"))
+    hist = other.unionByName(per_month.select("_month", "_last", none.alias("_first"))).groupBy(
+        "_month", "_last", "_first"
     ).agg(F.count(F.lit(1)).alias("n"))
 
     spine = with_period_bounds(date_spine(spark, window))
     m, last = F.col("_month"), F.col("_last")
-    is_cur = m.isNull() & (last >= F.col(MONTH_START))
-    is_last = m == F.col(LAST_MONTH_START)
+    if cap_at_date:
+        is_cur = (m == F.col(MONTH_START)) & (F.col("_first") <= F.col("d"))
+    else:
+        is_cur = m.isNull() & (last >= F.col(MONTH_START))
+    is_last = (m == F.col(LAST_MONTH_START)) & last.isNotNull()
     is_last_year = (m == F.col(LAST_YEAR_START)) & (last >= F.col(TWELVE_MONTHS_AGO))
     joined = spine_join(hist, spine, is_cur | is_last | is_last_year)
     counts = joined.groupBy("d").agg(

@@ -106,9 +106,9 @@ def q_title_sales_by_support(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     return title_sales_by_support(s.sale_detail(), s.support(), s.sales(), _w(as_of, window))
 
 
-def q_active_clients(spark, sf_dir, as_of=SALES_AS_OF, kind="b", window=None):
+def q_active_clients(spark, sf_dir, as_of=SALES_AS_OF, kind="b", window=None, cap_at_date=False):
     s = _src(spark, sf_dir, kind)
-    return active_clients(s.validation(), s.card(), _w(as_of, window))
+    return active_clients(s.validation(), s.card(), _w(as_of, window), cap_at_date)
 
 
 def q_active_contract_clients(spark, sf_dir, as_of=SALES_AS_OF, window=None):
@@ -130,9 +130,9 @@ def q_total_clients(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     return total_clients(_src(spark, sf_dir).sales(), _w(as_of, window))
 
 
-def q_purchase_to_validation_delay(spark, sf_dir, as_of=SALES_AS_OF, window=None):
+def q_purchase_to_validation_delay(spark, sf_dir, as_of=SALES_AS_OF, window=None, first_after=False):
     s = _src(spark, sf_dir, "b")
-    return purchase_to_validation_delay(s.sales(), s.validation(), _w(as_of, window))
+    return purchase_to_validation_delay(s.sales(), s.validation(), _w(as_of, window), first_after=first_after)
 
 
 def q_validations_by_age(spark, sf_dir, as_of=EVENTS_AS_OF, start=HISTORY_START, kind="a"):
@@ -392,6 +392,16 @@ def q_stored_update(spark, sf_dir, as_of=SALES_AS_OF):
     return read_target(spark, path, VALIDATION_COUNTS)
 
 
+def q_validations_by_age_kept(spark, sf_dir, as_of=EVENTS_AS_OF):
+    """J8 from its kept state: the days before the window counted by one run,
+    the window's days by the next, which reads no others."""
+    from billetic.streaming.refresh import refresh_by_age
+
+    path, src = _path(spark, "byage"), _src(spark, sf_dir, "a")
+    refresh_by_age(spark, src, as_of - dt.timedelta(days=8), path)
+    return refresh_by_age(spark, src, as_of, path)
+
+
 def q_stored_delete(spark, sf_dir):
     """M4 on storage: all of J5's rows written, those below 4 deleted."""
     path = _path(spark, "delete")
@@ -424,6 +434,14 @@ QUERIES: dict[str, Query] = {
         lambda sp, d: q_validation_counts_yoy(sp, d, LEAP_LOOKUP_AS_OF),
     "validation_counts_yoy_leap_window":
         lambda sp, d: q_validation_counts_yoy(sp, d, LEAP_WINDOW_AS_OF),
+    # options of the jobs
+    "active_clients_capped": lambda sp, d: q_active_clients(sp, d, cap_at_date=True),
+    "active_clients_capped_dense": lambda sp, d: q_active_clients(sp, d, EVENTS_AS_OF, "a", cap_at_date=True),
+    "purchase_to_first_validation_after":
+        lambda sp, d: q_purchase_to_validation_delay(sp, d, first_after=True),
+    "purchase_to_first_validation_after_two_months":
+        lambda sp, d: q_purchase_to_validation_delay(sp, d, MONTH_START_AS_OF, first_after=True),
+    "validations_by_age_kept": q_validations_by_age_kept,
     # births after the run: negative ages, where the band variants differ
     "clients_by_line_future_births": lambda sp, d: q_clients_by_line(sp, d, SALES_AS_OF, "b"),
     "validations_by_age_future_births":

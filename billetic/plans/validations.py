@@ -16,6 +16,7 @@ from billetic.operators import (
     date_spine,
     day_range,
     first_per_group,
+    next_row_join,
     on_day_set,
     on_days,
     shift_join,
@@ -23,6 +24,7 @@ from billetic.operators import (
 )
 from billetic.operators.window import first_of_month
 from billetic.sources.targets import (
+    BY_BIRTH_YEAR,
     PURCHASE_DELAY,
     VALIDATION_COUNTS,
     VALIDATION_RATE,
@@ -47,7 +49,8 @@ def _passes(month_col: str, months: list[dt.date]) -> F.Column:
 
 
 def purchase_to_validation_delay(
-    sales: DataFrame, validations: DataFrame, window: DateWindow, copies: bool = False
+    sales: DataFrame, validations: DataFrame, window: DateWindow, copies: bool = False,
+    first_after: bool = False,
 ) -> DataFrame:
     """For each month start M of the window (one pass per month, as the
     reference's per-date loop only depends on the month): each contact's
@@ -57,6 +60,11 @@ def purchase_to_validation_delay(
     ``distinct``. ``copies=True`` gives the reference's literal output
     instead: one copy of a month's rows per execution date in that month.
 
+    ``first_after=True`` takes the contact's first validation at or after the
+    purchase instead of the first of the month, so that a customer who also
+    tapped earlier in the month is not dropped (``next_row_join``: one sort per
+    customer and day, borders carried between days).
+
     Sales and taps are first reduced by calendar month (the last purchase, the
     first tap of each); only the reduced rows are copied to the passes and
     reduced again, so a backfill of a year copies no fact row.
@@ -83,6 +91,11 @@ def purchase_to_validation_delay(
     v = v.filter(F.col(CUSTOMER).isNotNull()).withColumn("_month", F.trunc(TS, "MM"))
     earliest = [F.col(TS).asc(), F.col("validation_id").asc_nulls_last(),
                 F.col("bd_support_class").asc_nulls_last()]
+    if first_after:
+        pairs = next_row_join(
+            last_tx.withColumnRenamed("bd_contact_linked", CUSTOMER), v, [CUSTOMER], "_max_tx", TS,
+            ties=["validation_id", "bd_support_class"])
+        return _delays(pairs.withColumnRenamed(CUSTOMER, "bd_contact_linked"), window, months, copies)
     per_month = first_per_group(v, [CUSTOMER, "_month"], earliest)
     first = first_per_group(
         per_month.select(TS, CUSTOMER, "validation_id", "bd_support_class",
@@ -92,6 +105,11 @@ def purchase_to_validation_delay(
         first,
         (F.col("_pass") == F.col("_vpass")) & (F.col("bd_contact_linked") == F.col(CUSTOMER)),
     ).filter(F.col(TS) >= F.col("_max_tx"))
+    return _delays(joined, window, months, copies)
+
+
+def _delays(joined: DataFrame, window: DateWindow, months: list[dt.date], copies: bool) -> DataFrame:
+    """The report's rows from (pass, contact, article, purchase, tap)."""
     out = joined.select(
         "_pass",
         F.col("bd_contact_linked").cast("string").alias("bd_contact_linked"),
@@ -114,6 +132,31 @@ def purchase_to_validation_delay(
     return conform(out, PURCHASE_DELAY)
 
 
+def validations_by_birth_year(
+    validations: DataFrame, contact: DataFrame, start: dt.date, end: dt.date
+) -> DataFrame:
+    """J8's exact counts per day from ``start`` up to (not including)
+    ``end``, with the birth year in place of the age: rows of one day depend
+    on that day's taps only and never change as time goes on, so they can be
+    kept (``BY_BIRTH_YEAR``) and aged when they are read."""
+    v = day_range(validations.select(TS, PRODUCT, "bd_support_class", CUSTOMER, "validation_id"), TS, start, end)
+    j = v.join(contact.select("Id", F.year("birthdate").alias("Annee_naissance")), F.col(CUSTOMER) == F.col("Id"))
+    agg = j.groupBy(
+        to_day(TS).alias("Date_de_validation"),
+        F.col(PRODUCT).alias("Type_abonnement"),
+        F.col("bd_support_class").alias("Type_support"),
+        "Annee_naissance",
+    ).agg(F.countDistinct("validation_id").alias("Nombre_de_validation"))
+    return conform(agg, BY_BIRTH_YEAR)
+
+
+def aged(by_birth_year: DataFrame, as_of: dt.date) -> DataFrame:
+    """J8's rows from counts by birth year, for a run at ``as_of``."""
+    age = F.lit(first_of_month(as_of - dt.timedelta(days=1)).year) - F.col("Annee_naissance")
+    out = by_birth_year.select("*", age.alias("Age"), age_band(age).alias("Categorie_age"))
+    return conform(out, VALIDATIONS_BY_AGE)
+
+
 def validations_by_age(
     validations: DataFrame, contact: DataFrame, as_of: dt.date, start: dt.date = HISTORY_START
 ) -> DataFrame:
@@ -122,23 +165,10 @@ def validations_by_age(
     year, for all history) and band (variant A): distinct validations of
     known clients. Exact distinct count: Spark aggregates (keys, id) first,
     so a hot group is spread over tasks by id."""
-    today = as_of - dt.timedelta(days=1)
-    v = day_range(validations.select(TS, PRODUCT, "bd_support_class", CUSTOMER, "validation_id"),
-                  TS, start, today + dt.timedelta(days=1))
-    j = v.join(contact.select("Id", F.year("birthdate").alias("_birth_year")),
-               F.col(CUSTOMER) == F.col("Id"))
     # Age and band are a one-to-one function of the birth year within a run
     # (NULL <-> NULL), so the distinct count is grouped by the year (one int
     # per shuffled row) and age and band are derived from the aggregate.
-    agg = j.groupBy(
-        to_day(TS).alias("Date_de_validation"),
-        F.col(PRODUCT).alias("Type_abonnement"),
-        F.col("bd_support_class").alias("Type_support"),
-        "_birth_year",
-    ).agg(F.countDistinct("validation_id").alias("Nombre_de_validation"))
-    age = F.lit(first_of_month(today).year) - F.col("_birth_year")
-    out = agg.select("*", age.alias("Age"), age_band(age).alias("Categorie_age"))
-    return conform(out, VALIDATIONS_BY_AGE)
+    return aged(validations_by_birth_year(validations, contact, start, as_of), as_of)
 
 
 def validation_counts_yoy(validations: DataFrame, window: DateWindow) -> DataFrame:

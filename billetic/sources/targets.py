@@ -92,6 +92,13 @@ VALIDATIONS_BY_AGE = Target(
             ("Nombre_de_validation", "int")),
     "Date_de_validation",
 )
+# J8's kept state: its counts with the birth year in place of the age.
+BY_BIRTH_YEAR = Target(
+    "etat_ValidationClient",
+    _schema(("Date_de_validation", "date"), ("Type_abonnement", "string"), ("Type_support", "string"),
+            ("Annee_naissance", "int"), ("Nombre_de_validation", "int")),
+    "Date_de_validation",
+)
 VALIDATION_COUNTS = Target(
     "pbi_ValidationCounts",
     _schema(("Date_de_validation", "date"), ("Type_abonnement", "string"),

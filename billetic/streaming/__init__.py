@@ -1,6 +1,6 @@
 """Trailing-window refresh (the reference's late-data mechanism): recompute
 the last execution dates in one job and write them repeatably."""
 
-from billetic.streaming.refresh import JOBS, refresh, refresh_all, replace_from
+from billetic.streaming.refresh import JOBS, refresh, refresh_all, refresh_by_age, replace_from
 
-__all__ = ["JOBS", "refresh", "refresh_all", "replace_from"]
+__all__ = ["JOBS", "refresh", "refresh_all", "refresh_by_age", "replace_from"]

@@ -9,7 +9,8 @@ writes it so that running twice gives the same table:
 * most jobs replace exactly the dates they computed (M6);
 * J1 merges into its dates by key (M1, the reference's MERGE);
 * J5 truncates and reloads (M5, as the reference does);
-* J8 recomputes its whole history, so it overwrites (M5);
+* J8 recomputes its whole history, so it overwrites (M5); ``refresh_by_age``
+  keeps its daily counts instead and reads the window's days only;
 * J7 has no execution date; its rows are re-derived for every purchase
   date from the window's first month on, so those dates are reloaded as a
   whole (older dates are kept, and not rewritten).
@@ -127,6 +128,37 @@ def refresh(
     return read_target(spark, path, job.target)
 
 
+def refresh_by_age(spark: SparkSession, sources, as_of: dt.date, path: str, start_back: int = 8) -> DataFrame:
+    """J8 from its kept state at ``path``: exact counts per day and birth
+    year. The first run counts all days since ``HISTORY_START``; a later one
+    reads the taps of its window's days only and replaces these days (one
+    that lost its taps is emptied). Returns J8's rows for ``as_of``: the
+    state's days before it, aged now.
+
+    A day's counts keep the birth years the contacts had when it was counted;
+    an empty ``path`` counts all again. Runs go forward in time: days that
+    were skipped between two runs are counted with the later one. A run for a
+    date long past recounts only its own window."""
+    kept = not _is_new(spark, path)
+    ensure_target(spark, path, T.BY_BIRTH_YEAR)
+    start = validations.HISTORY_START
+    if kept:
+        state = read_target(spark, path, T.BY_BIRTH_YEAR)
+        last = state.agg(F.max("Date_de_validation")).first()[0]
+        start = as_of - dt.timedelta(days=start_back)
+        start = max(validations.HISTORY_START, min(start, last + dt.timedelta(days=1)) if last else validations.HISTORY_START)
+    days = [start + dt.timedelta(days=k) for k in range((as_of - start).days)]
+    counts = validations.validations_by_birth_year(sources.validation(), sources.contact(), start, as_of)
+    write_target(counts, path, T.BY_BIRTH_YEAR, REPLACE_DATES, dates=days if kept else None)
+    state = read_target(spark, path, T.BY_BIRTH_YEAR).filter(F.col("Date_de_validation") < F.lit(as_of))
+    return validations.aged(state, as_of)
+
+
+def _is_new(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def refresh_all(spark: SparkSession, sources, as_of: dt.date, root: str) -> None:
     """All eleven jobs, each into ``root/<target name>``."""
     for name, job in JOBS.items():

@@ -5,8 +5,8 @@ ranks on its own. So a pre-token's ids don't depend on where it stands:
 
 1. Blocks of whole documents (``BLOCK`` bytes of text; a longer document is a
    block of its own) are exploded into pre-tokens with positions. A block
-   keeps each distinct word once; its positions are the numbers of the words
-   in text order.
+   keeps each distinct word once; its positions are the words' ranks by
+   frequency, in text order.
 2. The blocks' words are shuffled by a hash of the word, so all places of a
    word meet in one bucket and it is encoded once. A word that is in every
    text is one entry a block. Beyond ``GROUP`` bytes of text, blocks are dealt
@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from billetic.llm._common import scratch
 
@@ -72,6 +72,48 @@ def unpack(data: bytes) -> np.ndarray:
     return planes.reshape(4, n).T.copy().view("<u4").ravel()
 
 
+def _zipped(data: np.ndarray) -> bytes:
+    small = pa.compress(data.tobytes(), "zstd", asbytes=True)
+    return len(data).to_bytes(8, "little") + len(small).to_bytes(8, "little") + small
+
+
+def pack_ranks(ranks: np.ndarray) -> bytes:
+    """Ranks by frequency: one byte for the first 192, two for the next
+    16,128, and the rest beside them."""
+    more = ranks[ranks >= 192].astype(np.int64) - 192
+    low = np.where(ranks < 192, ranks, 0).astype(np.uint8)
+    low[ranks >= 192] = 192 + np.minimum(more >> 8, 63)
+    return _zipped(low) + _zipped((more & 255).astype(np.uint8)) + pack((more >> 8)[more >> 8 >= 63] - 63)
+
+
+def unpack_ranks(data: bytes) -> np.ndarray:
+    at, parts = 0, []
+    for _ in range(2):
+        n, size = (int.from_bytes(data[at + k:at + k + 8], "little") for k in (0, 8))
+        parts.append(np.frombuffer(pa.decompress(data[at + 16:at + 16 + size], n, "zstd", asbytes=True), np.uint8))
+        at += 16 + size
+    out = parts[0].astype(np.int64)
+    more = out[out >= 192] - 192
+    more[more == 63] += unpack(data[at:])
+    out[out >= 192] = 192 + (more << 8) + parts[1]
+    return out
+
+
+def pack_words(words: list[bytes]) -> bytes:
+    """Words, of which neighbours are alike if they are sorted, in few bytes."""
+    lens = pack(np.fromiter(map(len, words), np.uint32, len(words)))
+    data = b"".join(words)
+    return b"".join((len(lens).to_bytes(8, "little"), len(data).to_bytes(8, "little"), lens,
+                     pa.Codec("zstd", compression_level=9).compress(data, asbytes=True)))
+
+
+def unpack_words(packed: bytes) -> list[bytes]:
+    at, size = 16 + int.from_bytes(packed[:8], "little"), int.from_bytes(packed[8:16], "little")
+    ends = np.cumsum(unpack(packed[16:at]), dtype=np.int64).tolist()
+    data = pa.decompress(packed[at:], size, "zstd", asbytes=True)
+    return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The stretches ``flat[start:start + len]``, one after the other."""
     total = int(lens.sum())
@@ -96,24 +138,26 @@ def _explode(pattern: str, buckets: int, block_bytes: int, id_type: pa.DataType)
         number, ids, places, size = _Numbers(), [], [], 0
 
         def finish():
-            words = list(number)
-            bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
-            order = np.argsort(bucket, kind="stable")
-            place_of = np.empty(len(words), np.uint32)
-            place_of[order] = np.arange(len(words))
+            words = [w.encode() for w in number]
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+            order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+            order = order[np.argsort(bucket[order], kind="stable")]
+            seq = np.concatenate(places) if places else np.empty(0, np.uint32)
+            rank = np.empty(len(words), np.uint32)
+            rank[np.argsort(-np.bincount(seq, minlength=len(words)), kind="stable")] = np.arange(len(words))
             used, starts = np.unique(bucket[order], return_index=True)
             ends = np.append(starts, len(words))[1:]
             block = task << 32 | made
             rows = len(used) + 1
-            seq = place_of[np.concatenate(places)] if places else place_of[:0]
             return pa.RecordBatch.from_arrays([
                 pa.array([block] * rows, pa.int64()), pa.array([-1, *used.tolist()], pa.int32()),
-                pa.array([None, *([words[i] for i in order[a:b]] for a, b in zip(starts, ends, strict=True))],
-                         pa.list_(pa.string())),
+                pa.array([None, *(pack_words([words[i] for i in order[a:b].tolist()])
+                                  for a, b in zip(starts, ends, strict=True))], pa.binary()),
                 pa.array([ids] + [None] * len(used), pa.list_(id_type)),
                 pa.array([pack(np.array([len(p) for p in places]))] + [None] * len(used), pa.binary()),
-                pa.array([pack(seq)] + [None] * len(used), pa.binary()),
-            ], names=["block", "bucket", "words", "ids", "sizes", "places"])
+                pa.array([pack_ranks(rank[seq])] + [None] * len(used), pa.binary()),
+                pa.array([pack(rank[order])] + [None] * len(used), pa.binary()),
+            ], names=["block", "bucket", "words", "ids", "sizes", "places", "ranks"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -142,7 +186,7 @@ def _encode_words(ranks: dict[bytes, int]):
 
         class Ids(dict):
             def __missing__(self, word):
-                self[word] = found = np.array(piece(word.encode()), np.uint32)
+                self[word] = found = np.array(piece(word), np.uint32)
                 return found
 
         known, deal = Ids(), None
@@ -151,7 +195,7 @@ def _encode_words(ranks: dict[bytes, int]):
             for row in batch.to_pylist():
                 if row["deal"] != deal:
                     known, deal = Ids(), row["deal"]
-                found = list(map(known.__getitem__, row["words"]))
+                found = list(map(known.__getitem__, unpack_words(row["words"])))
                 rows.append((row["block"], row["bucket"], pack(np.fromiter(map(len, found), np.uint32, len(found))),
                              pack(np.concatenate(found))))
             if rows:
@@ -164,11 +208,14 @@ def _encode_words(ranks: dict[bytes, int]):
 
 
 def _assemble(id_type: pa.DataType):
-    def docs_of(ids, sizes, places, lens, tokens):
+    def docs_of(ids, sizes, places, ranks, lens, tokens):
         lens = np.concatenate([unpack(x) for x in lens]).astype(np.int64) if lens else np.empty(0, np.int64)
         flat = np.concatenate([unpack(x) for x in tokens]) if tokens else np.empty(0, np.uint32)
-        starts = np.cumsum(lens) - lens
-        seq, at = unpack(places), 0
+        # the block's words come in bucket order, its positions name them by rank
+        word_of = np.empty(len(lens), np.int64)
+        word_of[unpack(ranks)] = np.arange(len(lens))
+        lens, starts = lens[word_of], (np.cumsum(lens) - lens)[word_of]
+        seq, at = unpack_ranks(places), 0
         out, held = [], 0
         for doc_id, n in zip(ids, unpack(sizes).tolist(), strict=True):
             parts = []
@@ -179,7 +226,7 @@ def _assemble(id_type: pa.DataType):
             data = parts[0] if len(parts) == 1 else b"".join(parts)
             out.append((doc_id, len(data) // 4, data))
             held += len(data)
-            if held > 16 << 20:
+            if held > 4 << 20:
                 yield batch_of(out)
                 out, held = [], 0
         if out:
@@ -200,7 +247,7 @@ def _assemble(id_type: pa.DataType):
                         yield from docs_of(*head, lens, tokens)
                     block, head, lens, tokens = row["block"], None, [], []
                 if row["bucket"] < 0:
-                    head = row["ids"], row["sizes"], row["places"]
+                    head = row["ids"], row["sizes"], row["places"], row["ranks"]
                 else:
                     lens.append(row["lens"])
                     tokens.append(row["tokens"])
@@ -211,8 +258,9 @@ def _assemble(id_type: pa.DataType):
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = BLOCK) -> DataFrame:
-    """``(doc_id, n_tokens, ids)`` of every row."""
+           block_bytes: int = BLOCK, decoded: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, ids)`` of every row; with ``decoded``, also the
+    bytes that ``decode`` makes of the ids, while they are at hand."""
     spark = docs.sparkSession
     ranks = load_ranks(vocabulary)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -225,8 +273,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     path = scratch(spark, "pretokens")
     schema = StructType([
         StructField("block", LongType()), StructField("bucket", IntegerType()),
-        StructField("words", ArrayType(StringType())), StructField("ids", ArrayType(id_type)),
-        StructField("sizes", BinaryType()), StructField("places", BinaryType())])
+        StructField("words", BinaryType()), StructField("ids", ArrayType(id_type)),
+        StructField("sizes", BinaryType()), StructField("places", BinaryType()), StructField("ranks", BinaryType())])
     rows.mapInArrow(_explode(pattern, buckets, block_bytes, arrow_id), schema).write.option(
         "compression", "zstd").parquet(path)
     blocks = spark.read.schema(schema).parquet(path)
@@ -235,11 +283,20 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     words = blocks.filter("bucket >= 0").select("block", "bucket", "words", deal.alias("deal"))
     coded = words.repartition("deal").sortWithinPartitions("deal").mapInArrow(
         _encode_words(ranks), "block long, bucket int, lens binary, tokens binary")
-    heads = blocks.filter("bucket < 0").select("block", "bucket", "ids", "sizes", "places")
+    heads = blocks.filter("bucket < 0").select("block", "bucket", "ids", "sizes", "places", "ranks")
     whole = heads.unionByName(coded, allowMissingColumns=True)
     out = StructType([StructField("doc_id", id_type), StructField("n_tokens", LongType()),
                       StructField("ids", BinaryType())])
-    return whole.repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(_assemble(arrow_id), out)
+    assemble = _assemble(arrow_id)
+    if decoded:
+        decoder = _decoder(ranks)
+        out.add("decoded", BinaryType())
+
+        def last(batches):
+            return decoder(assemble(batches))
+    else:
+        last = assemble
+    return whole.repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(last, out)
 
 
 def _decoder(ranks: dict[bytes, int]):

@@ -99,8 +99,8 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
-    return bpe.decode(coded, vocabulary).select(
+    coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, decoded=True)
+    return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -72,6 +72,12 @@ def test_decode_refuses_unknown_ids(spark):
 def test_packing():
     for a in ([], [0], [2 ** 32 - 1, 0, 5], list(range(1000))):
         assert bpe.unpack(bpe.pack(np.array(a, np.uint64))).tolist() == a
+    rnd = np.random.default_rng(1)
+    for a in ([], [0], [191, 192, 447, 448, 16_319, 16_320, 10 ** 6], rnd.zipf(1.2, 5000).clip(0, 2 ** 31)):
+        a = np.array(a, np.uint32)
+        assert (bpe.unpack_ranks(bpe.pack_ranks(a)) == a).all()
+    for words in ([], [b""], [b"a", b"", b"bc\0", b"x" * 70_000]):
+        assert bpe.unpack_words(bpe.pack_words(words)) == words
 
 
 def test_each_word_is_encoded_once(spark):
@@ -80,11 +86,13 @@ def test_each_word_is_encoded_once(spark):
     rows = docs(spark, [(i, f"alpha beta w{i % 50}") for i in range(400)]).select("doc_id", "text").repartition(6)
     import pyarrow as pa
 
-    schema = "block long, bucket int, words array<string>, ids array<long>, sizes binary, places binary"
+    schema = "block long, bucket int, words binary, ids array<long>, sizes binary, places binary, ranks binary"
     for r in rows.mapInArrow(bpe._explode(public_tokenizers.PATTERN, 64, 50, pa.int64()), schema).collect():
-        for w in r.words or []:
+        words = bpe.unpack_words(bytes(r.words)) if r.words else []
+        assert words == sorted(set(words))
+        for w in words:
             assert seen.setdefault(w, r.bucket) == r.bucket
-    assert {"alpha", " beta"} < set(seen)
+    assert {b"alpha", b" beta"} < set(seen)
 
 
 def test_query(spark, library):

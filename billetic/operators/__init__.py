@@ -10,11 +10,13 @@ from billetic.operators.aggregates import (
 from billetic.operators.asof import next_row_join
 from billetic.operators.filters import (
     day_range,
+    in_key_range,
     lookback,
     on_day_set,
     on_days,
     since_account_start,
 )
+from billetic.operators.intervals import covered_months, interval_join
 from billetic.operators.joins import shift_join, spine_join
 from billetic.operators.ranking import first_per_group
 from billetic.operators.window import (
@@ -31,9 +33,12 @@ __all__ = [
     "broadcast_spine",
     "conditional_distinct",
     "count_at_least",
+    "covered_months",
     "date_spine",
     "day_range",
     "first_per_group",
+    "in_key_range",
+    "interval_join",
     "last_seen_histogram",
     "lookback",
     "next_row_join",

@@ -79,3 +79,12 @@ def since_account_start(day, created, bound) -> Column:
     """
     c, b = as_col(created), as_col(bound)
     return as_col(day) >= F.when(c < b, b).otherwise(c)
+
+
+def in_key_range(df: DataFrame, col: str, keys: DataFrame) -> DataFrame:
+    """Rows whose ``col`` lies between the least and the greatest ``col`` of
+    ``keys`` (both kept), as literals that reach the scan: files and row
+    groups outside the range are skipped. One small job reads ``keys`` (pass
+    stored ones); two values reach the driver. No keys: no rows."""
+    lo, hi = keys.agg(F.min(col), F.max(col)).first()
+    return df.filter(F.lit(False) if lo is None else F.col(col).between(F.lit(lo), F.lit(hi)))

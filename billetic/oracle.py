@@ -501,6 +501,7 @@ BUILDERS = {
     "purchase_to_first_validation_after": purchase_to_first_validation_after,
     "purchase_to_first_validation_after_two_months": lambda: purchase_to_first_validation_after(MONTH_START_AS_OF),
     "validations_by_age_kept": validations_by_age,
+    "title_sales_colocated": title_sales_by_support,
     "validations_by_age_future_births":
         lambda: validations_by_age(SALES_AS_OF, dt.date(2001, 1, 1), "b"),
     "avg_weekly_validations_old_accounts": lambda: avg_weekly_validations(OLD_ACCOUNTS_AS_OF, 0),

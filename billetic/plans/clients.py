@@ -17,7 +17,6 @@ from billetic.functions.labels import (
 )
 from billetic.operators import (
     DateWindow,
-    count_at_least,
     date_spine,
     day_range,
     lookback,
@@ -27,12 +26,14 @@ from billetic.operators import (
     with_period_bounds,
     with_zero_rows,
 )
+from billetic.operators.intervals import covered_months, interval_join, month_number
 from billetic.operators.window import (
     LAST_MONTH_START,
     LAST_YEAR_START,
     MONTH_START,
     TWELVE_MONTHS_AGO,
     add_months,
+    broadcast_spine,
 )
 from billetic.sources.sinks import delete_where
 from billetic.sources.targets import (
@@ -119,38 +120,41 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow,
 
 # J3's periods, and by how many months each lies before the run's month.
 PERIODS = {"cur": 0, "last": 1, "last_year": 12}
+COVERS, ANY = "covers", "any"
 
 
-def _latest_covering_starts(
-    sale_detail: DataFrame, article: DataFrame, window: DateWindow
+def _contract_spans(
+    sale_detail: DataFrame, article: DataFrame, window: DateWindow, first: int, last: int
 ) -> DataFrame:
-    """``(contact, product, _month, _period, _start)``: the latest contract
-    start that covers the period of the window's month, and with period "any"
-    (and no month) the latest start at all.
-
-    A contract is copied to the months it covers, of those that are a period
-    of some month of the window (3 a month; for 8 dates at most 3 or 4 copies),
-    and the copies are reduced to one row per key before the only shuffle."""
-    months = window.month_starts()
-    wanted = sorted({add_months(m, -back) for m in months for back in PERIODS.values()})
+    """``(contact, product, _from, _to, _start)``: per contact, product and
+    span of whole months covered between the months ``first`` and ``last``,
+    the latest contract start (NULL span: covers none of them)."""
     sd = sale_detail.select("bd_contact_linked", "bd_article_code_lookup",
                             "bd_contract_start_date", "bd_contract_end_date")
     sd = day_range(sd, "bd_contract_start_date", window.earliest_lookback(12))
     sd = sd.join(article, F.col("bd_article_code_lookup") == F.col("bd_articleid"))
-    who = ["bd_contact_linked", "bd_productlonglabel"]
-    spans = sd.select(*who, to_day("bd_contract_start_date").alias("_start"),
-                      to_day("bd_contract_end_date").alias("_end"))
-    covered = F.filter(
-        F.array(*[F.lit(m) for m in wanted]),
-        lambda m: (F.col("_start") <= m) & (F.col("_end") >= F.last_day(m)))
-    uses = F.flatten(F.transform(covered, lambda m: F.array(*[
-        F.struct(F.add_months(m, back).alias("_month"), F.lit(name).alias("_period"))
-        for name, back in PERIODS.items()])))
-    in_window = F.filter(uses, lambda u: u["_month"].between(F.lit(months[0]), F.lit(months[-1])))
-    anyway = F.array(F.struct(F.lit(None).cast("date").alias("_month"), F.lit("any").alias("_period")))
-    return spans.select(*who, "_start", F.explode(F.concat(in_window, anyway)).alias("_p")).groupBy(
-        *who, F.col("_p._month").alias("_month"), F.col("_p._period").alias("_period")
-    ).agg(F.max("_start").alias("_start"))
+    since, until = covered_months("bd_contract_start_date", "bd_contract_end_date")
+    any_month = (since <= until) & (since <= F.lit(last)) & (until >= F.lit(first))
+    return sd.select(
+        "bd_contact_linked", "bd_productlonglabel",
+        F.when(any_month, F.greatest(since, F.lit(first))).alias("_from"),
+        F.when(any_month, F.least(until, F.lit(last))).alias("_to"),
+        to_day("bd_contract_start_date").alias("_start"),
+    ).groupBy("bd_contact_linked", "bd_productlonglabel", "_from", "_to").agg(
+        F.max("_start").alias("_start"))
+
+
+def _contract_periods(spark, window: DateWindow) -> DataFrame:
+    """``(_kind, _at, _month, _period)``: the periods of each month of the
+    window, with the month each one asks about; "any" asks about its own."""
+    months = window.month_starts()
+    uses = [(COVERS, name, back) for name, back in PERIODS.items()] + [(ANY, ANY, 0)]
+    return spark.range(1).select(F.explode(F.sequence(
+        F.lit(months[0]), F.lit(months[-1]), F.expr("INTERVAL 1 MONTH"))).alias("_month")
+    ).select("_month", F.explode(F.array(*[F.struct(
+        F.lit(kind).alias("_kind"), F.lit(name).alias("_period"),
+        (month_number("_month") - back).alias("_at")) for kind, name, back in uses])).alias("_p")
+    ).select("_month", "_p.*")
 
 
 def active_contract_clients(
@@ -162,42 +166,45 @@ def active_contract_clients(
     month, the same month last year. A group exists for d when any of its
     contracts started on or after d - 12 months.
 
-    For a fixed month every condition is "covers the period and start >=
-    d - 12 months". The first part depends on the month only, so the *latest*
-    covering start per (contact, product, month, period) is kept; the rest
-    is "latest start >= d - 12 months", answered per date from a histogram of
-    those starts. One pass over the contracts, for any window.
+    A contract covers a span of whole months, so contracts are reduced to the
+    latest start per (contact, product, span) before anything is copied. The
+    reduced rows meet the window's periods in an interval join (the periods
+    grow with the calendar only, and are broadcast). For a fixed month and
+    period the rest is "latest covering start >= d - 12 months", answered per
+    date from a histogram of those starts. One pass over the contracts and
+    one plan, for any window.
     """
     spark = sale_detail.sparkSession
-    stacked = _latest_covering_starts(sale_detail, article, window)
+    months = [m.year * 12 + m.month for m in window.month_starts()]
+    first, last = months[0] - max(PERIODS.values()), months[-1]
+    spans = _contract_spans(sale_detail, article, window, first, last)
+    clients = spans.join(contact.select("Id", "birthdate"), F.col("bd_contact_linked") == F.col("Id"))
     # "any" counts for every month of the window, whose age bands differ
-    stacked = stacked.withColumn("_month", F.explode(F.when(
-        F.col("_month").isNull(), F.array(*[F.lit(m) for m in window.month_starts()])
-    ).otherwise(F.array("_month"))))
-    with_band = stacked.join(
-        contact.select("Id", "birthdate"), F.col("bd_contact_linked") == F.col("Id")
-    ).select(
-        "bd_contact_linked",
-        F.col("bd_productlonglabel").alias("type_abonnement"),
-        age_band(year_diff("birthdate", "_month")).alias("Categorie_age"),
-        "_month", "_period", "_start",
-    )
+    asked = clients.select(
+        "bd_contact_linked", "bd_productlonglabel", "birthdate", "_start", F.explode(F.array(
+            F.struct(F.lit(COVERS).alias("_kind"), "_from", "_to"),
+            F.struct(F.lit(ANY).alias("_kind"), F.lit(months[0]).alias("_from"),
+                     F.lit(last).alias("_to")))).alias("_s"),
+    ).select("*", "_s.*").drop("_s")
+    met = interval_join(asked, broadcast_spine(_contract_periods(spark, window)), "_from", "_to", "_at",
+                        first, last, width=12, keys=["_kind"])
     # distinct contacts: a contact listed twice in the contact table with
     # two birth dates of the same band is still one client of that band
-    hist = with_band.groupBy("type_abonnement", "Categorie_age", "_month", "_period", "_start").agg(
-        F.countDistinct("bd_contact_linked").alias("n")
+    latest = met.groupBy(
+        F.col("bd_productlonglabel").alias("type_abonnement"),
+        age_band(year_diff("birthdate", "_month")).alias("Categorie_age"),
+        "bd_contact_linked", "_month", "_period",
+    ).agg(F.max("_start").alias("_start"))
+    hist = latest.groupBy("type_abonnement", "Categorie_age", "_month", "_period", "_start").agg(
+        F.count(F.lit(1)).alias("n")
     )
     spine = with_period_bounds(date_spine(spark, window)).select(
         "d", MONTH_START, TWELVE_MONTHS_AGO)
-    per_date = count_at_least(
-        hist, spine, "_start", F.col(TWELVE_MONTHS_AGO),
-        keys=["type_abonnement", "Categorie_age", "_period"],
-        on=F.col("_month") == F.col(MONTH_START),
-    )
-    out = per_date.groupBy("d", "type_abonnement", "Categorie_age").agg(
+    on_or_after = (F.col("_month") == F.col(MONTH_START)) & (F.col("_start") >= F.col(TWELVE_MONTHS_AGO))
+    out = spine_join(hist, spine, on_or_after).groupBy("d", "type_abonnement", "Categorie_age").agg(
         *[
-            F.coalesce(F.sum(F.when(F.col("_period") == p, F.col("cnt"))), F.lit(0)).alias(name)
-            for p, name in (("any", "_any"), ("cur", CURRENT), ("last", LAST_MONTH),
+            F.coalesce(F.sum(F.when(F.col("_period") == p, F.col("n"))), F.lit(0)).alias(name)
+            for p, name in ((ANY, "_any"), ("cur", CURRENT), ("last", LAST_MONTH),
                             ("last_year", LAST_YEAR))
         ]
     ).filter(F.col("_any") > 0)

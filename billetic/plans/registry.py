@@ -51,6 +51,7 @@ from billetic.plans.validations import (
     validation_rate_per_user,
     validations_by_age,
 )
+from billetic.sources.colocated import read_colocated, store_colocated
 from billetic.sources.fixtures import FixtureSources
 from billetic.session import ensure_checkpoint_dir
 from billetic.sources.sinks import (
@@ -392,6 +393,16 @@ def q_stored_update(spark, sf_dir, as_of=SALES_AS_OF):
     return read_target(spark, path, VALIDATION_COUNTS)
 
 
+def q_title_sales_colocated(spark, sf_dir, as_of=SALES_AS_OF, window=None):
+    """J1 on sale lines stored by transaction: the planner keeps them in
+    place where the window's keys are too many to broadcast."""
+    s = _src(spark, sf_dir)
+    table = f"sale_lines_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store_colocated(s.sale_detail(), table, "bd_sales_transaction_id", buckets, _path(spark, table))
+    return title_sales_by_support(read_colocated(spark, table), s.support(), s.sales(), _w(as_of, window))
+
+
 def q_validations_by_age_kept(spark, sf_dir, as_of=EVENTS_AS_OF):
     """J8 from its kept state: the days before the window counted by one run,
     the window's days by the next, which reads no others."""
@@ -442,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "purchase_to_first_validation_after_two_months":
         lambda sp, d: q_purchase_to_validation_delay(sp, d, MONTH_START_AS_OF, first_after=True),
     "validations_by_age_kept": q_validations_by_age_kept,
+    "title_sales_colocated": q_title_sales_colocated,
     # births after the run: negative ages, where the band variants differ
     "clients_by_line_future_births": lambda sp, d: q_clients_by_line(sp, d, SALES_AS_OF, "b"),
     "validations_by_age_future_births":

@@ -11,6 +11,7 @@ from billetic.operators import (
     DateWindow,
     count_at_least,
     date_spine,
+    in_key_range,
     last_seen_histogram,
     lookback,
     on_days,
@@ -38,20 +39,26 @@ def title_sales_by_support(
     transaction.
 
     Sale lines carry no date, so the window's transactions must prune them.
-    These are staged first (one scan of the sales gives keys and counts):
-    Spark then plans with their true size, not with an estimate that grows
-    with the sales table. Up to ``spark.sql.autoBroadcastJoinThreshold`` they
-    are broadcast and no sale line is shuffled; beyond it, and up to
-    ``spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold``, a
-    runtime bloom filter of them drops the history's lines at their scan.
-    A window with more keys than both needs those settings raised.
+    These are staged first (one scan of the sales gives keys and counts, so a
+    call runs that job and reads the least and the greatest key). Then
+
+    * that range of keys reaches the scan of the lines: transactions are
+      numbered through time, so lines sorted by them are read for the window
+      only;
+    * Spark plans with the keys' true size. Up to
+      ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast and no line
+      is shuffled; up to
+      ``spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold`` a
+      runtime bloom filter of them drops other lines at the scan;
+    * beyond both, lines stored by transaction (``sources.colocated``) stay
+      where they are, and only the staged keys are shuffled to them.
     """
     sa = on_days(sales.select(TX, "bd_transaction_date"), "bd_transaction_date", window,
                  "SalesDate")
     per_tx = staged(sa.filter(F.col(TX).isNotNull()).groupBy(TX, "SalesDate").agg(
         F.count(F.lit(1)).alias("_k")), "window-sales")
     per_tx = per_tx.filter(F.col("_k") > 0)     # always true; Spark makes bloom filters of filtered scans only
-    sd = sale_detail.select(TX, CARD).filter(F.col(CARD).isNotNull())
+    sd = in_key_range(sale_detail.select(TX, CARD), TX, per_tx).filter(F.col(CARD).isNotNull())
     lines = sd.join(per_tx, TX).groupBy("SalesDate", CARD).agg(F.sum("_k").alias("_lines"))
     joined = lines.join(support, F.col(CARD) == F.col("id"))
     agg = joined.groupBy(

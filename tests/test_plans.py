@@ -14,6 +14,7 @@ from billetic.operators import DateWindow
 from billetic.plans.clients import active_clients, active_contract_clients
 from billetic.plans.registry import QUERIES, SALES_AS_OF
 from billetic.plans.sales import title_sales_by_support, total_clients
+from billetic.sources.colocated import read_colocated, store_colocated
 from billetic.sources.fixtures import FixtureSources
 from conftest import SF_SMALL
 
@@ -114,6 +115,35 @@ def test_sale_lines_are_pruned_by_a_runtime_bloom_filter(spark, tmp_path):
     assert not scan_details(text, "sales") and f"{tmp_path}/sales" not in text
 
 
+def test_co_located_sale_lines_are_not_shuffled(spark, tmp_path):
+    """J1 with the window's keys above both thresholds: no exchange between
+    the scan of the lines stored by transaction and their join, and the keys'
+    range is pushed to that scan."""
+    src = FixtureSources(spark, SF_SMALL)
+    table = "co_located_lines_test"
+    with settings(spark, {
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1b",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }):
+        store_colocated(src.sale_detail(), table, "bd_sales_transaction_id", 8, f"{tmp_path}/lines")
+        args = (src.support(), src.sales(), DateWindow.trailing(SALES_AS_OF))
+        df = title_sales_by_support(read_colocated(spark, table), *args)
+        lines, details = plan(df, "simple").splitlines(), plan(df)
+        details = next(b for b in re.split(r"\n\(\d+\) ", details) if b.startswith("Scan") and table in b)
+        plain = title_sales_by_support(src.sale_detail(), *args)
+        assert sorted(map(tuple, df.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    scan = next(i for i, line in enumerate(lines) if "co_located_lines_test" in line)
+    assert all(f"{op}(bd_sales_transaction_id" in details for op in ("GreaterThanOrEqual", "LessThanOrEqual"))
+    above = []
+    for line in reversed(lines[:scan]):
+        above.append(line)
+        if "Join" in line:
+            break
+    assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_a_long_window_is_no_cartesian_product(spark):
     window = DateWindow(dt.date(1990, 1, 1), dt.date(1990, 1, 1) + dt.timedelta(days=4999))
     src = FixtureSources(spark, SF_SMALL, "b")
@@ -130,6 +160,19 @@ def test_contracts_are_read_once_for_fourteen_months(spark):
     assert len(scan_details(text, "lineitem")) == 1
 
 
+def test_the_contract_plan_has_one_size_for_any_window(spark):
+    src = FixtureSources(spark, SF_SMALL)
+    sizes = set()
+    for days in (8, 425, 1826):         # 8 dates, 14 months, 5 years
+        window = DateWindow(dt.date(2001, 7, 31) - dt.timedelta(days=days - 1), dt.date(2001, 7, 31))
+        text = plan(active_contract_clients(src.sale_detail(), src.contact(), src.article(), window), "simple")
+        lines = text.splitlines()
+        sizes.add((len(lines), sum("Exchange" in x for x in lines)))
+        contracts = [x for x in lines if "Generate" in x and "bd_contact_linked" in x]
+        assert len(contracts) == 2 and all(len(x) < 500 for x in contracts)
+    assert len(sizes) == 1
+
+
 def test_facts_are_reduced_before_they_are_copied_to_passes(spark):
     """Every explode to month passes stands above an aggregate or a
     window limit, never on the facts."""

@@ -4,6 +4,8 @@
 from billetic.operators.aggregates import (
     conditional_distinct,
     count_at_least,
+    last_day_histogram,
+    last_seen,
     last_seen_histogram,
     with_zero_rows,
 )
@@ -39,6 +41,8 @@ __all__ = [
     "first_per_group",
     "in_key_range",
     "interval_join",
+    "last_day_histogram",
+    "last_seen",
     "last_seen_histogram",
     "lookback",
     "next_row_join",

@@ -41,6 +41,24 @@ def conditional_distinct(
     )
 
 
+def last_seen(
+    df: DataFrame, entity: Sequence[str], day: str, keys: Sequence[str] = (), out_day: str = "last_day",
+) -> DataFrame:
+    """``(keys, entity) -> latest day``, NULL being a value like any other."""
+    return df.groupBy(*keys, *entity).agg(F.max(day).alias(out_day))
+
+
+def last_day_histogram(
+    latest: DataFrame, entity: Sequence[str], keys: Sequence[str] = (), day: str = "last_day",
+    out_count: str = "n",
+) -> DataFrame:
+    """``(keys, last_day) -> number of entities`` of a ``last_seen`` table. An
+    entity whose columns are all NULL is none (``COUNT(DISTINCT ...)`` ignores
+    it), but its group stays, with 0."""
+    known = reduce(or_, (F.col(e).isNotNull() for e in entity))
+    return latest.groupBy(*keys, day).agg(F.count(F.when(known, 1)).alias(out_count))
+
+
 def last_seen_histogram(
     df: DataFrame,
     entity: Sequence[str],
@@ -55,13 +73,9 @@ def last_seen_histogram(
     per-date lower bounds can later be answered from this small table
     (``count_at_least``) instead of joining every fact row to every date.
     Its size is bounded by the number of distinct days times the key groups,
-    not by the number of entities. An entity whose columns are all NULL is
-    none (``COUNT(DISTINCT ...)`` ignores it), but its group stays, with 0.
+    not by the number of entities.
     """
-    keys, entity = list(keys), list(entity)
-    latest = df.groupBy(*keys, *entity).agg(F.max(day).alias(out_day))
-    known = reduce(or_, (F.col(e).isNotNull() for e in entity))
-    return latest.groupBy(*keys, out_day).agg(F.count(F.when(known, 1)).alias(out_count))
+    return last_day_histogram(last_seen(df, entity, day, keys, out_day), entity, keys, out_day, out_count)
 
 
 def count_at_least(

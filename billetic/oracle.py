@@ -349,6 +349,13 @@ GROUP BY ALL"""
     return body, [*_sources("validation_a"), _spine(as_of, spine)]
 
 
+def validation_rate_every_day(as_of: dt.date = EVENTS_AS_OF):
+    body = f"""SELECT CAST(DTHR_OPERATION AS DATE) AS ValidationDate,
+       CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT bd_linkedcustomer), 0) AS AverageValidationsPerUser
+FROM validation WHERE CAST(DTHR_OPERATION AS DATE) < DATE '{as_of}' GROUP BY ALL"""
+    return body, _sources("validation_a")
+
+
 def sales_by_channel(as_of: dt.date = SALES_AS_OF):
     body = f"""SELECT CAST(bd_transaction_date AS DATE) AS DateOfExecution,
        coalesce(channel_name.label, bd_equipment_type) AS EquipementType, bd_productlonglabel AS ProductType,
@@ -502,6 +509,10 @@ BUILDERS = {
     "purchase_to_first_validation_after_two_months": lambda: purchase_to_first_validation_after(MONTH_START_AS_OF),
     "validations_by_age_kept": validations_by_age,
     "title_sales_colocated": title_sales_by_support,
+    "total_clients_kept": total_clients,
+    "active_clients_kept": active_clients,
+    "active_clients_kept_dense": lambda: active_clients(EVENTS_AS_OF, "a"),
+    "validation_rate_late": validation_rate_every_day,
     "validations_by_age_future_births":
         lambda: validations_by_age(SALES_AS_OF, dt.date(2001, 1, 1), "b"),
     "avg_weekly_validations_old_accounts": lambda: avg_weekly_validations(OLD_ACCOUNTS_AS_OF, 0),

@@ -72,12 +72,29 @@ def active_clients(validations: DataFrame, cards: DataFrame, window: DateWindow,
     (the other two periods end before d anyway). A customer holding a third of all taps is one row per
     map task after the first partial aggregate.
     """
-    spark = validations.sparkSession
-    v = lookback(validations.select(TS, CUSTOMER, CARD), TS, window)
-    v = v.filter(F.col(CUSTOMER).isNotNull()).select(
+    per_card = card_days(validations, window.earliest_lookback()).groupBy(*CARD_MONTH).agg(
+        F.max("_day").alias("_last"), F.min("_day").alias("_first"))
+    return active_clients_of(per_card, cards, window, cap_at_date)
+
+
+CARD_MONTH = [CARD, CUSTOMER, "_month"]
+
+
+def card_days(validations: DataFrame, since: dt.date) -> DataFrame:
+    """``(card, customer, _month, _day)`` of the customers' taps from ``since``
+    on."""
+    v = day_range(validations.select(TS, CUSTOMER, CARD), TS, since)
+    return v.filter(F.col(CUSTOMER).isNotNull()).select(
         CARD, CUSTOMER, to_day(TS).alias("_day")
     ).withColumn("_month", F.trunc("_day", "MM"))
-    per_card = v.groupBy(CARD, CUSTOMER, "_month").agg(F.max("_day").alias("_last"), F.min("_day").alias("_first"))
+
+
+def active_clients_of(per_card: DataFrame, cards: DataFrame, window: DateWindow,
+                      cap_at_date: bool = False) -> DataFrame:
+    """J2 from the latest (``_last``) and the first (``_first``, for
+    ``cap_at_date`` only) day of each card, customer and month, over the
+    window's lookback."""
+    spark = per_card.sparkSession
     # ``IN (SELECT DISTINCT card)`` as an inner join with the plain register:
     # Catalyst would push a semi-join below the aggregate onto raw taps; the
     # inner join stays on the reduced rows, so a register too big to broadcast

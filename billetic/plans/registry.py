@@ -51,6 +51,7 @@ from billetic.plans.validations import (
     validation_rate_per_user,
     validations_by_age,
 )
+from billetic.sources.catalog import CatalogSources
 from billetic.sources.colocated import read_colocated, store_colocated
 from billetic.sources.fixtures import FixtureSources
 from billetic.session import ensure_checkpoint_dir
@@ -393,6 +394,39 @@ def q_stored_update(spark, sf_dir, as_of=SALES_AS_OF):
     return read_target(spark, path, VALIDATION_COUNTS)
 
 
+def _kept(spark, name, src, as_of):
+    """A run 8 days before, then the run of ``as_of`` from its state."""
+    from billetic.streaming import refresh_last_seen
+
+    path, state = _path(spark, name), _path(spark, f"{name}-state")
+    refresh_last_seen(spark, name, src, as_of - dt.timedelta(days=8), path, state)
+    return refresh_last_seen(spark, name, src, as_of, path, state)
+
+
+def q_total_clients_kept(spark, sf_dir, as_of=SALES_AS_OF):
+    """J6 from the kept latest day of each client."""
+    return _kept(spark, "total_clients", _src(spark, sf_dir), as_of)
+
+
+def q_active_clients_kept(spark, sf_dir, as_of=SALES_AS_OF, kind="b"):
+    """J2 from the kept latest day of each card, customer and month."""
+    return _kept(spark, "active_clients", _src(spark, sf_dir, kind), as_of)
+
+
+def q_validation_rate_late(spark, sf_dir, as_of=EVENTS_AS_OF):
+    """J10 over a fact folder where the afternoons of the first ten days come
+    weeks late: a first run stores all days, a second replaces those ten."""
+    from billetic.streaming import refresh_late
+
+    facts, path, seen = (_path(spark, f"late-{x}") for x in ("facts", "report", "checkpoint"))
+    taps, src = _src(spark, sf_dir, "a").validation(), CatalogSources(spark, facts)
+    late = (to_day("DTHR_OPERATION") < F.lit(dt.date(2024, 1, 11))) & (F.hour("DTHR_OPERATION") >= 12)
+    for rows in (taps.filter(~late), taps.filter(late)):
+        rows.write.mode("append").parquet(f"{facts}/validation")
+        refresh_late(spark, "validation_rate_per_user", src, f"{facts}/validation", as_of, path, seen)
+    return read_target(spark, path, VALIDATION_RATE)
+
+
 def q_title_sales_colocated(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     """J1 on sale lines stored by transaction: the planner keeps them in
     place where the window's keys are too many to broadcast."""
@@ -454,6 +488,10 @@ QUERIES: dict[str, Query] = {
         lambda sp, d: q_purchase_to_validation_delay(sp, d, MONTH_START_AS_OF, first_after=True),
     "validations_by_age_kept": q_validations_by_age_kept,
     "title_sales_colocated": q_title_sales_colocated,
+    "total_clients_kept": q_total_clients_kept,
+    "active_clients_kept": q_active_clients_kept,
+    "active_clients_kept_dense": lambda sp, d: q_active_clients_kept(sp, d, EVENTS_AS_OF, "a"),
+    "validation_rate_late": q_validation_rate_late,
     # births after the run: negative ages, where the band variants differ
     "clients_by_line_future_births": lambda sp, d: q_clients_by_line(sp, d, SALES_AS_OF, "b"),
     "validations_by_age_future_births":

@@ -3,6 +3,8 @@ channel (J11)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +13,10 @@ from billetic.operators import (
     DateWindow,
     count_at_least,
     date_spine,
+    day_range,
     in_key_range,
-    last_seen_histogram,
-    lookback,
+    last_day_histogram,
+    last_seen,
     on_days,
     with_period_bounds,
 )
@@ -72,6 +75,24 @@ def title_sales_by_support(
     )
 
 
+CLIENT_KEYS = ["type_abonnement"]
+CLIENT = ["_contact", "_anon_tx"]
+
+
+def sale_clients(sales: DataFrame, since: dt.date) -> DataFrame:
+    """``(type_abonnement, _contact, _anon_tx, _day)`` of the sales from
+    ``since`` on: the client of a sale is its contact, or without one its
+    transaction."""
+    s = day_range(sales.select(TX, "bd_transaction_date", "bd_contact_linked",
+                               "bd_productlonglabel"), "bd_transaction_date", since)
+    return s.select(
+        F.col("bd_productlonglabel").alias("type_abonnement"),
+        F.col("bd_contact_linked").alias("_contact"),
+        F.when(F.col("bd_contact_linked").isNull(), F.col(TX)).alias("_anon_tx"),
+        to_day("bd_transaction_date").alias("_day"),
+    )
+
+
 def total_clients(sales: DataFrame, window: DateWindow) -> DataFrame:
     """Per execution date d and product, distinct identified contacts
     plus distinct anonymous transactions with a sale day >= d - 12 months
@@ -83,19 +104,18 @@ def total_clients(sales: DataFrame, window: DateWindow) -> DataFrame:
     products, and each date is answered from it. No fact row is copied per
     execution date, whatever the window length.
     """
-    s = lookback(sales.select(TX, "bd_transaction_date", "bd_contact_linked",
-                              "bd_productlonglabel"), "bd_transaction_date", window)
-    s = s.select(
-        F.col("bd_productlonglabel").alias("type_abonnement"),
-        F.col("bd_contact_linked").alias("_contact"),
-        F.when(F.col("bd_contact_linked").isNull(), F.col(TX)).alias("_anon_tx"),
-        to_day("bd_transaction_date").alias("_day"),
-    )
-    hist = last_seen_histogram(s, ["_contact", "_anon_tx"], "_day", keys=["type_abonnement"])
-    spine = with_period_bounds(date_spine(sales.sparkSession, window)).select(
+    clients = sale_clients(sales, window.earliest_lookback())
+    return total_clients_of(last_seen(clients, CLIENT, "_day", CLIENT_KEYS), window)
+
+
+def total_clients_of(latest: DataFrame, window: DateWindow) -> DataFrame:
+    """J6 from the latest day of each client and product (``last_seen`` of
+    ``sale_clients`` over the window's lookback, or a kept one)."""
+    hist = last_day_histogram(latest, CLIENT, CLIENT_KEYS)
+    spine = with_period_bounds(date_spine(latest.sparkSession, window)).select(
         "d", TWELVE_MONTHS_AGO)
     out = count_at_least(hist, spine, "last_day", F.col(TWELVE_MONTHS_AGO),
-                         keys=["type_abonnement"], out="total_clients")
+                         keys=CLIENT_KEYS, out="total_clients")
     return conform(out.withColumnRenamed("d", "DateOfExecution"), TOTAL_CLIENTS)
 
 

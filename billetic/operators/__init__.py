@@ -10,6 +10,7 @@ from billetic.operators.aggregates import (
     with_zero_rows,
 )
 from billetic.operators.asof import next_row_join
+from billetic.operators.bitmaps import count_words, id_words, merge_words
 from billetic.operators.filters import (
     day_range,
     in_key_range,
@@ -35,16 +36,19 @@ __all__ = [
     "broadcast_spine",
     "conditional_distinct",
     "count_at_least",
+    "count_words",
     "covered_months",
     "date_spine",
     "day_range",
     "first_per_group",
+    "id_words",
     "in_key_range",
     "interval_join",
     "last_day_histogram",
     "last_seen",
     "last_seen_histogram",
     "lookback",
+    "merge_words",
     "next_row_join",
     "on_day_set",
     "on_days",

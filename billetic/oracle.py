@@ -326,7 +326,7 @@ LEFT JOIN {bands()} ON age BETWEEN band.low AND band.high"""
     return body, _sources(f"validation_{kind}", "contact")
 
 
-def validation_counts_yoy(as_of: dt.date = SALES_AS_OF):
+def validation_counts_yoy(as_of: dt.date = SALES_AS_OF, kind: str = "b"):
     """Daily counts joined to themselves: a date d looks at d - 12 months,
     and what it finds is due 12 months after that day."""
     daily = """SELECT CAST(DTHR_OPERATION AS DATE) AS day, LIBEL_LONG_PRODUIRE AS product,
@@ -338,7 +338,16 @@ FROM (SELECT * FROM ({daily}) a SEMI JOIN spine ON day = d) now
 LEFT JOIN (SELECT CAST(day + INTERVAL 12 MONTH AS DATE) AS due, product, n FROM ({daily}) b
            SEMI JOIN spine ON day = CAST(d - INTERVAL 12 MONTH AS DATE)) past
   ON past.due = now.day AND past.product = now.product"""
-    return body, [*_sources("validation_b"), _spine(as_of)]
+    return body, [*_sources(f"validation_{kind}"), _spine(as_of)]
+
+
+def distinct_customers_by_week():
+    """Each customer once a week and product."""
+    body = """SELECT week AS period_start, product, count(who) AS customers
+FROM (SELECT DISTINCT CAST(date_trunc('week', DTHR_OPERATION) AS DATE) AS week, LIBEL_LONG_PRODUIRE AS product,
+             bd_linkedcustomer AS who FROM validation)
+GROUP BY ALL"""
+    return body, _sources("validation_a")
 
 
 def validation_rate_per_user(as_of: dt.date = EVENTS_AS_OF, spine: str = "spine"):
@@ -513,6 +522,10 @@ BUILDERS = {
     "active_clients_kept": active_clients,
     "active_clients_kept_dense": lambda: active_clients(EVENTS_AS_OF, "a"),
     "validation_rate_late": validation_rate_every_day,
+    "validation_counts_yoy_by_words": validation_counts_yoy,
+    "validation_counts_yoy_by_words_dense": lambda: validation_counts_yoy(EVENTS_AS_OF, "a"),
+    "validation_counts_yoy_kept": validation_counts_yoy,
+    "distinct_customers_by_week": distinct_customers_by_week,
     "validations_by_age_future_births":
         lambda: validations_by_age(SALES_AS_OF, dt.date(2001, 1, 1), "b"),
     "avg_weekly_validations_old_accounts": lambda: avg_weekly_validations(OLD_ACCOUNTS_AS_OF, 0),

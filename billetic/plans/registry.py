@@ -74,6 +74,7 @@ from billetic.sources.targets import (
     ACTIVE_CLIENTS,
     AVG_WEEKLY_VALIDATIONS,
     SALES_BY_CHANNEL,
+    TAP_WORDS,
     TITLE_SALES,
     VALIDATION_COUNTS,
     VALIDATION_RATE,
@@ -437,6 +438,39 @@ def q_title_sales_colocated(spark, sf_dir, as_of=SALES_AS_OF, window=None):
     return title_sales_by_support(read_colocated(spark, table), s.support(), s.sales(), _w(as_of, window))
 
 
+def q_validation_counts_by_words(spark, sf_dir, as_of=SALES_AS_OF, kind="b"):
+    """J9 with its distinct counts from words of 64 ids."""
+    return validation_counts_yoy(_src(spark, sf_dir, kind).validation(), _w(as_of, None), by_words=True)
+
+
+def q_validation_counts_kept(spark, sf_dir, as_of=SALES_AS_OF):
+    """J9 from kept words: a run 8 days before, the afternoon taps of the
+    window merged twice (no id counts twice), then the run of ``as_of``."""
+    from billetic.streaming import merge_taps, refresh_counts
+
+    path, state = _path(spark, "counts"), _path(spark, "counts-state")
+    src = _src(spark, sf_dir, "b")
+    refresh_counts(spark, src, as_of - dt.timedelta(days=8), path, state)
+    taps = on_days(src.validation(), "DTHR_OPERATION", _w(as_of, None)).filter(F.hour("DTHR_OPERATION") >= 4)
+    for _ in range(2):
+        merge_taps(spark, state, taps)
+    return refresh_counts(spark, src, as_of, path, state)
+
+
+def q_distinct_customers_by_week(spark, sf_dir):
+    """A3 rolled up: customers per week and product from the words of the
+    days, merged in two parts of the rows that share customers and days."""
+    from billetic.streaming import distinct_by_period, merge_taps
+
+    state = _path(spark, "customers-state")
+    taps = _src(spark, sf_dir, "a").validation().withColumn("validation_id", F.col("bd_linkedcustomer"))
+    early = F.hour("DTHR_OPERATION") < 12
+    for part in (taps.filter(early), taps.filter(~early)):
+        merge_taps(spark, state, part)
+    return distinct_by_period(read_target(spark, state, TAP_WORDS), "week", "customers").withColumnRenamed(
+        "Type_abonnement", "product")
+
+
 def q_validations_by_age_kept(spark, sf_dir, as_of=EVENTS_AS_OF):
     """J8 from its kept state: the days before the window counted by one run,
     the window's days by the next, which reads no others."""
@@ -492,6 +526,10 @@ QUERIES: dict[str, Query] = {
     "active_clients_kept": q_active_clients_kept,
     "active_clients_kept_dense": lambda sp, d: q_active_clients_kept(sp, d, EVENTS_AS_OF, "a"),
     "validation_rate_late": q_validation_rate_late,
+    "validation_counts_yoy_by_words": q_validation_counts_by_words,
+    "validation_counts_yoy_by_words_dense": lambda sp, d: q_validation_counts_by_words(sp, d, EVENTS_AS_OF, "a"),
+    "validation_counts_yoy_kept": q_validation_counts_kept,
+    "distinct_customers_by_week": q_distinct_customers_by_week,
     # births after the run: negative ages, where the band variants differ
     "clients_by_line_future_births": lambda sp, d: q_clients_by_line(sp, d, SALES_AS_OF, "b"),
     "validations_by_age_future_births":

@@ -13,9 +13,12 @@ from billetic.functions import age_band, day_diff, safe_ratio, to_day
 from billetic.operators import (
     DateWindow,
     add_months,
+    count_words,
     date_spine,
     day_range,
     first_per_group,
+    id_words,
+    merge_words,
     next_row_join,
     on_day_set,
     on_days,
@@ -26,6 +29,7 @@ from billetic.operators.window import first_of_month
 from billetic.sources.targets import (
     BY_BIRTH_YEAR,
     PURCHASE_DELAY,
+    TAP_WORDS,
     VALIDATION_COUNTS,
     VALIDATION_RATE,
     VALIDATIONS_BY_AGE,
@@ -171,7 +175,10 @@ def validations_by_age(
     return aged(validations_by_birth_year(validations, contact, start, as_of), as_of)
 
 
-def validation_counts_yoy(validations: DataFrame, window: DateWindow) -> DataFrame:
+DAY_PRODUCT = ["Date_de_validation", "Type_abonnement"]
+
+
+def validation_counts_yoy(validations: DataFrame, window: DateWindow, by_words: bool = False) -> DataFrame:
     """Per day of the window and product, distinct validations, and the
     count of the same product on ``add_months(day, -12)``.
 
@@ -179,21 +186,49 @@ def validation_counts_yoy(validations: DataFrame, window: DateWindow) -> DataFra
     range: 2024-02-28 and 2024-02-29 both shift to 2025-02-28), shifted back
     by 12 months and left-joined on (day, product); a 29 February therefore
     finds nothing and keeps 0, and a NULL product never matches.
+
+    ``by_words`` counts integer ids in words of 64 (``id_words``): less
+    shuffle where a day's ids lie close together; same rows.
     """
-    v = validations.select(TS, PRODUCT, "validation_id")
-    cur = on_days(v, TS, window, "Date_de_validation").groupBy(
-        "Date_de_validation", F.col(PRODUCT).alias("Type_abonnement")
-    ).agg(F.countDistinct("validation_id").alias("Nombre_de_validation"))
-    prev_days = [add_months(d, -12) for d in window.days()]
-    prev = on_day_set(v, TS, prev_days, "_ly_day").groupBy(
-        F.add_months("_ly_day", 12).alias("Date_de_validation"),
-        F.col(PRODUCT).alias("Type_abonnement"),
-    ).agg(F.countDistinct("validation_id").alias("_prev"))
-    out = shift_join(cur, prev, "Date_de_validation", ["Type_abonnement"], "_prev",
-                     "Nombre_de_validation_annee_precedente")
+    v = validations.select(TS, F.col(PRODUCT).alias("Type_abonnement"), "validation_id")
+    cur = on_days(v, TS, window, "Date_de_validation")
+    prev = on_day_set(v, TS, _year_before(window), "_ly_day").withColumn(
+        "Date_de_validation", F.add_months("_ly_day", 12))
+    if by_words:
+        cur, prev = (id_words(x, DAY_PRODUCT, "validation_id") for x in (cur, prev))
+        return _with_last_year(count_words(cur, DAY_PRODUCT), count_words(prev, DAY_PRODUCT))
+    cur, prev = (x.groupBy(*DAY_PRODUCT).agg(F.countDistinct("validation_id").alias("n")) for x in (cur, prev))
+    return _with_last_year(cur, prev)
+
+
+def _year_before(window: DateWindow) -> list[dt.date]:
+    return [add_months(d, -12) for d in window.days()]
+
+
+def _with_last_year(cur: DataFrame, prev: DataFrame) -> DataFrame:
+    """J9's rows from the counts ``n`` of the window's days and of the days a
+    year before, these already under the date that shows them."""
+    out = shift_join(cur.withColumnRenamed("n", "Nombre_de_validation"), prev.withColumnRenamed("n", "_prev"),
+                     "Date_de_validation", ["Type_abonnement"], "_prev", "Nombre_de_validation_annee_precedente")
     return conform(out, VALIDATION_COUNTS)
 
 
+def tap_words(validations: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """The distinct taps of each day from ``start`` up to (not including)
+    ``end`` and product, as words that can be kept and merged."""
+    v = day_range(validations.select(TS, PRODUCT, "validation_id"), TS, start, end)
+    days = v.select(to_day(TS).alias("Date_de_validation"), F.col(PRODUCT).alias("Type_abonnement"), "validation_id")
+    return conform(id_words(days, DAY_PRODUCT, "validation_id"), TAP_WORDS)
+
+
+def validation_counts_of(words: DataFrame, window: DateWindow) -> DataFrame:
+    """J9 from kept words (``tap_words``), one row per day, product and word."""
+    day = F.col("Date_de_validation")
+    cur = words.filter(day.between(F.lit(window.start), F.lit(window.end)))
+    prev = words.filter(day.isin(_year_before(window))).withColumn("Date_de_validation", F.add_months(day, 12))
+    return _with_last_year(count_words(cur, DAY_PRODUCT), count_words(merge_words(prev, DAY_PRODUCT), DAY_PRODUCT))
+
+
 def validation_rate_per_user(validations: DataFrame, window: DateWindow) -> DataFrame:
     """Per day of the window, taps per identified customer: all taps
     (anonymous ones too) over distinct non-NULL customers; NULL when a day

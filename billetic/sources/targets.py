@@ -106,6 +106,13 @@ VALIDATION_COUNTS = Target(
     "Date_de_validation",
     keys=("Date_de_validation", "Type_abonnement"),
 )
+# J9's kept state: the distinct taps of a day as words of 64 ids.
+TAP_WORDS = Target(
+    "etat_ValidationCounts",
+    _schema(("Date_de_validation", "date"), ("Type_abonnement", "string"), ("id_word", "bigint"),
+            ("id_bits", "bigint")),
+    "Date_de_validation",
+)
 VALIDATION_RATE = Target(
     "pbi_ValidationRatePerUser",
     _schema(("ValidationDate", "date"), ("AverageValidationsPerUser", "double")),

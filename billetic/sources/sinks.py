@@ -13,6 +13,9 @@ Rules kept everywhere:
   rows are first checkpointed into the session's checkpoint directory (the
   cluster's shared ``spark.checkpoint.dir``), which also cuts the lineage so
   a lost executor does not re-read a half-written table.
+* Checks run in the pass that computes the rows, as observed metrics: a
+  largest count per key, a flag, a mask of the dates present. All are maxima
+  or bitwise ORs, so a task that runs twice leaves them as they are.
 * Before a write the rows are rebalanced on the partition column (AQE
   splits a hot date and merges small ones), so one date does not become one
   straggling task and small dates do not become thousands of tiny files.
@@ -23,7 +26,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from billetic.sources.targets import Target, conform
@@ -63,12 +66,15 @@ def write_target(df: DataFrame, path: str, target: Target, mode: str = REPLACE_D
     * ``replace_dates`` (M6): replace the dates present in ``df`` and, of the
       run's ``dates``, also those without any new row (they are emptied);
       re-running a window changes nothing (the repeatable form of M2). With
-      ``dates`` the rows are computed once, into the checkpoint directory;
-      their distinct dates and ``dates`` are all that reaches the driver.
+      ``dates`` the rows are computed once, into the checkpoint directory,
+      where the same pass notes which of ``dates`` have rows (a bit each).
+      The new dates are written before the empty ones go: a run that dies
+      between the two leaves some to empty, which its rerun does.
     """
+    out, empty = conform(df, target), []
     if mode == REPLACE_DATES and dates is not None:
-        df = df.transform(_computed_once)
-    out = conform(df, target).hint("rebalance", target.partition)
+        out, empty = _computed_without(out, target.partition, sorted(set(dates)))
+    out = out.hint("rebalance", target.partition)
     writer = out.write.partitionBy(target.partition)
     if mode == APPEND:
         writer.mode("append").parquet(path)
@@ -76,18 +82,40 @@ def write_target(df: DataFrame, path: str, target: Target, mode: str = REPLACE_D
         writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     elif mode == REPLACE_DATES:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-        if dates is not None:
-            dates = list(dates)
-            col = F.col(target.partition)
-            new = {r[0] for r in out.select(target.partition).filter(col.isin(dates)).distinct().collect()}
-            drop_dates(df.sparkSession, path, target, [d for d in dates if d not in new])
+        drop_dates(df.sparkSession, path, target, empty)
     else:
         raise ValueError(f"unknown write mode {mode!r}")
 
 
-def _computed_once(df: DataFrame) -> DataFrame:
+def _computed_once(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``df`` computed into the checkpoint directory, and the ``metrics`` over
+    its rows, observed in the same pass (NULL where there are no rows)."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not metrics:
+        return df.checkpoint(eager=True), {}
+    seen = Observation()
+    out = df.observe(seen, *[m.alias(name) for name, m in metrics.items()]).checkpoint(eager=True)
+    return out, seen.get
+
+
+def _computed_without(df: DataFrame, day: str, dates: Sequence[dt.date]) -> tuple[DataFrame, list[dt.date]]:
+    """``df`` computed once, and those of the ascending ``dates`` it has no row
+    on, from one 64-bit mask per 64 days of their span."""
+    if not dates:
+        return _computed_once(df)[0], []
+    span = (dates[-1] - dates[0]).days
+    nth = F.datediff(F.col(day), F.lit(dates[0]))
+    masks = {
+        f"mask_{w}": F.bit_or(F.when(nth.between(64 * w, 64 * w + 63), _bit(nth - 64 * w)))
+        for w in range(span // 64 + 1)
+    }
+    out, seen = _computed_once(df, **masks)
+    at = {d: divmod((d - dates[0]).days, 64) for d in dates}
+    return out, [d for d, (w, bit) in at.items() if not (seen[f"mask_{w}"] or 0) >> bit & 1]
+
+
+def _bit(n: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), n.cast("int"))
 
 
 def drop_dates(spark: SparkSession, path: str, target: Target, dates: Sequence[dt.date]) -> None:
@@ -184,16 +212,32 @@ def _affected(spark: SparkSession, path: str, target: Target, dates: DataFrame,
     return current.join(dates, target.partition, "left_semi")
 
 
-def _check_known_dates(source: DataFrame, target: Target, known_dates) -> None:
-    """``known_dates`` prunes the target's partitions to those dates, so a
-    source row on any other date would overwrite its partition without the
-    rows already there; refuse that instead (one small job, one boolean)."""
-    if known_dates is None:
-        return
-    outside = source.filter(~F.col(target.partition).isin(list(known_dates))
-                            | F.col(target.partition).isNull())
-    if not outside.isEmpty():
+def _checked_source(source: DataFrame, keys: Sequence[str], nulls_match: bool, day: str,
+                    known_dates, refusal: str) -> DataFrame:
+    """The source computed once, refused if a key occurs twice (under plain
+    equality a key with a NULL is like no other) or if a row lies outside
+    ``known_dates``: these prune the target's partitions, so such a row would
+    overwrite its date without the rows already there. Rows are grouped by
+    key on the way, which moves nothing if the job's last step grouped them
+    so, and both checks are metrics of that pass."""
+    alone = F.lit(None).cast("long")
+    if not nulls_match:
+        some_null = F.lit(False)
+        for k in keys:
+            some_null = some_null | F.col(k).isNull()
+        alone = F.when(some_null, F.monotonically_increasing_id())
+    outside = F.lit(False)
+    if known_dates is not None:
+        outside = ~F.col(day).isin(list(known_dates)) | F.col(day).isNull()
+    rest = [c for c in source.columns if c not in keys]
+    by_key = source.withColumns({"_alone": alone, "_outside": outside}).groupBy(*keys, "_alone").agg(
+        F.count(F.lit(1)).alias("_rows"), F.max("_outside").alias("_outside"), *[F.first(c).alias(c) for c in rest])
+    out, seen = _computed_once(by_key, rows=F.max("_rows"), outside=F.max("_outside"))
+    if (seen["rows"] or 0) > 1:
+        raise ValueError(refusal)
+    if seen["outside"]:
         raise ValueError("the source has dates outside known_dates")
+    return out.select(*source.columns)
 
 
 def upsert_into(
@@ -202,22 +246,15 @@ def upsert_into(
 ) -> None:
     """M1 on storage: merge ``source`` into the dates it covers.
 
-    The source is computed once, into the checkpoint directory; checks, merge
-    and write read that. Like ``MERGE``, refuses a source in which a key
-    occurs twice (it would update one target row twice); the check returns a
-    single boolean to the driver. ``known_dates``
+    The source is computed and checked in one pass, into the checkpoint
+    directory; merge and write read that. Like ``MERGE``, refuses a source in
+    which a key occurs twice (it would update one target row twice). ``known_dates``
     (the run's window, if the caller has it) bounds the dates the source can
     hold, so only those partitions of the target are read.
     """
     ensure_target(spark, path, target)
-    src = _computed_once(conform(source, target))
-    checked = src
-    if not null_safe:              # NULL never matches under plain equality
-        for k in target.keys:
-            checked = checked.filter(F.col(k).isNotNull())
-    if not duplicate_keys(checked, target.keys).isEmpty():
-        raise ValueError(f"source keys {target.keys} are not unique; MERGE would fail")
-    _check_known_dates(src, target, known_dates)
+    src = _checked_source(conform(source, target), target.keys, null_safe, target.partition, known_dates,
+                          f"source keys {target.keys} are not unique; MERGE would fail")
     dates = src.select(target.partition).distinct()
     merged = upsert(_affected(spark, path, target, dates, known_dates), src, target.keys, null_safe)
     write_target(merged.checkpoint(eager=True), path, target, REPLACE_DATES)
@@ -235,13 +272,8 @@ def update_into(
     """M3 on storage: the source is computed once; only dates that have a
     matching source row are read and rewritten (``known_dates`` prunes them at planning time)."""
     ensure_target(spark, path, target)
-    source = _computed_once(source)
-    _check_known_dates(source, target, known_dates)
-    matching = source
-    for k in keys:                 # NULL keys never match under plain equality
-        matching = matching.filter(F.col(k).isNotNull())
-    if not duplicate_keys(matching, keys).isEmpty():
-        raise ValueError(f"source keys {list(keys)} are not unique; a row would be updated twice")
+    source = _checked_source(source, keys, False, target.partition, known_dates,
+                             f"source keys {list(keys)} are not unique; a row would be updated twice")
     dates = source.select(F.col(target.partition)).distinct()
     updated = update_from(_affected(spark, path, target, dates, known_dates), source, keys,
                           assignments)

@@ -4,6 +4,7 @@ only what they should."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from billetic.sources.sinks import (
@@ -126,3 +127,55 @@ def test_update_into_refuses_duplicate_source_keys(spark, tmp_table):
         update_into(spark, tmp_table, VALIDATION_COUNTS, src,
                     ["Date_de_validation", "Type_abonnement"],
                     {"Nombre_de_validation_annee_precedente": "n_last_year"})
+
+
+# -- checks in the pass that computes the rows --------------------------------
+
+def _jobs(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_checks_cost_no_job_of_their_own(spark, tmp_table):
+    """Knowing the dates that got rows, or that keys are unique, adds no job
+    to computing the rows once."""
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=k) for k in range(200)]
+    df = spark.createDataFrame([(d, "x", 1, 1, 1) for d in days[::3]], TITLE_SALES.schema)
+    known = _jobs(spark, "dates", lambda: write_target(df, tmp_table, TITLE_SALES, REPLACE_DATES, dates=days))
+    unknown = _jobs(spark, "none", lambda: write_target(df.checkpoint(), tmp_table, TITLE_SALES, REPLACE_DATES))
+    assert known == unknown
+    few = spark.createDataFrame([(days[0], "x", 2, 2, 2)], TITLE_SALES.schema)
+    with_dates = _jobs(spark, "known", lambda: upsert_into(spark, tmp_table, TITLE_SALES, few, known_dates=days[:1]))
+    without = _jobs(spark, "open", lambda: upsert_into(spark, tmp_table, TITLE_SALES, few))
+    assert with_dates <= without
+
+
+@pytest.mark.parametrize("span", [1, 63, 64, 65, 130, 4000])
+def test_dates_without_rows_are_emptied_over_any_span(spark, tmp_table, span):
+    first = dt.date(2015, 1, 1)
+    dates = sorted({first + dt.timedelta(days=k) for k in (0, 1, 62, 63, 64, 127, 128, span) if k <= span})
+    outside = first - dt.timedelta(days=1)
+    write_target(spark.createDataFrame([(d, 1.0) for d in [outside, *dates]], VALIDATION_RATE.schema),
+                 tmp_table, VALIDATION_RATE, APPEND)
+    new = spark.createDataFrame([(d, 2.0) for d in dates[::2]], VALIDATION_RATE.schema)
+    write_target(new, tmp_table, VALIDATION_RATE, REPLACE_DATES, dates=dates)
+    got = sorted(tuple(r) for r in read_target(spark, tmp_table, VALIDATION_RATE).collect())
+    assert got == [(outside, 1.0)] + [(d, 2.0) for d in dates[::2]]
+
+
+def test_plain_equality_lets_null_keys_repeat(spark, tmp_table):
+    day = dt.date(2024, 1, 1)
+    twice = spark.createDataFrame([(day, None, 1, 1, 1), (day, None, 2, 2, 2), (day, "x", 3, 3, 3)], TITLE_SALES.schema)
+    upsert_into(spark, tmp_table, TITLE_SALES, twice, null_safe=False)
+    assert read_target(spark, tmp_table, TITLE_SALES).count() == 3
+    with pytest.raises(ValueError, match="not unique"):
+        upsert_into(spark, tmp_table, TITLE_SALES, twice, null_safe=True)
+    with pytest.raises(ValueError, match="outside known_dates"):
+        upsert_into(spark, tmp_table, TITLE_SALES, twice, null_safe=False, known_dates=[dt.date(2024, 1, 2)])
+    empty = spark.createDataFrame([], TITLE_SALES.schema)
+    upsert_into(spark, tmp_table, TITLE_SALES, empty, known_dates=[day])
+    assert read_target(spark, tmp_table, TITLE_SALES).count() == 3

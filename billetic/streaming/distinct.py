@@ -51,22 +51,18 @@ def recount_days(spark: SparkSession, state: str, taps: DataFrame, start: dt.dat
     write_target(validations.tap_words(taps, start, end), state, T.TAP_WORDS, REPLACE_DATES, dates=days)
 
 
-_COUNTED = "since date, until date"
-
-
-def _counted(spark: SparkSession, state: str) -> tuple[dt.date, dt.date] | None:
-    """The days ``[since, until)`` counted in full, which merged rows of other
-    days say nothing about; kept beside the state. None if it is not there
-    or was left empty by a run that died: all is counted again."""
+def _counted(spark: SparkSession, state: str) -> set[dt.date]:
+    """The days counted in full, which merged rows alone say nothing about;
+    kept beside the state, one row a day. Empty if it is not there or was left
+    empty by a run that died: what is needed is counted again."""
     where = spark._jvm.org.apache.hadoop.fs.Path(f"{state}-counted")
     if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        return None
-    row = spark.read.schema(_COUNTED).parquet(f"{state}-counted").first()
-    return None if row is None else (row.since, row.until)
+        return set()
+    return {r.day for r in spark.read.schema("day date").parquet(f"{state}-counted").collect()}
 
 
-def _set_counted(spark: SparkSession, state: str, since: dt.date, until: dt.date) -> None:
-    spark.createDataFrame([(since, until)], _COUNTED).coalesce(1).write.mode("overwrite").option(
+def _set_counted(spark: SparkSession, state: str, days: set[dt.date]) -> None:
+    spark.createDataFrame([(d,) for d in sorted(days)], "day date").coalesce(1).write.mode("overwrite").option(
         "partitionOverwriteMode", "static").parquet(f"{state}-counted")
 
 
@@ -74,21 +70,20 @@ def refresh_counts(
     spark: SparkSession, sources, as_of: dt.date, path: str, state: str, start_back: int = 8, end_back: int = 1,
 ) -> DataFrame:
     """``refresh`` of J9 from the words kept at ``state``: same rows, but a run
-    reads the taps of its window (and of days skipped since the last run)
-    only; the year before comes from the state. The first run counts all days
-    from a year before its window, a run for an older date the days missing
-    there. Returns the run's dates of the report.
+    reads the taps of its window, and of the days a year before only those
+    never counted in full (none once a year is kept). Returns the run's
+    dates of the report.
 
     Corrections of older days need ``recount_days``, late rows
-    ``merge_taps``; both also serve the dates a year later."""
+    ``merge_taps``; both also serve the dates a year later. Days no run ever
+    covered are not in the state, but for rows that were merged."""
     window = DateWindow.trailing(as_of, start_back, end_back)
-    oldest, after = add_months(window.start, -12), window.end + dt.timedelta(days=1)
-    since, until = _counted(spark, state) or (after, after)
-    if oldest < since:
-        recount_days(spark, state, sources.validation(), oldest, since)
-    if since < after:
-        recount_days(spark, state, sources.validation(), min(window.start, until), after)
-    _set_counted(spark, state, min(oldest, since), max(after, until))
+    counted, one = _counted(spark, state), dt.timedelta(days=1)
+    missing = sorted({add_months(d, -12) for d in window.days()} - counted)
+    if missing:
+        recount_days(spark, state, sources.validation(), missing[0], missing[-1] + one)
+    recount_days(spark, state, sources.validation(), window.start, window.end + one)
+    _set_counted(spark, state, counted.union(missing, window.days()))
     ensure_target(spark, path, T.VALIDATION_COUNTS)
     counts = validations.validation_counts_of(read_target(spark, state, T.TAP_WORDS), window)
     write_target(counts, path, T.VALIDATION_COUNTS, REPLACE_DATES, dates=window.days())

@@ -17,7 +17,9 @@ sample are cut and joined into sequences that switch between languages, so
 that transitions are seen. Only this sample reaches the driver. Prediction
 covers every word of every text: the chain of a text is cut into blocks
 whose transfer matrices are multiplied, so a text of any length is exact and
-needs memory for its word numbers only.
+needs memory for its word numbers only. Texts are taken in pieces of about
+``PIECE`` bytes (a longer text is a piece of its own), so a batch of rows
+needs no more memory than its texts and the words of one piece.
 
 Defined cases: a null text and one without letters is ``und`` with score 0,
 and so is every text if there is nothing to learn from. Rows without an id
@@ -27,23 +29,24 @@ written; their number is assumed small (tens).
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from billetic.llm._common import unused
 
 UNDETERMINED = "und"
 HASHED = 1 << 18
 BLOCK = 32
+PIECE = 4_000_000
 _OTHER = re.compile(r"[\W\d_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -122,8 +125,8 @@ class Model:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.labels)), np.float32)
-        for at in range(0, len(words), 50_000):
-            part = words[at:at + 50_000]
+        for at in range(0, len(words), 10_000):
+            part = words[at:at + 10_000]
             feats, owners = _features(part, self.lexicon)
             for k in range(len(self.labels)):
                 out[at:at + len(part), k] = np.bincount(owners, self.weights[feats, k], len(part))
@@ -302,14 +305,30 @@ def _chain_sums(model: Model, ids: np.ndarray, lens: np.ndarray, expe: np.ndarra
     return total
 
 
+def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in order, cut where another PIECE bytes have gone by: a piece
+    has less than PIECE bytes before its last text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+    nth = (np.cumsum(sizes, dtype=np.int64) - sizes) // PIECE
+    ends = [*(np.flatnonzero(np.diff(nth)) + 1).tolist(), len(texts)]
+    for at, end in itertools.pairwise([0, *ends]):
+        yield texts.slice(at, end - at)
+
+
 def predict(model: Model | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and score of each text of an Arrow array of strings."""
-    labels, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
     if model is None or not len(texts):
-        return labels, scores
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    found = [_predict_piece(model, piece) for piece in _pieces(texts)]
+    return [lab for labels, _ in found for lab in labels], np.concatenate([scores for _, scores in found])
+
+
+def _predict_piece(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    labels, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
     split = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
     lens = pc.list_value_length(split).to_numpy()
     coded = pc.list_flatten(split).dictionary_encode()
+    del split
     rows = np.flatnonzero(lens)
     if not len(rows):
         return labels, scores
@@ -322,8 +341,9 @@ def predict(model: Model | None, texts: pa.Array) -> tuple[list[str], np.ndarray
     em = model.emissions(words)
     em[weight == 0] = 0
     em = np.maximum(em - em.max(1, keepdims=True), -30)
-    total = _chain_sums(model, of_token[coded.indices.to_numpy()], lens[rows],
-                        np.ascontiguousarray(np.exp(em).T), weight)
+    ids = of_token[coded.indices.to_numpy()]
+    del coded, cleaned, words, of_token
+    total = _chain_sums(model, ids, lens[rows], np.ascontiguousarray(np.exp(em).T), weight)
     for row, sums in zip(rows.tolist(), total, strict=True):
         if (whole := sums.sum()) > 0:
             best = int(sums.argmax())
@@ -377,11 +397,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def language(model: Model | None, text: Column | str) -> Column:
     """Struct (lang_pred, score) of a text column."""
 
-    @pandas_udf("lang_pred string, score double")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @arrow_udf("lang_pred string, score double")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            labels, scores = predict(model, pa.array(texts, pa.large_string(), from_pandas=True))
-            yield pd.DataFrame({"lang_pred": labels, "score": scores})
+            labels, scores = predict(model, texts.cast(pa.large_string()))
+            yield pa.StructArray.from_arrays([pa.array(labels, pa.string()), pa.array(scores)],
+                                             names=["lang_pred", "score"])
 
     return of(text)
 

@@ -36,7 +36,7 @@ sentence of the document.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -50,6 +50,7 @@ from billetic.llm._common import stored, unused
 NUMBER, NAME, UNIT = np.uint64(1), np.uint64(2), np.uint64(3)
 LEAST_WORDS = 5
 PIECE = 4 << 20
+GROUP = 1 << 20
 # Units of measure that may follow a number.
 UNITS = frozenset("""
     % percent mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms
@@ -172,9 +173,9 @@ def _index(window: int, run: int):
     return build
 
 
-def _pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[str], bool]]:
-    """Texts in groups of about PIECE characters: (rows, texts, whether it
-    goes on). A longer text comes in pieces cut at white space."""
+def _pieces(texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[str], bool]]:
+    """Texts in groups of about GROUP characters: (rows, texts, whether it
+    goes on). A text over PIECE characters comes in pieces cut at white space."""
     rows, part, size = [], [], 0
     for row, text in enumerate(texts):
         text = text or ""
@@ -189,7 +190,7 @@ def _pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[str], boo
         rows.append(row)
         part.append(text)
         size += len(text)
-        if size > PIECE:
+        if size > GROUP:
             yield rows, part, False
             rows, part, size = [], [], 0
     if rows:
@@ -203,7 +204,7 @@ def _find(sizes: list[int], known: np.ndarray | None):
         for batch in batches:
             ids, hashes = batch.column("doc_id"), batch.column("text_hash").to_numpy()
             out, base, tail = [], 0, ""
-            for rows, texts, more in _pieces(batch.column("text").to_pylist()):
+            for rows, texts, more in _pieces(t.as_py() for t in batch.column("text")):
                 seq = Sequences(pa.array([f"{tail} {texts[0]}" if tail else texts[0], *texts[1:]],
                                          pa.large_string()))
                 for n in sizes:

@@ -1,4 +1,5 @@
 import itertools
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -52,6 +53,32 @@ def test_blocks_equal_one_chain(model):
         assert score == pytest.approx((sums / sums.sum()).max(), abs=1e-4)
 
 
+def test_pieces_change_nothing(model, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [None, "", *(" ".join(rng.choice(EN + DE, n)) for n in (3, 9, 200, 1, 40)), "12", None]
+    want = [crf.predict(model, pa.array([t], pa.large_string())) for t in texts]
+    for size in (1, 60, 1000):
+        monkeypatch.setattr(crf, "PIECE", size)
+        labels, scores = crf.predict(model, pa.array(texts, pa.large_string()))
+        assert labels == [lab for (lab,), _ in want]
+        assert scores == pytest.approx([x for _, (x,) in want], abs=1e-6)
+
+
+def test_memory_does_not_follow_the_batch(model):
+    text = " ".join(EN + DE) + " "
+    text *= 4_500_000 // len(text)
+
+    def peak(n):
+        tracemalloc.start()
+        try:
+            labels, _ = crf.predict(model, pa.array([text] * n, pa.large_string()))
+            return len(labels), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    assert peak(6)[1] < 1.5 * peak(1)[1]
+
+
 def test_code_switching(model):
     text = " ".join(EN[:8] + DE[5:14] + EN[3:10])
     labels = [lab for _, lab, _ in crf.label_words(model, text)]

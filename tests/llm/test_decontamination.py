@@ -1,4 +1,8 @@
 import random
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 
 from billetic.llm import decontamination as D
 from tests.llm.helpers import docs, rows
@@ -140,3 +144,20 @@ def test_items_of_names_or_numbers(spark):
     want = {(10 * k + i, i) for i in range(4) for k in (1, 2)}
     want |= {(10 * k, 3) for k in (1, 2)} | {(10 * k + 3, 0) for k in (1, 2)} | {(50, 0), (50, 3), (51, 3)}
     assert set(got) == want and not any(r.reparameterised for r in got.values())
+
+
+def test_memory_does_not_follow_the_batch():
+    text = "a plain line of words with 12 km of road and some Names in it. " * 4000
+
+    def peak(n):
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array([text] * n)],
+            names=["doc_id", "text_hash", "text"])
+        tracemalloc.start()
+        try:
+            rows = sum(len(b) for b in D._find([8], np.zeros(1, np.uint64))(iter([batch])))
+            return rows, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    assert peak(30)[1] < 1.5 * peak(5)[1]
